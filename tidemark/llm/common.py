@@ -57,3 +57,12 @@ def text_bytes(column) -> list[bytes]:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def labelled_sample(labels: DataFrame, column: str, train: Column, rows: int, id_col: str = "doc_id") -> DataFrame:
+    """(sample_id, label) of at most so many labelled rows for training, those with the smallest hash of the id.
+
+    Rows without a label are left out; an id with several labels has the largest.
+    """
+    one = labels.where(train & F.col(column).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("sample_id")).agg(F.max(column).cast("int").alias("label"))
+    return one.orderBy(F.xxhash64("sample_id"), "sample_id").limit(rows)

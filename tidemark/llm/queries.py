@@ -17,12 +17,92 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ctw import score_documents
+
+    return score_documents(documents(spark, sf_dir))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contaminated
+
+    return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).withColumn("similarity", F.round("similarity", 6))
+
+
+#: Every window of every item's size that shares a shingle with the item; items have five words or more.
+OP2_SQL = r"""
+with iw as (select item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ 	-
+]+'), lambda x: x <> '') as w from benchmark),
+dw as (select doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ 	-
+]+'), lambda x: x <> '') as w from documents),
+i5 as (select item_id, len(w) as n, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) as s from iw where len(w) >= 5),
+ic as (select item_id, n, s, count(*) as c from i5 group by all),
+dp as (select doc_id, w, unnest(range(0, len(w) - 4)) as p from dw where len(w) >= 5),
+d5 as (select doc_id, p, array_to_string(w[p + 1:p + 5], ' ') as s from dp),
+size_ as (select doc_id, len(w) - 4 as total from dw),
+pairs as (select distinct doc_id, item_id, n from d5 join ic using (s)),
+starts as (select doc_id, item_id, n, unnest(range(0, total - (n - 4) + 1)) as start from pairs join size_ using (doc_id) where total >= n - 4),
+wc as (select t.doc_id, t.item_id, t.n, t.start, d5.s, count(*) as c from starts t join d5 on d5.doc_id = t.doc_id and d5.p between t.start and t.start + t.n - 5 group by all),
+ov as (select wc.doc_id, wc.item_id, wc.n, wc.start, sum(least(wc.c, ic.c)) as o from wc join ic on ic.item_id = wc.item_id and ic.s = wc.s group by all),
+ok as (select *, o / (2.0 * (n - 4) - o) as similarity from ov where 9 * o >= 8 * (n - 4))
+select doc_id, item_id, cast(arg_min(start, (-o, start)) as int) as start, cast(any_value(n) as int) as n_words, round(max(similarity), 6) as similarity
+from ok group by doc_id, item_id
+"""
+
+
 def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_file import token_file
 
     return token_file(documents(spark, sf_dir), tokenizer_path(), VOCABULARY)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score_quality
+
+    return score_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import identify
+
+    return identify(documents(spark, sf_dir))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score_toxicity
+
+    return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan_licenses
+
+    return scan_licenses(documents(spark, sf_dir))
+
+
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import top_k
+
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 50 == 0)
+
+
+OP8_SQL = """
+with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q from embeddings
+           where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+c as (select vec_id, unnest(q) as x, unnest(range(len(q))) as i from v),
+s as (select a.vec_id as query_id, b.vec_id, cast(sum(a.x * b.x) as bigint) as score from c a join c b on a.i = b.i and a.vec_id <> b.vec_id
+      where a.vec_id % 50 = 0 group by all)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score
+from s qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5
+"""
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
@@ -36,8 +116,8 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_token_file, op9_mixing, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_context_tree_weighting, op2_decontamination, op3_token_file, op4_quality, op5_language, op6_toxicity, op7_licenses, op8_top_k, op9_mixing, op10_simhash_near_dedup, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_decontamination": OP2_SQL, "op8_top_k": OP8_SQL}
