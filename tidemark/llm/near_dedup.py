@@ -5,9 +5,10 @@ vectors is never above the Hamming distance of the fingerprints, so a range join
 cells finds every pair within the radius: vectors at distance 2 or less have a cell within 1 of both. What
 shares a cell is then verified bit by bit.
 
-Neither step emits the pairs of a group. A cell only tells which fingerprints have a possible partner, and the
-verification links fingerprints through the points that differ from them in at most one bit: two fingerprints share
-such a point exactly if they differ in at most two bits. Rows grow with the number of distinct fingerprints.
+A cell of up to FEW fingerprints compares its pairs. In a fuller one, as the variants of a widely copied text make it,
+pairs aren't formed: there fingerprints are linked through the points that differ from them in at most one bit. Two
+fingerprints share such a point exactly if they differ in at most two bits, so rows grow with the number of
+fingerprints and no link is lost.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from .common import keep, text_bytes
 from .components import connected_components
 
 SEGMENT_MASKS = (0x5555555555555555, 0x3333333333333333)
+#: Fingerprints of a cell whose pairs are compared one by one.
+FEW = 16
 #: XXH64 seed of a shingle's hash.
 SEED = 42
 
@@ -80,13 +83,16 @@ def _cells(fps: DataFrame) -> DataFrame:
 def links(fps: DataFrame) -> DataFrame:
     """(a, b): links that connect exactly the distinct fingerprints of fps (column fp) differing in at most 2 bits."""
     cells = _cells(fps)
-    shared = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").select("cell")
-    near = cells.join(shared, "cell", "left_semi").select("fp").distinct()
+    shared = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
+    near = keep(cells.join(shared, "cell"), "cells")
+    few = near.where(F.col("n") <= FEW).groupBy("cell").agg(F.collect_list("fp").alias("fps"))
+    found = few.select(F.explode(F.expr("flatten(transform(fps, a -> transform(filter(fps, b -> b < a and bit_count(a ^ b) <= 2), b -> struct(a, b))))")).alias("l")).select("l.a", "l.b")
+
     flips = [F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(b if b < 1 << 63 else b - (1 << 64)).cast("long")) for b in (1 << k for k in range(64))]]
-    points = near.select("fp", F.explode(F.array(*flips)).alias("point"))
+    points = near.where(F.col("n") > FEW).select("fp").distinct().select("fp", F.explode(F.array(*flips)).alias("point"))
     hubs = points.groupBy("point").agg(F.min("fp").alias("hub"), F.count("*").alias("n")).where("n > 1").select("point", "hub")
-    pairs = points.join(hubs, "point").where("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct()
-    return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)
+    pairs = points.join(hubs, "point").where("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b"))
+    return found.union(pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
