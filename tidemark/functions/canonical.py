@@ -16,7 +16,7 @@ _BEFORE_ESCAPE = r"(?<=(?<!\\)(?:\\\\){0,200})(?=\\u[0-9A-F]{4})"
 def canonical_text(record: str | Column) -> Column:
     """JSON of a map<string,string>: keys in order, no blanks, ASCII only with lower-case escapes, nulls kept."""
     text = F.to_json(F.map_from_entries(F.array_sort(F.map_entries(as_column(record)))), {"ignoreNullFields": "false", "writeNonAsciiCharacterAsCodePoint": "true"})
-    text = F.regexp_replace(text, "\x7f", r"\\\\u007f")
+    text = F.replace(text, F.lit("\x7f"), F.lit("\\u007f"))
     parts = F.transform(F.split(text, _BEFORE_ESCAPE), lambda x: F.when(x.rlike(r"^\\u[0-9A-F]{4}"), F.concat(F.lower(F.substring(x, 1, 6)), x.substr(F.lit(7), F.length(x)))).otherwise(x))
     return F.array_join(parts, "")
 

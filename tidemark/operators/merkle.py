@@ -70,23 +70,23 @@ def roots(found: DataFrame, by: str = "path") -> DataFrame:
 
 
 def proofs(found: DataFrame, by: str = "path") -> DataFrame:
-    """(by, pos, start, end, data_hash, path): path lists, from the leaf up, (level, sibling, sibling_left, left_end) for levels with a sibling.
+    """(by, pos, start, end, data_hash, proof): proof lists, from the leaf up, (level, sibling, sibling_left, left_end) for levels with a sibling.
 
     The empty chunk that ends a file of whole chunks has a part in the root but no proof.
     """
-    walk = found.where("end > start").select(by, "pos", "start", "end", "data_hash", F.array().cast("array<struct<level:int,sibling:string,sibling_left:boolean,left_end:bigint>>").alias("path"), F.col("pos").alias("_at"))
+    walk = found.where("end > start").select(by, "pos", "start", "end", "data_hash", F.array().cast("array<struct<level:int,sibling:string,sibling_left:boolean,left_end:bigint>>").alias("proof"), F.col("pos").alias("_at"))
     for level, layer in enumerate(layers(found, by)[:-1]):
         ends = layer.select(F.col(by).alias("_f"), F.col("pos").alias("_p"), F.col("id").alias("_id"), F.col("end").alias("_end"))
         own = layer.select(F.col(by).alias("_g"), F.col("pos").alias("_q"), F.col("end").alias("_own"))
         step = walk.join(own, (F.col(by) == F.col("_g")) & (F.col("_at") == F.col("_q"))).join(ends, (F.col(by) == F.col("_f")) & (F.col("_at").bitwiseXOR(F.lit(1).cast("long")) == F.col("_p")), "left")
         left = F.col("_p") < F.col("_at")
         here = F.struct(F.lit(level).alias("level"), F.lower(F.hex("_id")).alias("sibling"), left.alias("sibling_left"), F.when(left, F.col("_end")).otherwise(F.col("_own")).alias("left_end"))
-        walk = step.select(by, "pos", "start", "end", "data_hash", F.when(F.col("_p").isNull(), F.col("path")).otherwise(F.concat("path", F.array(here))).alias("path"), F.expr("_at div 2").alias("_at"))
+        walk = step.select(by, "pos", "start", "end", "data_hash", F.when(F.col("_p").isNull(), F.col("proof")).otherwise(F.concat("proof", F.array(here))).alias("proof"), F.expr("_at div 2").alias("_at"))
     return walk.drop("_at")
 
 
 def check_proofs(found: DataFrame, known: DataFrame, by: str = "path") -> DataFrame:
     """(by, pos, ok): whether a proof leads from the chunk to the file's known root."""
     start = digest(F.concat(digest(F.unhex("data_hash")), digest(number(F.col("end")))))
-    up = F.aggregate("path", start, lambda node, p: digest(F.concat(digest(F.when(p["sibling_left"], F.unhex(p["sibling"])).otherwise(node)), digest(F.when(p["sibling_left"], node).otherwise(F.unhex(p["sibling"]))), digest(number(p["left_end"])))))
+    up = F.aggregate("proof", start, lambda node, p: digest(F.concat(digest(F.when(p["sibling_left"], F.unhex(p["sibling"])).otherwise(node)), digest(F.when(p["sibling_left"], node).otherwise(F.unhex(p["sibling"]))), digest(number(p["left_end"])))))
     return found.join(known.select(by, "root"), by).select(by, "pos", (F.lower(F.hex(up)) == F.col("root")).alias("ok"))

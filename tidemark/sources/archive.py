@@ -26,13 +26,13 @@ def day_of(path):
 
 def texts(spark: SparkSession, root: str, name: str) -> DataFrame:
     """(date, path, text) of one artifact over all days; .gz files are unpacked by their codec."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", name).text(root)
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).text(root, wholetext=True)
     return files.select(day_of(F.col("_metadata.file_path")).alias("date"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("file_bytes"), F.col("value").alias("text")).where("date is not null")
 
 
 def catalog(spark: SparkSession, path: str) -> DataFrame:
     """(object_id, rec) rows of a catalog file: a JSON array of objects, null fields kept apart from missing ones."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(F.explode(F.from_json("value", "array<map<string,string>>")).alias("rec")).select(F.col("rec")["NORAD_CAT_ID"].alias("object_id"), "rec")
 
 
@@ -86,7 +86,7 @@ def days(spark: SparkSession, root: str) -> DataFrame:
 
 def ledger(spark: SparkSession, path: str) -> DataFrame:
     """(position, entry fields) of a ledger file; entries that are no objects have a null date."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     rows = whole.select(F.posexplode(F.from_json("value", "array<string>")).alias("position", "e"))
     return rows.select("position", F.from_json("e", schema.ENTRY).alias("e")).select("position", "e.*")
 
