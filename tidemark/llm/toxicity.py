@@ -44,7 +44,8 @@ TABLE = _table()
 
 def fold(text: str | None) -> str:
     """Plain letters, words apart by one space, a space at both ends."""
-    return f" {' '.join((text or '').lower().translate(TABLE).split())} "
+    words = (text or "").lower().translate(TABLE).split()
+    return f" {' '.join(words)} " if words else " "
 
 
 def entries(word: str) -> list[str]:
@@ -103,7 +104,7 @@ class Matcher:
     def mass(self, text: str | None) -> tuple[float, int, int]:
         """(weight of the matched words, matched words, all words)"""
         folded = fold(text)
-        n = max(0, folded.count(" ") - 1)
+        n = folded.count(" ") - 1
         if self.empty or not n:
             return 0.0, 0, n
         words, spared = {}, []
@@ -160,7 +161,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     known = sample.mapInArrow(shapes, "mass double, hits double, n double, label int").collect()  # four numbers for each row of the sample
     x = np.array([shape(r["mass"], r["hits"], r["n"]) for r in known]).reshape(-1, 4)
-    curve = fit_curve(x, np.array([float(r["label"] > 0) for r in known])).tolist() if len(known) else [-1000.0, 0.0, 0.0, 0.0]
+    curve = fit_curve(x, np.array([float(r["label"] > 0) for r in known])).tolist() if len(known) else None
 
     def run(batches):
         import pyarrow as pa
@@ -168,7 +169,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         matcher = Matcher(lexicon)
         for batch in batches:
             found = [matcher.mass(t) for t in batch.column(1).to_pylist()]
-            scores = [1 / (1 + math.exp(-max(-700.0, min(700.0, sum(a * b for a, b in zip(curve, shape(*f))))))) for f in found]
+            scores = [1 / (1 + math.exp(-max(-700.0, min(700.0, sum(a * b for a, b in zip(curve, shape(*f))))))) if curve else 0.0 for f in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array([f[1] for f in found], pa.int64())], names=["doc_id", "score", "hits"])
 
     scored = texts.mapInArrow(run, "doc_id long, score double, hits long")
