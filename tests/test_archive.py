@@ -240,6 +240,15 @@ def test_snapshot_table_and_manifests(spark, tmp_path):
     assert [r.value for r in archive.catalog_lines(df.where("snapshot_date = '2024-01-02'")).collect()] == [dumps(r[2]).decode() for r in rows if r[0] == 1]
 
 
+def test_stale_artifacts_and_genesis(spark):
+    kind = "date string, n int"
+    table, rows = spark.createDataFrame([("d1", 1), ("d2", 1), ("d3", 1)], kind), spark.createDataFrame([("d2", 2), ("d9", 9)], kind)
+    done = archive.replace_days(table, rows, spark.createDataFrame([("d2",), ("d3",)], "date string"))
+    assert sorted(map(tuple, done.collect())) == [("d1", 1), ("d2", 2)]
+    first = archive.genesis(spark.createDataFrame([("1",), (None,)], "object_id string"), "2026-04-12", "2026-04-12T06:00:00").collect()
+    assert [(r.object_id, str(r.snapshot_date), r.state_as_of) for r in first] == [("1", "2026-04-12", dt.datetime(2026, 4, 12, 6))]
+
+
 def test_history_and_bundles(spark):
     feed = Feed("object_id", "created")
     df = spark.createDataFrame([("5", "b"), ("15", "b"), ("25", "b"), ("7", "z"), ("-1", "b")], "object_id string, created string")

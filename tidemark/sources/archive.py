@@ -91,13 +91,15 @@ def ledger(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("position", F.from_json("e", schema.ENTRY).alias("e")).select("position", "e.*")
 
 
-def inventory(spark: SparkSession, root: str, names: tuple[str, ...] = ARTIFACTS) -> DataFrame:
+def inventory(spark: SparkSession, root: str, names: tuple[str, ...] = ARTIFACTS, empty: DataFrame | None = None) -> DataFrame:
     """(date, files): the allow-listed files of each day as (path, bytes, sha256), in order of name.
 
-    The binary source leaves out empty files; their names come from the text source, which lists them with size 0.
+    The binary source leaves out empty files; a caller that knows of some passes them as (date, name).
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     rows = files.select(day_of(F.col("path")).alias("date"), F.regexp_extract("path", r"[^/]+$", 0).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    if empty is not None:
+        rows = rows.unionByName(empty.select("date", "name", F.lit(0).cast("long").alias("bytes"), F.sha2(F.lit("").cast("binary"), 256).alias("sha256")))
     rows = rows.where(F.col("date").isNotNull() & F.col("name").isin(*names))
     return rows.groupBy("date").agg(F.array_sort(F.collect_list(F.struct(F.col("name").alias("path"), "bytes", "sha256"))).alias("files"))
 
@@ -107,6 +109,17 @@ def write_snapshots(states: DataFrame, path: str, date_col: str = "snapshot_date
     states.repartition(date_col, F.pmod(F.xxhash64(*states.columns[:1]), F.lit(8))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path)
 
 
+def replace_days(table: DataFrame, rows: DataFrame, dates: DataFrame, date_col: str = "date") -> DataFrame:
+    """The table with the given days taken from rows instead; a day without rows there disappears, so no stale artifact stays."""
+    return table.join(dates.select(date_col).distinct(), date_col, "left_anti").unionByName(rows.join(dates.select(date_col).distinct(), date_col, "left_semi"))
+
+
+def genesis(observed: DataFrame, date: str, observed_at: str, id_col: str = "object_id") -> DataFrame:
+    """The first snapshot, from an observation. Its state stands for the time of the observation, where the first window then starts."""
+    first = observed.where(F.col(id_col).isNotNull())
+    return first.withColumn("snapshot_date", F.lit(date).cast("date")).withColumn("state_as_of", F.lit(observed_at).cast("timestamp_ntz"))
+
+
 def manifests(states: DataFrame, id_col: str = "object_id", record_col: str = "rec", date_col: str = "snapshot_date") -> DataFrame:
     """(date, object_count, raw_bytes, sha256, base_snapshot_date, base_snapshot_sha256) of daily states: each day linked to the one before."""
     hashed = table_hash(states, id_col, record_col, [date_col]).withColumn("date", F.date_format(date_col, "yyyy-MM-dd"))
