@@ -62,36 +62,55 @@ def unpack(payload: bytes, bits: int, start: int, stop: int):
 class Encoder:
     """Ids of whole texts by the tokenizers library, with the ids of a piece kept for its next appearance.
 
-    Pieces begin where white space begins. In byte-level BPE no token crosses such a place, so the pieces' ids, one
-    after the other, are the text's. kept is the number of pieces that are remembered at once.
+    The byte-level splitting rule always cuts where white space begins, and at ASCII punctuation after a Latin letter, so the
+    ids of pieces between such places, one after the other, are those of the text. A piece that is a run of Latin
+    letters, with or without a space before it, is one pre-token and goes straight to the library's BPE model; others go through
+    the whole tokenizer. kept is the number of pieces that are remembered at once.
     """
 
     #: White space as Unicode has it, which is what the vocabulary's splitting rule uses.
     SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+    LETTERS, PUNCTUATION = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", r"!-/:-@\[-`{-~"
 
-    def __init__(self, path: str, kept: int = 400_000):
+    def __init__(self, path: str, kept: int = 500_000):
         import re
 
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.ids = Tokenizer.from_file(path), kept, {}
-        self.pieces = re.compile(f"[{self.SPACES}]*[^{self.SPACES}]+|[{self.SPACES}]+").findall
+        self.tokenizer, self.most = Tokenizer.from_file(path), kept
+        self.ids: dict[str, bytes] = {}
+        self.pieces = re.compile(f"[{self.SPACES}]*[{self.PUNCTUATION}]*[{self.LETTERS}]++(?=[{self.PUNCTUATION}])|[{self.SPACES}]*[^{self.SPACES}]+|[{self.SPACES}]+").findall
+        self.plain = re.compile(f" ?[{self.LETTERS}]+").fullmatch
+        shown = [b for b in range(256) if chr(b).isprintable() and b != 0x20 and not 0x7F <= b <= 0xA0 and b != 0xAD]
+        hidden = [b for b in range(256) if b not in shown]
+        #: The character that stands for each byte in a byte-level vocabulary.
+        self.shown = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+    def _learn(self, new: set[str]) -> None:
+        from array import array
+
+        known, tokenize = self.ids, self.tokenizer.model.tokenize
+        plain = list(filter(self.plain, new))
+        bytes_ = "\n".join(plain).encode().decode("latin-1").translate(self.shown).split(self.shown[10]) if plain else []
+        for p, b in zip(plain, bytes_):
+            known[p] = array("I", [t.id for t in tokenize(b)]).tobytes()
+        other = list(new.difference(plain))
+        for at in range(0, len(other), 20_000):
+            part = other[at : at + 20_000]
+            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                known[p] = array("I", e.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list:
         """The ids of each text as uint32 arrays."""
         import numpy as np
 
         split = [self.pieces(t) for t in texts]
-        known = self.ids
-        new = list({p for s in split for p in s if p not in known})
-        if len(known) + len(new) > self.most:
-            known = self.ids = {}
-            new = list({p for s in split for p in s})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[p] = np.array(e.ids, "<u4").tobytes()
-        get = known.__getitem__
+        new = set().union(*split) - self.ids.keys()
+        if len(self.ids) + len(new) > self.most:
+            self.ids = {}
+            new = set().union(*split)
+        self._learn(new)
+        get = self.ids.__getitem__
         return [np.frombuffer(b"".join(map(get, s)), "<u4") for s in split]
 
 
