@@ -20,7 +20,7 @@ from .common import shared_dir
 #: Ids that close a block; a block holds whole documents, so a longer one has a block to itself.
 BLOCK_IDS = 1 << 17
 #: UTF-8 bytes of text that a shard gets on average.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 48 << 20
 
 BLOCK_TYPE = T.StructType(
     [T.StructField(n, t) for n, t in (("shard", T.IntegerType()), ("block", T.IntegerType()), ("first", T.LongType()), ("ids", T.LongType()), ("bits", T.IntegerType()), ("doc_ids", T.ArrayType(T.LongType())), ("doc_at", T.ArrayType(T.LongType())), ("payload", T.BinaryType()))]
@@ -72,7 +72,7 @@ class Encoder:
     SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
     LETTERS, PUNCTUATION = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", r"!-/:-@\[-`{-~"
 
-    def __init__(self, path: str, kept: int = 500_000):
+    def __init__(self, path: str, kept: int = 900_000):
         import re
 
         from tokenizers import Tokenizer
