@@ -32,6 +32,14 @@ def keep(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of finished jobs now; it does so when the driver's JVM collects what refers to them."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def held_out(id_col: str, modulus: int, remainder: int) -> Column:
     """True where crc32 of the id as text leaves the remainder; null ids count as the empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus == remainder

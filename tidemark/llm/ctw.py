@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, keep
+from .common import forget_shuffles, held_out, keep
 
 #: Bytes of context.
 DEPTH = 5
@@ -33,6 +33,8 @@ PART_GRAMS = 200_000
 #: Contexts of up to so many bytes are weighted on the driver and broadcast: at most 2^16 contexts of 255 nodes, whatever
 #: the corpus. Longer ones are weighted in tasks, those with the same TOP + 1 newest bytes together.
 TOP = 2
+#: Bytes of text whose n-grams are in memory at once, but for a longer text alone.
+BATCH_BYTES = 1 << 20
 WORD, GRAM = 0, 1
 END = 0xFF
 
@@ -183,6 +185,21 @@ def gram_codes(texts: list[bytes], depth: int = DEPTH):
     return codes[keep_], sizes
 
 
+def batches_of(column):
+    """(start, end, texts) of runs of an Arrow column's texts of at most BATCH_BYTES together, lower-cased; null reads as empty."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    column = column.cast(pa.binary())
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    start, size = 0, 0
+    for i, n in enumerate([*sizes, BATCH_BYTES + 1]):
+        if i > start and size + n > BATCH_BYTES:
+            yield start, i, [(t or b"").lower() for t in column.slice(start, i - start).to_pylist()]
+            start, size = i, 0
+        size += n
+
+
 def _requests(group):
     """The distinct words and n-grams of a bucket, with their counts in its training documents."""
     from collections import Counter
@@ -192,23 +209,30 @@ def _requests(group):
     import pyarrow as pa
     from xxhash import xxh64_intdigest
 
-    texts = [(t or b"").lower() for t in group.column("text").cast(pa.binary()).to_pylist()]
     train = np.array(group.column("train").to_pylist(), bool)
-    known, all_ = Counter(), set()
-    for text, learn in zip(texts, train.tolist()):
-        (known if learn else all_).update(text.split())
-    words = list(all_ | known.keys())
+    known, other, found, times = Counter(), set(), [], []
+    for a, z, texts in batches_of(group.column("text")):
+        for text, learn in zip(texts, train[a:z].tolist()):
+            (known if learn else other).update(text.split())
+        codes, sizes = gram_codes(texts)
+        at, grams = pd.factorize(codes)
+        found.append(grams)
+        times.append(np.bincount(at, np.repeat(train[a:z], sizes), len(grams)))
+    other.difference_update(known)
+    words = [*known, *other]
     keys = np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
-    codes, sizes = gram_codes(texts)
-    at, grams = pd.factorize(codes)
-    counts = np.bincount(at, np.repeat(train, sizes), len(grams)).astype(np.int64)
-    n = len(words) + len(grams)
+    counts = np.zeros(len(words), np.int64)
+    counts[: len(known)] = list(known.values())
+    del known, other, words
+    at, grams = pd.factorize(np.concatenate(found))
+    n = np.bincount(at, np.concatenate(times), len(grams)).astype(np.int64)
+    rows = len(keys) + len(grams)
     return pa.table(
         {
-            "bucket": pa.array(np.full(n, group.column("bucket")[0].as_py(), np.int32)),
-            "kind": pa.array(np.repeat(np.array([WORD, GRAM], np.int8), [len(words), len(grams)])),
+            "bucket": pa.array(np.full(rows, group.column("bucket")[0].as_py(), np.int32)),
+            "kind": pa.array(np.repeat(np.array([WORD, GRAM], np.int8), [len(keys), len(grams)])),
             "key": pa.array(np.concatenate([keys, grams])),
-            "n": pa.array(np.concatenate([np.array([known[w] for w in words], np.int64), counts])),
+            "n": pa.array(np.concatenate([counts, n])),
         }
     )
 
@@ -223,34 +247,29 @@ def _answered(total: int, distinct: int, ends: int):
         from xxhash import xxh64_intdigest
 
         kind, key, value = (answers.column(c).to_numpy() for c in ("kind", "key", "value"))
-        known = dict(zip(key[kind == WORD].tolist(), value[kind == WORD].astype(np.int64).tolist()))
-        grams = kind == GRAM
-        order = np.argsort(key[grams])
-        codes, logs = key[grams][order], value[grams][order]
+        order = np.argsort(key)
+        kind, key, value = kind[order], key[order], value[order]
+        (hashes, counts), (codes, logs) = ((key[kind == k], value[kind == k]) for k in (WORD, GRAM))
+        del kind, key, value, order
         base = lambda c: np.log10((c + 1.0) / (total + 1.0 * (distinct + 1)))
-        memo, out = {}, []
-        texts = [(t or b"").lower() for t in docs.column("text").cast(pa.binary()).to_pylist()]
-
-        def counted(w):
-            h = xxh64_intdigest(w)
-            memo[w] = c = known[h if h < 1 << 63 else h - (1 << 64)]
-            return c
-
-        for text in texts:
-            words = text.split()
-            c = np.array([memo[w] if w in memo else counted(w) for w in words] + [ends], float)
-            out.append((len(c), int((c > 0).sum()), float(base(c).sum())))
-        found, sizes = gram_codes(texts)
-        at, distinct_ = pd.factorize(found)
-        each = logs[np.searchsorted(codes, distinct_)][at]
-        scores = np.add.reduceat(each, np.cumsum(sizes) - sizes) if len(sizes) else each
-        n_tokens, n_known, base_score = zip(*out)
-        return pa.table(
-            {
-                "doc_id": docs.column("doc_id"), "train": docs.column("train"), "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(n_known, pa.int64()),
-                "base_score": pa.array(base_score, pa.float64()), "score": pa.array(scores, pa.float64()), "n_bytes": pa.array(sizes, pa.int64()),
-            }
-        )
+        out = ([], [], [], [], [])
+        for _, _, texts in batches_of(docs.column("text")):
+            split = [t.split() for t in texts]
+            words = list(set().union(*split))
+            h = np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
+            at = np.minimum(np.searchsorted(hashes, h), max(0, len(hashes) - 1))
+            memo = dict(zip(words, np.where(hashes[at] == h, counts[at], 1.0).tolist() if len(hashes) else [1.0] * len(words)))
+            for s in split:
+                c = np.array([*map(memo.__getitem__, s), ends], float)
+                for column, v in zip(out, (len(c), int((c > 0).sum()), float(base(c).sum()))):
+                    column.append(v)
+            found, sizes = gram_codes(texts)
+            at, grams = pd.factorize(found)
+            each = logs[np.searchsorted(codes, grams)][at]
+            out[3].extend(np.add.reduceat(each, np.cumsum(sizes) - sizes).tolist())
+            out[4].extend(sizes.tolist())
+        names, kinds = ("n_tokens", "n_known", "base_score", "score", "n_bytes"), (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
+        return pa.table({"doc_id": docs.column("doc_id"), "train": docs.column("train")} | {n: pa.array(v, k) for n, v, k in zip(names, out, kinds)})
 
     return run
 
@@ -269,7 +288,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dealt = texts.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int")).repartition(buckets, "bucket")
     requests = keep(dealt.groupBy("bucket").applyInArrow(_requests, "bucket int, kind byte, key long, n long"), "requests")
 
+    forget_shuffles(docs.sparkSession)
     counts = keep(requests.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
+    forget_shuffles(docs.sparkSession)
     tokens, distinct = counts.where((F.col("kind") == WORD) & (F.col("n") > 0)).agg(F.sum("n"), F.count("*")).first()
     total, distinct = (tokens or 0) + ends, distinct + (ends > 0)
 
@@ -304,8 +325,11 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(logs)], names=["key", "value"])
 
     model = grams.mapInArrow(predict, "key long, value double").withColumn("kind", F.lit(GRAM).cast("byte"))
+    # a word seen once in training, which most words are, isn't answered: the bucket takes 1 for a word without answer
     words = counts.where(F.col("kind") == WORD).select("key", F.col("n").cast("double").alias("value"), "kind")
-    answers = requests.select("bucket", "kind", "key").join(model.unionByName(words), ["kind", "key"])
+    known = model.unionByName(words).where((F.col("kind") == GRAM) | (F.col("value") != 1))
+    # hashing the model's side saves a sort of all requests
+    answers = requests.select("bucket", "kind", "key").join(known.hint("shuffle_hash"), ["kind", "key"])
     scored = dealt.groupBy("bucket").cogroup(answers.select("bucket", "kind", "key", "value").groupBy("bucket")).applyInArrow(
         _answered(total, distinct, ends), "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long"
     )
