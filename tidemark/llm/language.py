@@ -12,6 +12,9 @@ longest first, so that step t touches only documents with more than t words.
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import groupby
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -221,39 +224,20 @@ class Field:
 def fit_field(docs: DataFrame, train, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> Field | None:
     """The field learned from at most sample_docs documents of each language; None without any.
 
-    Drawn are those with the smallest hash of the id among training rows with a language and 1 to sample_bytes bytes
-    of text; only they come to the driver. Each task first keeps its own smallest, so no language meets in one task.
+    Drawn are those with the smallest hash of the id and text among training rows with a language and 1 to sample_bytes
+    bytes of text; only they come to the driver. Each language's number of rows tells up to which hash to look, with
+    a margin of four deviations, so no language's rows meet in one task.
     """
     rows = docs.where(train & F.col(lang_col).isNotNull() & F.octet_length(text_col).between(1, sample_bytes))
     rows = rows.select(F.col(lang_col).alias("l"), F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("h"), F.col(text_col).alias("t"))
-
-    def least(batches):
-        import heapq
-
-        import pyarrow as pa
-
-        heaps = {}
-        for batch in batches:
-            for lang, h, text in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                heap = heaps.setdefault(lang, [])
-                if len(heap) < sample_docs:
-                    heapq.heappush(heap, (-h, text))
-                elif -h > heap[0][0]:
-                    heapq.heapreplace(heap, (-h, text))
-        for lang, heap in heaps.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(heap)), pa.array([-h for h, _ in heap], pa.int64())], names=["l", "h"])
-
-    picked = rows.select("l", "h", "t").mapInArrow(least, "l string, h long")
-    rank = F.expr("row_number() over (partition by l order by h)")
-    picked = picked.distinct().withColumn("r", rank).where(F.col("r") <= sample_docs).groupBy("l").agg(F.max("h").alias("most"))
-    limits = {r["l"]: r["most"] for r in picked.collect()}
-    if not limits:
+    sizes = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
         return None
-    within = None
-    for lang, most in limits.items():
-        mine = (F.col("l") == lang) & (F.col("h") <= most)
-        within = mine if within is None else within | mine
-    sample = sorted(((r["l"], r["h"], r["t"]) for r in rows.where(within).collect()))
+    wanted = sample_docs + 4 * sample_docs**0.5 + 10
+    limits = {lang: min(2**63 - 1, int(-(2**63) + wanted / n * 2**64)) for lang, n in sizes.items()}
+    within = reduce(lambda a, b: a | b, [(F.col("l") == lang) & (F.col("h") <= most) for lang, most in limits.items()])
+    drawn = sorted((r["l"], r["h"], r["t"]) for r in rows.where(within).collect())
+    sample = [x for _, one in groupby(drawn, key=lambda x: x[0]) for x in list(one)[:sample_docs]]
     names = sorted(limits)
     field = Field(names)
     field.fit([letters(t) for _, _, t in sample], [names.index(lang) for lang, _, _ in sample])
