@@ -27,7 +27,7 @@ from .common import forget_shuffles, held_out, keep
 #: Bytes of context.
 DEPTH = 5
 #: Bytes of text of a bucket on average. A larger one asks less often for the same n-grams, a smaller one takes less memory.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 40 << 20
 #: n-grams that one task gets on average when the tree is weighted.
 PART_GRAMS = 200_000
 #: Contexts of up to so many bytes are weighted on the driver and broadcast: at most 2^16 contexts of 255 nodes, whatever
@@ -200,9 +200,33 @@ def batches_of(column):
         size += n
 
 
+class _Counts:
+    """Keys with counts, merged whenever so many new ones have come."""
+
+    def __init__(self, most: int = 1_000_000):
+        self.keys, self.counts, self.new, self.most = [], [], 0, most
+
+    def add(self, keys, counts) -> None:
+        self.keys.append(keys)
+        self.counts.append(counts)
+        self.new += len(keys)
+        if self.new > self.most:
+            self.merge()
+
+    def merge(self):
+        import numpy as np
+        import pandas as pd
+
+        at, keys = pd.factorize(np.concatenate(self.keys))
+        counts = np.bincount(at, np.concatenate(self.counts), len(keys)).astype(np.int64)
+        self.keys, self.counts, self.new = [keys], [counts], 0
+        return keys, counts
+
+
 def _requests(group):
     """The distinct words and n-grams of a bucket, with their counts in its training documents."""
     from collections import Counter
+    from itertools import chain
 
     import numpy as np
     import pandas as pd
@@ -210,29 +234,24 @@ def _requests(group):
     from xxhash import xxh64_intdigest
 
     train = np.array(group.column("train").to_pylist(), bool)
-    known, other, found, times = Counter(), set(), [], []
+    words, grams = _Counts(), _Counts()
     for a, z, texts in batches_of(group.column("text")):
-        for text, learn in zip(texts, train[a:z].tolist()):
-            (known if learn else other).update(text.split())
+        learn = train[a:z]
+        for wanted in (True, False):
+            seen = Counter(chain.from_iterable(t.split() for t, own in zip(texts, learn.tolist()) if own == wanted))
+            keys = np.fromiter(map(xxh64_intdigest, seen), np.uint64, len(seen)).view(np.int64)
+            words.add(keys, np.fromiter(seen.values(), np.int64, len(seen)) * wanted)
         codes, sizes = gram_codes(texts)
-        at, grams = pd.factorize(codes)
-        found.append(grams)
-        times.append(np.bincount(at, np.repeat(train[a:z], sizes), len(grams)))
-    other.difference_update(known)
-    words = [*known, *other]
-    keys = np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
-    counts = np.zeros(len(words), np.int64)
-    counts[: len(known)] = list(known.values())
-    del known, other, words
-    at, grams = pd.factorize(np.concatenate(found))
-    n = np.bincount(at, np.concatenate(times), len(grams)).astype(np.int64)
-    rows = len(keys) + len(grams)
+        at, found = pd.factorize(codes)
+        grams.add(found, np.bincount(at, np.repeat(learn, sizes), len(found)).astype(np.int64))
+    (keys, n), (codes, m) = words.merge(), grams.merge()
+    rows = len(keys) + len(codes)
     return pa.table(
         {
             "bucket": pa.array(np.full(rows, group.column("bucket")[0].as_py(), np.int32)),
-            "kind": pa.array(np.repeat(np.array([WORD, GRAM], np.int8), [len(keys), len(grams)])),
-            "key": pa.array(np.concatenate([keys, grams])),
-            "n": pa.array(np.concatenate([counts, n])),
+            "kind": pa.array(np.repeat(np.array([WORD, GRAM], np.int8), [len(keys), len(codes)])),
+            "key": pa.array(np.concatenate([keys, codes])),
+            "n": pa.array(np.concatenate([n, m])),
         }
     )
 
@@ -249,7 +268,7 @@ def _answered(total: int, distinct: int, ends: int):
         kind, key, value = (answers.column(c).to_numpy() for c in ("kind", "key", "value"))
         order = np.argsort(key)
         kind, key, value = kind[order], key[order], value[order]
-        (hashes, counts), (codes, logs) = ((key[kind == k], value[kind == k]) for k in (WORD, GRAM))
+        (hashes, counts), (codes, logs) = ((key[kind == k], value[kind == k].astype(float)) for k in (WORD, GRAM))
         del kind, key, value, order
         base = lambda c: np.log10((c + 1.0) / (total + 1.0 * (distinct + 1)))
         out = ([], [], [], [], [])
@@ -328,8 +347,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # a word seen once in training, which most words are, isn't answered: the bucket takes 1 for a word without answer
     words = counts.where(F.col("kind") == WORD).select("key", F.col("n").cast("double").alias("value"), "kind")
     known = model.unionByName(words).where((F.col("kind") == GRAM) | (F.col("value") != 1))
-    # hashing the model's side saves a sort of all requests
-    answers = requests.select("bucket", "kind", "key").join(known.hint("shuffle_hash"), ["kind", "key"])
+    # hashing the model's side saves a sort of all requests; floats give logarithms to 7 digits, and counts up to 2^24 whole
+    answers = requests.select("bucket", "kind", "key").join(known.withColumn("value", F.col("value").cast("float")).hint("shuffle_hash"), ["kind", "key"])
     scored = dealt.groupBy("bucket").cogroup(answers.select("bucket", "kind", "key", "value").groupBy("bucket")).applyInArrow(
         _answered(total, distinct, ends), "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long"
     )
