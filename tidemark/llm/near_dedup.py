@@ -13,11 +13,14 @@ fingerprints and no link is lost.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import keep, text_bytes
 from .components import connected_components
+from .similar import similar_groups
 
 SEGMENT_MASKS = (0x5555555555555555, 0x3333333333333333)
 #: Fingerprints of a cell whose pairs are compared one by one.
@@ -113,12 +116,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(names, "fp").select(F.col("id").alias("doc_id"), "fp", "component_id")
 
 
-def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int | None = None, similarity: Fraction | None = None) -> DataFrame:
     """The rows of docs that stay when one document of each group is kept: the one with the smallest id.
 
+    Groups are those of near_duplicates (shingles of 3 words by default) or, if a similarity is given, of similar_groups (5 words).
     Rows with a null id stay. Of rows that repeat both id and text one stays. Columns are those of docs.
     """
-    groups = keep(near_duplicates(docs, id_col, text_col, shingle), "groups")
+    found = near_duplicates(docs, id_col, text_col, shingle or 3) if similarity is None else similar_groups(docs, id_col, text_col, shingle or 5, similarity)
+    groups = keep(found, "groups")
     ids = groups.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n"))
     gone = ids.where(~F.col("stays")).select(F.col("doc_id").alias("_gone"))
     kept = docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
