@@ -52,3 +52,24 @@ def test_mixed_repeats_rows(spark, sf):
     taken = {r.doc_id: r.taken / r.size for r in mixing.mix(docs).collect() if r.size}
     seen = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
     assert seen == {d: int(t + 0.5) for d, t in taken.items() if int(t + 0.5)}
+
+
+def test_drawn_copies_keep_long_documents_shares(spark):
+    docs = spark.createDataFrame([(i, "w " * (8000 if i % 10 == 0 else 300), "ab"[i % 1000 >= 300]) for i in range(2000)], "doc_id long, text string, source string")
+    options = {"weights": (1, 9), "share": Fraction(3, 10)}
+    taken = mixing.mix(docs, **options).collect()
+    emitted = mixing.mixed(docs, draw=12, **options).groupBy("source", "doc_id").count().collect()
+    assert {r["count"] for r in emitted} <= {1, 2}
+    copies = {r.doc_id: r["count"] for r in emitted}
+    for source in "ab":
+        for long in (True, False):
+            rows = [r for r in taken if r.source == source and (r.size > 1000) == long]
+            assert abs(sum(r.size * copies.get(r.doc_id, 0) for r in rows) - sum(r.taken for r in rows)) <= 2 * max(r.size for r in rows)
+    assert sum(r.size for r in taken if r.source == "a" and r.size > 1000)
+    again = mixing.mixed(docs.repartition(7), draw=12, **options).groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in again} == copies
+
+
+def test_drawn_copies_of_odd_rows(odd, none):
+    out = mixing.mixed(odd, draw=12)
+    assert out.columns == odd.columns and out.count() <= 2 * odd.count() and mixing.mixed(none, draw=12).count() == 0

@@ -121,13 +121,28 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return full.unionByName(none).select("doc_id", "source", "size", "source_size", "target", F.col("taken").cast("long"))
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The rows of docs as the mix repeats them: a row appears as often as half of its words or more were taken, 0 to 2 times.
-
-    Columns are those of docs. Rows that share an id share the number, that of the one taken most. Rows with a null id follow the same rule.
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", draw: int | None = None, **options) -> DataFrame:
+    """The rows of docs as the mix repeats them, 0 to 2 times.
+
+    With a seed to draw by, a row's expected number is taken / size, for documents of any length: along a shard's documents by
+    size, then in seeded order, the rest of each rounding goes to the next, from a drawn start. So neighbours in size get
+    their words together. Rows that share an id, as null ids do, have the ratio of all of them and a draw of their own by id and text.
+    Without one, a row appears as often as half of its words or more were taken, and rows that share an id as often as the one taken
+    most; that drops or keeps documents of many blocks together. Columns are those of docs. Rows with a null id follow the same rule.
     """
-    taken = mix(docs, id_col, text_col, source_col, **options)
-    times = taken.groupBy("doc_id").agg(F.max(F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + F.lit(0.5))).otherwise(0)).cast("int").alias("_times"))
-    times = times.where("_times > 0").withColumnRenamed("doc_id", "_taken")
+    taken = mix(docs, id_col, text_col, source_col, **options).where("size > 0").groupBy("doc_id")
+    if draw is None:
+        times = taken.agg(F.floor(F.max(F.col("taken") / F.col("size")) + F.lit(0.5)).alias("_ratio")).withColumn("_copies", F.col("_ratio"))
+    else:
+        ids = taken.agg((F.sum("taken") / F.sum("size")).alias("_ratio"), F.count("*").alias("n"), F.min("source").alias("source"), F.max("source_size").alias("all"), F.max("size").alias("size"))
+        ids = ids.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(draw + 1)), F.expr(f"(all + {SHARD_WORDS - 1}) div {SHARD_WORDS}")))
+        # in units of 2^-32, so that sums are exact
+        ids = ids.withColumn("unit", F.expr("cast(round(_ratio * 4294967296D) as long)"))
+        upto = F.expr(f"sum(unit) over (partition by source, shard order by size, xxhash64(doc_id, {draw}), doc_id rows between unbounded preceding and current row) + pmod(xxhash64(source, shard, {draw}), 4294967296L)")
+        ids = ids.withColumn("upto", upto).withColumn("copies", F.expr("upto div 4294967296L - (upto - unit) div 4294967296L"))
+        times = ids.select("doc_id", "_ratio", F.when(F.col("n") == 1, F.col("copies")).alias("_copies"))
+    times = times.where("_ratio > 0").withColumnRenamed("doc_id", "_taken")
     again = docs.join(times, docs[id_col].eqNullSafe(times["_taken"]))
+    own = F.floor(F.col("_ratio") + F.pmod(F.xxhash64(docs[id_col], docs[text_col], F.lit(draw)), F.lit(1 << 32)) / F.lit(float(1 << 32)))
+    again = again.withColumn("_times", F.coalesce("_copies", own).cast("int")).where("_times > 0")
     return again.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[again[c] for c in docs.columns])
