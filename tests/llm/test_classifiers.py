@@ -166,3 +166,19 @@ def test_marginals_equal_the_sum_over_paths(field):
         assert np.allclose(got / (mass or 1), p[at : at + n])
         at += n
     assert np.allclose(total, pairs)
+
+
+def test_languages_with_long_texts_only(spark):
+    rng = random.Random(4)
+    words = {"aa": ["kato", "miru", "sen", "dolka"], "bb": ["wexy", "juph", "zorb", "quine"]}
+    rows = [(i, " ".join(rng.choices(words[lang], k=5000 if not held(i, 4, 2) and lang == "bb" else 20)), lang) for i in range(80) for lang in ["ab"[i % 2] * 2]]
+    found = {r.doc_id: r for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert {found[i].lang_pred == lang for i, _, lang in rows} == {True}
+
+
+def test_stretch_is_of_whole_words():
+    text = language.letters(" ".join(f"word{'abcdef'[i % 6]}" for i in range(1000)))
+    for seed in (-(2**63), -5, 0, 7, 2**63 - 1):
+        part = language.stretch(text, seed, 100)
+        assert part in text and 80 < len(part) <= 100 and part[:1] == part[-1:] == b" "
+    assert len(language.stretch(language.letters("x" * 500), 3, 100).split()) == 1

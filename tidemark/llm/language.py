@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import held_out
 
-#: Documents that the field is fitted to at most, for each language, and their bytes at most. Longer ones are not drawn.
+#: Documents that the field is fitted to at most, for each language, and their bytes at most. Of longer ones a stretch is drawn.
 SAMPLE_DOCS, SAMPLE_BYTES = 400, 16_384
 TABLE_BITS, GRAMS = 16, (2, 3, 4)
 #: A language's lexicon: words that stand there so often at least and in no other language more than a tenth as often.
@@ -38,6 +38,16 @@ def letters(text: str | None) -> bytes:
     return b" " + b" ".join((text or "").lower().encode("utf-8", "surrogatepass").translate(_LETTERS).split()) + b" "
 
 
+def stretch(text: bytes, seed: int, most: int) -> bytes:
+    """Whole words of letters() from a place that the seed tells, most bytes or fewer; the start of a word that is longer alone."""
+    if len(text) <= most:
+        return text
+    at = text.index(b" ", seed % (len(text) - most + 1))
+    part = text[at : at + most]
+    end = part.rfind(b" ")
+    return part[: end + 1] if end > 0 else part[: most - 1] + b" " if len(part) > 1 else b" " + text[1 - most :]
+
+
 class Words:
     """The words of some documents: buffer, where words begin, documents of words, and packed order."""
 
@@ -224,11 +234,11 @@ class Field:
 def fit_field(docs: DataFrame, train, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> Field | None:
     """The field learned from at most sample_docs documents of each language; None without any.
 
-    Drawn are those with the smallest hash of the id and text among training rows with a language and 1 to sample_bytes
-    bytes of text; only they come to the driver. Each language's number of rows tells up to which hash to look, with
-    a margin of four deviations, so no language's rows meet in one task.
+    Drawn are those with the smallest hash of the id and text among training rows with a language and a letter; only they come
+    to the driver, of a longer one a stretch of sample_bytes from a place that the hash tells. Each language's number of rows tells
+    up to which hash to look, with a margin of four deviations, so no language's rows meet in one task.
     """
-    rows = docs.where(train & F.col(lang_col).isNotNull() & F.octet_length(text_col).between(1, sample_bytes))
+    rows = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"[A-Za-z]|[^\x00-\x7F]"))
     rows = rows.select(F.col(lang_col).alias("l"), F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("h"), F.col(text_col).alias("t"))
     sizes = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
     if not sizes:
@@ -236,11 +246,20 @@ def fit_field(docs: DataFrame, train, text_col: str = "text", lang_col: str = "l
     wanted = sample_docs + 4 * sample_docs**0.5 + 10
     limits = {lang: min(2**63 - 1, int(-(2**63) + wanted / n * 2**64)) for lang, n in sizes.items()}
     within = reduce(lambda a, b: a | b, [(F.col("l") == lang) & (F.col("h") <= most) for lang, most in limits.items()])
-    drawn = sorted((r["l"], r["h"], r["t"]) for r in rows.where(within).collect())
+
+    def cut(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            texts = [stretch(letters(t), h, sample_bytes) for h, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], names=["l", "h", "t"])
+
+    found = rows.where(within).mapInArrow(cut, "l string, h long, t binary").collect()
+    drawn = sorted((r["l"], r["h"], bytes(r["t"])) for r in found)
     sample = [x for _, one in groupby(drawn, key=lambda x: x[0]) for x in list(one)[:sample_docs]]
     names = sorted(limits)
     field = Field(names)
-    field.fit([letters(t) for _, _, t in sample], [names.index(lang) for lang, _, _ in sample])
+    field.fit([t for _, _, t in sample], [names.index(lang) for lang, _, _ in sample])
     return field
 
 
