@@ -131,3 +131,14 @@ def test_attestations(spark):
     assert {(r.block, r.attester): r.score for r in scored.collect()} == {("b", "p"): 3.0, ("x", "q"): 2.5, ("a", "q"): 0.0, ("g", "z"): 0.0}
     spark.sparkContext.setCheckpointDir("/tmp/checkpoints")
     assert {(r.chain, r.tip, r.weight, r.length) for r in profile.heaviest_branch(blocks, scored).collect()} == {("c", "b", 3.0, 3), ("d", "only", 0.0, 1)}
+
+
+def test_heaviest_branch_of_a_long_chain(spark):
+    import pytest
+
+    rows = [("c", f"n{i}", f"n{i - 1}" if i else None) for i in range(1500)] + [("c", "fork", "n0")]
+    scored = spark.createDataFrame([("c", f"n{i}", 1.0) for i in range(1500)] + [("c", "fork", 5.0)], "chain string, block string, score double")
+    blocks = spark.createDataFrame(rows, "chain string, block string, parent string")
+    assert [tuple(r) for r in profile.heaviest_branch(blocks, scored).collect()] == [("c", "n1499", 1500.0, 1500)]
+    with pytest.raises(ValueError):
+        profile.heaviest_branch(spark.createDataFrame([("c", "a", "b"), ("c", "b", "a")], "chain string, block string, parent string"), scored)

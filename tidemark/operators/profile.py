@@ -69,26 +69,26 @@ def scored_attestations(attestations: DataFrame, scores: DataFrame) -> DataFrame
     return both.withColumn("score", F.coalesce(last, F.lit(0.0))).where("_k = 1").drop("_t", "_k")
 
 
-def heaviest_branch(blocks: DataFrame, scored: DataFrame, most: int = 1000) -> DataFrame:
+def heaviest_branch(blocks: DataFrame, scored: DataFrame) -> DataFrame:
     """(chain, tip, weight, length): for each chain the tip whose path to the root gathers most weight, ties to the smaller tip.
 
-    blocks: (chain, block, parent), parent null at a root. A block's weight is the sum of its attesters' scores. Paths of up to `most` blocks are followed.
+    blocks: (chain, block, parent), parent null at a root; one that is not a block ends its path too. A block's weight is the sum of its
+    attesters' scores. Each round doubles the ancestors that a block's sum covers, so rounds grow with the logarithm of a path's length. Raises ValueError at a cycle.
     """
     weights = scored.groupBy("chain", "block").agg(F.sum("score").alias("w"))
-    own = blocks.join(weights, ["chain", "block"], "left").select("chain", "block", "parent", F.coalesce("w", F.lit(0.0)).alias("w"))
-    tips = own.join(blocks.select("chain", F.col("parent").alias("block")).where("block is not null").distinct(), ["chain", "block"], "left_anti")
-    walk = tips.select("chain", F.col("block").alias("tip"), "parent", F.col("w").alias("weight"), F.lit(1).alias("length"))
-    done = walk.where("parent is null")
-    walk = walk.where("parent is not null")
-    up = own.select("chain", F.col("block").alias("parent"), F.col("parent").alias("_next"), "w")
-    for _ in range(most):
-        step = walk.join(up, ["chain", "parent"], "left").select("chain", "tip", F.col("_next").alias("parent"), (F.col("weight") + F.coalesce("w", F.lit(0.0))).alias("weight"), (F.col("length") + F.when(F.col("w").isNull(), 0).otherwise(1)).alias("length")).checkpoint()
-        done = done.union(step.where("parent is null"))
-        walk = step.where("parent is not null")
-        if walk.isEmpty():
+    names = blocks.select("chain", F.col("block").alias("parent"), F.lit(True).alias("_known")).distinct()
+    own = blocks.select("chain", "block", "parent").distinct().join(weights, ["chain", "block"], "left").join(names, ["chain", "parent"], "left")
+    walk = own.select("chain", "block", F.when(F.col("_known"), F.col("parent")).alias("up"), F.coalesce("w", F.lit(0.0)).alias("weight"), F.lit(1).alias("length")).checkpoint()
+    for _ in range(walk.count().bit_length() + 1):
+        if walk.where("up is not null").isEmpty():
             break
-    ranked = done.withColumn("_r", F.expr("row_number() over (partition by chain order by weight desc, tip)"))
-    return ranked.where("_r = 1").select("chain", "tip", "weight", "length")
+        over = walk.select("chain", F.col("block").alias("up"), F.col("up").alias("_up"), F.col("weight").alias("_weight"), F.col("length").alias("_length"))
+        walk = walk.join(over, ["chain", "up"], "left").select("chain", "block", F.col("_up").alias("up"), (F.col("weight") + F.coalesce("_weight", F.lit(0.0))).alias("weight"), (F.col("length") + F.coalesce("_length", F.lit(0))).alias("length")).checkpoint()
+    else:
+        raise ValueError("blocks are their own ancestors")
+    done = walk.join(blocks.select("chain", F.col("parent").alias("block")).where("block is not null").distinct(), ["chain", "block"], "left_anti")
+    ranked = done.withColumn("_r", F.expr("row_number() over (partition by chain order by weight desc, block)"))
+    return ranked.where("_r = 1").select("chain", F.col("block").alias("tip"), "weight", "length")
 
 
 def within_quota(uses: DataFrame, quotas: DataFrame, cap: int) -> DataFrame:
