@@ -95,7 +95,10 @@ def test_against_recursion(spark, odd, none, monkeypatch):
     monkeypatch.setattr(ctw, "BUCKET_BYTES", 20)
     monkeypatch.setattr(ctw, "PART_GRAMS", 30)
     monkeypatch.setattr(ctw, "BATCH_BYTES", 8)
+    monkeypatch.setattr(ctw, "RUN_GRAMS", 10)
     check(ctw.score_documents(df.union(df)), brute(rows + rows))
+    monkeypatch.setattr(ctw, "TOP_ROWS", 0)  # only contexts of one byte are broadcast
+    check(ctw.score_documents(df), brute(rows))
     assert ctw.score_documents(none).count() == 0
     assert ctw.score_documents(df.where("doc_id < 0")).count() == 0
 
@@ -104,6 +107,18 @@ def test_odd_rows(odd):
     check(ctw.score_documents(odd.where("length(text) < 1000 or text is null")), brute([(r.doc_id, r.text) for r in odd.collect() if len(r.text or "") < 1000]))
 
 
+def test_windows_cut_nothing(monkeypatch):
+    texts = [b"", b"abracadabra", b"x", b"two words and more", b""]
+    whole, sizes = ctw.gram_codes(texts)
+    assert sizes.tolist() == [len(t) + 1 for t in texts] and len(whole) == sizes.sum()
+    for size in (1, 3, 7, 16):
+        monkeypatch.setattr(ctw, "BATCH_BYTES", size)
+        parts = list(ctw._windows(texts, ctw.DEPTH))
+        assert np.concatenate([c for c, _ in parts]).tolist() == whole.tolist()
+        assert np.bincount(np.concatenate([t for _, t in parts]), minlength=5).tolist() == sizes.tolist()
+        assert [w for part in ctw._words(b"  two words\tand more ") for w in part] == [b"two", b"words", b"and", b"more"]
+
+
 def test_probabilities_of_a_byte_sum_to_one():
     texts = [b"abracadabra", b"banana bandana", b"cab"]
     codes, _ = ctw.gram_codes(texts)

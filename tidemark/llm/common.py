@@ -5,11 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: White space that ends a word, as a regular expression; bytes.split() cuts at the same bytes.
 SPACE = r"[\x20\x09-\x0D]+"
+#: A side of narrow rows is broadcast only if it has, counted, no more than this (64 MB at 64 bytes); beyond it the join shuffles.
+BROADCAST_ROWS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,12 +34,24 @@ def keep(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def forget_shuffles(spark: SparkSession) -> None:
-    """Have Spark delete the shuffle files of finished jobs now; it does so when the driver's JVM collects what refers to them."""
-    import gc
+def keep_told(df: DataFrame, name: str, *facts: Column) -> tuple[DataFrame, tuple]:
+    """keep(), and the values of some aggregates of the rows, observed as they are written."""
+    seen = Observation()
+    table = keep(df.observe(seen, *[f.alias(f"f{k}") for k, f in enumerate(facts)]), name)
+    return table, tuple(seen.get[f"f{k}"] for k in range(len(facts)))
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that keep() has written and nothing reads any more."""
+    for table in tables:
+        for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            where = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """df, broadcast in a join if its rows, counted, are at most BROADCAST_ROWS."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def held_out(id_col: str, modulus: int, remainder: int) -> Column:
@@ -63,6 +77,14 @@ def text_bytes(column) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(binary).to_pylist()]
 
 
+def equal_runs(values):
+    """(start, end) of runs of equal values."""
+    import numpy as np
+
+    cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    return [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
