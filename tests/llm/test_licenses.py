@@ -53,3 +53,23 @@ def test_data_lines():
     assert scan(b"This work is licensed under the GNU General Public License, version 3.")[4:] == ("", "gpl-3", 1.0)
     assert scan(b"x apache license version 2 only")[4:] == ("apache-2", "apache-2", 0.5)
     assert scan(b"")[:] == (0, 0, None, None, "", "", 0.0)
+
+
+def whole(label, k, holder="The Holders"):
+    text = re.sub(r"\{\{\d+\}\}", holder, licenses.TEMPLATES[label][k].replace("[[", "").replace("]]", ""))
+    return " ".join(text.split())
+
+
+def test_holders_may_change_and_warranties_may_not():
+    scan = lambda text: licenses.Scanner(phrases=()).scan(text.encode())[5]
+    for label, k in (("mit", 1), ("bsd", 0), ("isc", 0), ("zlib", 0)):
+        assert scan(whole(label, k)) == label and scan("x y. " + whole(label, k, "Jane Doe, Éva & Sons") + " z") == label
+        liable = "be liable" if "be liable" in whole(label, k).lower() else "be held liable"
+        text = whole(label, k).lower()
+        assert not scan(text.replace(liable, "be very liable")) and not scan(text.replace("the holders " + liable, liable)) and not scan(text[: len(text) * 9 // 10])
+        assert not scan(whole(label, k, "word " * 13))
+    assert not scan(whole("bsd", 0).replace("prior written", "written"))
+    assert scan(re.sub(r"3 Neither.*?permission\.", "", whole("bsd", 0), flags=re.S)) == "bsd"
+    assert scan(whole("gpl-3", 1, "this program")) == "gpl-3" and scan(whole("gpl-2", 0, "this program")) == "gpl-2"
+    assert scan(whole("agpl-3", 0, "this program")) == "agpl-3" and scan(whole("mpl-2", 0)) == "mpl-2"
+    assert scan(whole("apache-2", 1, "www.apache.org/licenses/LICENSE-2.0")) == "apache-2"
