@@ -62,10 +62,11 @@ def unpack(payload: bytes, bits: int, start: int, stop: int):
 class Encoder:
     """Ids of whole texts by the tokenizers library, with the ids of a piece kept for its next appearance.
 
-    The byte-level splitting rule always cuts where white space begins, and at ASCII punctuation after a Latin letter, so the
-    ids of pieces between such places, one after the other, are those of the text. A piece that is a run of Latin
+    Pieces are only cut where the tokenizer itself must cut: first at its added tokens, which the library finds in a text before
+    anything else; then, for a byte-level tokenizer, where its splitting rule always cuts, which is where white space begins, and at ASCII
+    punctuation after a Latin letter. So the ids of the pieces, one after the other, are those of the text. A piece that is a run of Latin
     letters, with or without a space before it, is one pre-token and goes straight to the library's BPE model; others go through
-    the whole tokenizer. kept is the number of pieces that are remembered at once.
+    the whole tokenizer. A tokenizer of any other kind gets whole texts. kept is the number of pieces that are remembered at once.
     """
 
     #: White space as Unicode has it, which is what the vocabulary's splitting rule uses.
@@ -78,7 +79,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), kept
-        self.ids: dict[str, bytes] = {}
+        self.byte_level = self._is_byte_level()
+        found = {t.content: k for k, t in self.tokenizer.get_added_tokens_decoder().items()}
+        #: The longest of added tokens that begin at one place counts.
+        self.added = re.compile("(" + "|".join(map(re.escape, sorted(found, key=len, reverse=True))) + ")") if found else None
+        self.fixed = {t: k.to_bytes(4, "little") for t, k in found.items()}
+        self.ids: dict[str, bytes] = dict(self.fixed)
         self.pieces = re.compile(f"[{self.SPACES}]*[{self.PUNCTUATION}]*[{self.LETTERS}]++(?=[{self.PUNCTUATION}])|[{self.SPACES}]*[^{self.SPACES}]+|[{self.SPACES}]+").findall
         self.plain = re.compile(f" ?[{self.LETTERS}]+").fullmatch
         shown = [b for b in range(256) if chr(b).isprintable() and b != 0x20 and not 0x7F <= b <= 0xA0 and b != 0xAD]
@@ -86,6 +92,25 @@ class Encoder:
         #: The character that stands for each byte in a byte-level vocabulary.
         self.shown = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
+    def _is_byte_level(self) -> bool:
+        """True if the tokenizer is BPE over bytes with the usual splitting rule, and added tokens are plain strings."""
+        import json
+
+        told = json.loads(self.tokenizer.to_str())
+        rule, model = told["pre_tokenizer"] or {}, told["model"]
+        odd = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+        fine = model.get("type") == "BPE" and not any(model.get(k) for k in odd) and rule.get("type") == "ByteLevel" and rule.get("use_regex") and not rule.get("add_prefix_space")
+        tokens = self.tokenizer.get_added_tokens_decoder().values()
+        return bool(fine and not told["normalizer"] and not told["truncation"] and not told["padding"] and not any(t.single_word or t.lstrip or t.rstrip for t in tokens))
+
+    def _split(self, text: str) -> list[str]:
+        if not self.added or not self.added.search(text):
+            return self.pieces(text)
+        out = []
+        for k, part in enumerate(self.added.split(text)):
+            out += [part] if k % 2 else self.pieces(part)
+        return out
+
     def _learn(self, new: set[str]) -> None:
         from array import array
 
@@ -104,11 +129,13 @@ class Encoder:
         """The ids of each text as uint32 arrays."""
         import numpy as np
 
-        split = [self.pieces(t) for t in texts]
+        if not self.byte_level:
+            return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        split = [self._split(t) for t in texts]
         new = set().union(*split) - self.ids.keys()
         if len(self.ids) + len(new) > self.most:
-            self.ids = {}
-            new = set().union(*split)
+            self.ids = dict(self.fixed)
+            new = set().union(*split) - self.ids.keys()
         self._learn(new)
         get = self.ids.__getitem__
         return [np.frombuffer(b"".join(map(get, s)), "<u4") for s in split]
@@ -117,8 +144,8 @@ class Encoder:
 def write(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every whole text, end each document with end_id and write packed blocks in ascending id order.
 
-    Null texts are empty (the end id alone). Null ids come first. Rows with the same id follow each other by text.
-    Extra columns are ignored; an empty table writes a folder without blocks. tokenizer is a file that every executor can open, vocabulary its number of ids.
+    Null texts are empty (the end id alone). Null ids come first. Rows with the same id follow each other by text. A long text is encoded
+    whole and has a block to itself. Extra columns are ignored, whatever their names; an empty table writes a folder without blocks. tokenizer is a file that every executor can open, vocabulary its number of ids.
     """
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     bits = id_bits(max(vocabulary, end_id + 1))
@@ -183,7 +210,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def token_file(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """Write the packed files (to a new folder in the shared one unless path is given) and read each document back from them."""
+    """Write the packed files (to a new folder in the shared one unless path is given) and read each document back from them.
+
+    See write() for nulls, empty and long texts, ties, repeated rows, empty tables and extra columns.
+    """
     path = path or f"{shared_dir(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
     write(docs, path, tokenizer, vocabulary, end_id, id_col, text_col)
     return read(docs.sparkSession, path)
