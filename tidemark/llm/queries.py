@@ -29,23 +29,22 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).withColumn("similarity", F.round("similarity", 6))
 
 
-#: Every window of every item's size that shares a shingle with the item; items have five words or more.
+#: Every window of every item's size that shares a shingle with the item; documents of fewer words are one window.
 OP2_SQL = r"""
-with iw as (select item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ 	-
-]+'), lambda x: x <> '') as w from benchmark),
-dw as (select doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ 	-
-]+'), lambda x: x <> '') as w from documents),
-i5 as (select item_id, len(w) as n, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) as s from iw where len(w) >= 5),
-ic as (select item_id, n, s, count(*) as c from i5 group by all),
-dp as (select doc_id, w, unnest(range(0, len(w) - 4)) as p from dw where len(w) >= 5),
-d5 as (select doc_id, p, array_to_string(w[p + 1:p + 5], ' ') as s from dp),
-size_ as (select doc_id, len(w) - 4 as total from dw),
-pairs as (select distinct doc_id, item_id, n from d5 join ic using (s)),
-starts as (select doc_id, item_id, n, unnest(range(0, total - (n - 4) + 1)) as start from pairs join size_ using (doc_id) where total >= n - 4),
-wc as (select t.doc_id, t.item_id, t.n, t.start, d5.s, count(*) as c from starts t join d5 on d5.doc_id = t.doc_id and d5.p between t.start and t.start + t.n - 5 group by all),
-ov as (select wc.doc_id, wc.item_id, wc.n, wc.start, sum(least(wc.c, ic.c)) as o from wc join ic on ic.item_id = wc.item_id and ic.s = wc.s group by all),
-ok as (select *, o / (2.0 * (n - 4) - o) as similarity from ov where 9 * o >= 8 * (n - 4))
-select doc_id, item_id, cast(arg_min(start, (-o, start)) as int) as start, cast(any_value(n) as int) as n_words, round(max(similarity), 6) as similarity
+with iw as (select item_id, w, len(w) as n, least(len(w), 5) as k from (
+      select item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from benchmark) where len(w) > 0),
+dw as (select doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+i5 as (select item_id, n, k, unnest(list_transform(range(1, n - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as s from iw),
+ic as (select item_id, n, k, s, count(*) as c from i5 group by all),
+dp as (select doc_id, w, k, unnest(range(0, len(w) - k + 1)) as p from dw cross join (select distinct k from iw) where len(w) >= k),
+d5 as (select doc_id, k, p, array_to_string(w[p + 1:p + k], ' ') as s from dp),
+pairs as (select distinct doc_id, item_id, n, k from d5 join ic using (k, s)),
+sized as (select doc_id, item_id, n, k, n - k + 1 as m, len(w) - k + 1 as total, least(n - k + 1, len(w) - k + 1) as wide from pairs join dw using (doc_id)),
+starts as (select *, unnest(range(0, total - wide + 1)) as start from sized where total * 5 >= m * 4),
+wc as (select t.doc_id, t.item_id, t.n, t.k, t.m, t.wide, t.start, d5.s, count(*) as c from starts t join d5 on d5.doc_id = t.doc_id and d5.k = t.k and d5.p between t.start and t.start + t.wide - 1 group by all),
+ov as (select wc.doc_id, wc.item_id, wc.k, wc.m, wc.wide, wc.start, sum(least(wc.c, ic.c)) as o from wc join ic on ic.item_id = wc.item_id and ic.n = wc.n and ic.s = wc.s group by all),
+ok as (select *, cast(o as double) / (m + wide - o) as similarity from ov where 9 * o >= 4 * (m + wide))
+select doc_id, item_id, cast(arg_min(start, (-similarity, start)) as int) as start, cast(arg_min(wide + k - 1, (-similarity, start)) as int) as n_words, round(max(similarity), 6) as similarity
 from ok group by doc_id, item_id
 """
 
