@@ -2,6 +2,7 @@ from fractions import Fraction
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidemark.llm import mixing
 
@@ -73,3 +74,66 @@ def test_drawn_copies_keep_long_documents_shares(spark):
 def test_drawn_copies_of_odd_rows(odd, none):
     out = mixing.mixed(odd, draw=12)
     assert out.columns == odd.columns and out.count() <= 2 * odd.count() and mixing.mixed(none, draw=12).count() == 0
+
+
+def hashed(spark, rows, kinds):
+    """xxhash64 of each row's values, as Spark computes it."""
+    names = [f"c{k}" for k in range(len(kinds))]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i long, " + ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
+    return [r.h for r in df.select("i", F.xxhash64(*names).alias("h")).orderBy("i").collect()]
+
+
+def brute(spark, docs, share=Fraction(3, 2), weights=(3, 1, 2), seed=9):
+    """(doc_id, source, size, taken) of every row, block by block and word by word."""
+    rows = sorted(((r.doc_id, r.source, len((r.text or "").encode().split()), r.h) for r in docs.select("doc_id", "source", "text", F.xxhash64("text").alias("h")).collect()), key=str)
+    copy = [sum(x == r for x in rows[:i]) for i, r in enumerate(rows)]
+    order = hashed(spark, [(r[0], r[3], c, seed) for r, c in zip(rows, copy)], ("long", "long", "long", "int"))
+    deal = hashed(spark, [(r[0], r[3], c, seed + 1) for r, c in zip(rows, copy)], ("long", "long", "long", "int"))
+    sources = sorted({r[1] for r in rows}, key=lambda s: (s is None, (s or "").encode()))
+    sizes = [sum(r[2] for r in rows if r[1] == s) for s in sources]
+    targets = mixing.capped_targets(sizes, [weights[i % 3] for i in range(len(sizes))], share)
+    near = lambda x: int(Fraction(x) + Fraction(1, 2))
+    block = mixing.BLOCK_WORDS
+    seats = quotients(targets, round(sum(targets) / block), [2 * max(1, round(n / block)) if n else 0 for n in sizes])
+    out = []
+    for s, n, q in zip(sources, sizes, seats):
+        shards = max(1, -(-n // mixing.SHARD_WORDS))
+        sets = max(k for k in range(1, shards + 1) if (k - 1) ** 2 < shards)
+        mine = sorted((deal[i] % shards, order[i], rows[i][0], rows[i][2], rows[i][3], copy[i]) for i in range(len(rows)) if rows[i][1] == s and rows[i][2])
+        out += [(*r[:3], 0) for r in rows if r[1] == s and not r[2]]
+        cells = {h: sum(m[3] for m in mine if m[0] == h) for h in sorted({m[0] for m in mine})}
+        blocks = {h: max(1, near(Fraction(c, block))) for h, c in cells.items()}
+        groups = sorted({h % sets for h in cells})
+        own = dict(zip(groups, quotients([sum(c for h, c in cells.items() if h % sets == g) for g in groups], q, [2 * sum(b for h, b in blocks.items() if h % sets == g) for g in groups])))
+        for g in groups:
+            inside = [h for h in cells if h % sets == g]
+            for h, quota in zip(inside, quotients([cells[h] for h in inside], own[g], [2 * blocks[h] for h in inside])):
+                b, c = blocks[h], cells[h]
+                drawn = hashed(spark, [(k, h, seed + 2) for k in range(b)], ("long", "long", "int"))
+                more = sorted(range(b), key=lambda k: drawn[k])[: quota % b]
+                times = [quota // b + (k in more) for k in range(b)]
+                words = [t for k, t in enumerate(times) for _ in range((k + 1) * c // b - k * c // b)]
+                at = 0
+                for _, _, doc, size, _, _ in (m for m in mine if m[0] == h):
+                    out.append((doc, s, size, sum(words[at : at + size])))
+                    at += size
+    return sorted(out, key=str)
+
+
+def test_taken_against_brute_force(spark, sf, odd, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 120").select("doc_id", "text", "source")
+    more = spark.createDataFrame([(None, "a b c", "src1"), (None, "d e", "src1"), (7000, "same row here", None)] + [(7001, "same row " * 9, "src2")] * 5, "doc_id long, text string, source string")
+    for table in (docs.union(more), odd.select("doc_id", "text", "source")):
+        for words in (1_000_000, 2500):
+            monkeypatch.setattr(mixing, "SHARD_WORDS", words)
+            found = sorted(((r.doc_id, r.source, r.size, r.taken) for r in mixing.mix(table).collect()), key=str)
+            assert found == brute(spark, table)
+
+
+def test_clashing_names(spark):
+    names = ["_copy", "_times", "_taken", "_ratio", "_copies", "_id", "row", "id", "u", "times", "copy", "_score", "size", "hash"]
+    docs = spark.createDataFrame([(i, "w " * 50, "ab"[i % 2], *range(len(names))) for i in range(20)], "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names))
+    for draw in (None, 12):
+        out = mixing.mixed(docs, draw=draw)
+        assert out.columns == docs.columns and 0 < out.count() <= 40
+    assert mixing.mix(docs).count() == 20

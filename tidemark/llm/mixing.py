@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import math
 from fractions import Fraction
 
 from pyspark.sql import DataFrame
@@ -10,12 +11,12 @@ from pyspark.sql import functions as F
 
 from .common import keep, word_count
 
-#: Words of a shard of one source, the largest group that one task orders, and of a block at most.
-SHARD_WORDS, BLOCK_WORDS = 1_000_000, 1024
+#: Words of a shard of one source, the largest group that one task orders, and of a block.
+SHARD_WORDS, BLOCK_WORDS = 1_000_000, 64
 #: A table of so many sources is small enough to broadcast.
 BROADCAST_SOURCES = 100_000
-#: Blocks that each source holds on average at least, so that small inputs get small blocks.
-BLOCKS_PER_SOURCE = 256
+#: Copies of a repeated row that one row of an intermediate table stands for at most.
+COPIES = 4096
 
 
 def capped_targets(sizes: list[int], weights: list[int], share: Fraction) -> list[Fraction]:
@@ -65,60 +66,76 @@ def sainte_lague(weights: list, seats: int, most: list[int]) -> list[int]:
     return got.tolist()
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (3, 1, 2), share: Fraction = Fraction(3, 2), seed: int = 9) -> DataFrame:
+def _quotas(cells: DataFrame, keys: list[str], part: str, seats: str, quota: str) -> DataFrame:
+    """cells with the column quota: the seats of each group of keys over its parts, by highest quotients of `cell`, at most `most` each.
+
+    A group is ordered in one task; callers bound the number of its parts.
+    """
+    from pyspark.sql import types as T
+
+    def run(rows):
+        rows = rows.sort_values(part)
+        got = sainte_lague(rows["cell"].tolist(), int(rows[seats].iloc[0]), rows["most"].tolist())
+        return rows.assign(**{quota: got})
+
+    return cells.groupBy(*keys).applyInPandas(run, T.StructType([*cells.schema.fields, T.StructField(quota, T.LongType())]))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (3, 1, 2), share: Fraction = Fraction(3, 2), seed: int = 9, block: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) of every row.
 
     Sources in code point order, null last, take the weights in turn and share the given part of all words. Each
-    source's rows go by a seeded hash into shards; a shard's rows, in seeded order, are cut into blocks of equally many
-    words. Sources get blocks by highest quotients, then each source's shards do, which gives an integer quota per
+    source's rows go by a seeded hash of id, text and number among equal rows into shards; a shard's rows, in seeded order, are cut into blocks of equally many
+    words, `block` each as nearly as the shard divides. Sources get blocks by highest quotients, then each source's groups of shards do, then each group's shards, which gives an integer quota per
     shard; a quota above the shard's blocks takes every block once and the rest again. Which blocks those are
     is drawn by a seeded hash. taken sums a row's words over its blocks' times and is at most twice its size.
 
-    Rows with the same id, source and size follow each other in an order without meaning: swapping equal rows changes
-    no result. Null texts have size 0 and are never taken. An empty table gives no rows. Extra columns are ignored.
+    Repeated rows stand side by side as single rows of their own, in an order without meaning: swapping equal rows changes
+    no result. Null ids are told apart by their texts. Null texts have size 0 and are never taken; a long text takes part in as many blocks as it spans. An empty table gives no rows. Extra columns are ignored, whatever their names.
     One row per source passes through the driver, nothing that grows with the rows.
     """
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(F.col(text_col)).alias("hash"))
     sized = keep(sized, "sizes")
     spark = docs.sparkSession
     found = sized.groupBy("source").agg(F.sum("size").alias("n")).collect()
     found = sorted(((r["source"], r["n"] or 0) for r in found), key=lambda x: (x[0] is None, (x[0] or "").encode()))
     sizes = [n for _, n in found]
     targets = capped_targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], share)
-    block = max(1, min(BLOCK_WORDS, int(sum(targets)) // (BLOCKS_PER_SOURCE * max(1, len(sizes)))))
-    quotas = sainte_lague(targets, round(sum(targets) / block), [2 * max(1, round(n / block)) if n else 0 for n in sizes])
+    seats = sainte_lague(targets, round(sum(targets) / block), [2 * max(1, round(n / block)) if n else 0 for n in sizes])
     shards = [max(1, -(-n // SHARD_WORDS)) for n in sizes]
     table = spark.createDataFrame(
-        [(s, n, float(t), q, k) for (s, n), t, q, k in zip(found, targets, quotas, shards)],
-        "source string, source_size long, target double, seats long, shards long",
+        [(s, n, float(t), q, k, math.isqrt(k - 1) + 1) for (s, n), t, q, k in zip(found, targets, seats, shards)],
+        "source string, source_size long, target double, seats long, shards long, sets long",
     )
     side = F.broadcast(table) if len(found) <= BROADCAST_SOURCES else table
-    parts = sized.join(side, sized["source"].eqNullSafe(table["source"])).drop(table["source"])
-    parts = parts.withColumn("order", F.xxhash64(F.col("doc_id"), F.lit(seed))).withColumn("shard", F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed + 1)), F.col("shards")))
-    cells = parts.where("size > 0").groupBy("source", "shard").agg(F.sum("size").alias("cell"), F.first("seats").alias("seats"))
-
-    def quota(key, rows):
-        rows = rows.sort_values("shard")
-        blocks = [max(1, round(n / block)) for n in rows["cell"].tolist()]
-        got = sainte_lague(rows["cell"].tolist(), int(rows["seats"].iloc[0]), [2 * b for b in blocks])
-        return rows.assign(blocks=blocks, quota=got)[["source", "shard", "cell", "blocks", "quota"]]
-
-    # one row a shard: a source of 100 TB has some millions
-    cells = cells.groupBy("source").applyInPandas(quota, "source string, shard long, cell long, blocks long, quota long")
-    drawn = F.array_sort(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda b: F.struct(F.xxhash64(b, F.col("shard"), F.lit(seed + 2)).alias("h"), b.alias("b"))))
-    rank = F.posexplode(drawn).alias("rank", "d")
-    blocks = cells.select("source", "shard", "cell", "blocks", "quota", rank)
-    blocks = blocks.select("source", "shard", F.col("d.b").alias("block"), F.expr("quota div blocks + if(rank < quota % blocks, 1, 0)").alias("times"), F.expr("(d.b * cell) div blocks").alias("from"), F.expr("((d.b + 1) * cell) div blocks").alias("upto"))
-    spans = F.expr("sum(size) over (partition by source, shard order by order, doc_id, size rows between unbounded preceding and current row)")
-    shape = cells.select(F.col("source").alias("s2"), F.col("shard").alias("h2"), "cell", "blocks")
-    placed = parts.where("size > 0").withColumn("end", spans).withColumn("begin", F.col("end") - F.col("size"))
-    placed = placed.join(shape, placed["source"].eqNullSafe(shape["s2"]) & (placed["shard"] == shape["h2"])).drop("s2", "h2")
-    placed = placed.withColumn("row", F.monotonically_increasing_id()).withColumn("b", F.explode(F.expr("sequence(greatest(0, (begin * blocks) div cell - 1), least(blocks - 1, (end * blocks) div cell + 1))")))
-    taken = placed.join(blocks, placed["source"].eqNullSafe(blocks["source"]) & (placed["shard"] == blocks["shard"]) & (placed["b"] == blocks["block"]))
-    taken = taken.select(placed["source"], "row", "doc_id", "size", "source_size", "target", F.expr("times * greatest(0, least(end, upto) - greatest(begin, from))").alias("part"))
-    full = taken.groupBy("row", "doc_id", "source", "size", "source_size", "target").agg(F.sum("part").alias("taken")).drop("row")
-    none = parts.where("size = 0").select("doc_id", "source", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
-    return full.unionByName(none).select("doc_id", "source", "size", "source_size", "target", F.col("taken").cast("long"))
+    # equal rows as one, then as rows of their own again: they spread over shards, whatever their number
+    equal = sized.groupBy("doc_id", "source", "size", "hash").agg(F.count("*").alias("copies"))
+    some = equal.withColumn("k", F.explode(F.expr(f"sequence(0, (copies - 1) div {COPIES})")))
+    each = some.withColumn("copy", F.explode(F.expr(f"sequence(k * {COPIES}, least(copies, (k + 1) * {COPIES}) - 1)"))).drop("k", "copies")
+    parts = each.join(side, each["source"].eqNullSafe(table["source"])).drop(table["source"])
+    drawn = lambda n: F.xxhash64("doc_id", "hash", "copy", F.lit(n))
+    parts = parts.withColumn("order", drawn(seed)).withColumn("shard", F.pmod(drawn(seed + 1), F.col("shards")))
+    cells = parts.where("size > 0").groupBy("source", "shard").agg(F.sum("size").alias("cell"), F.first("seats").alias("seats"), F.first("sets").alias("sets"))
+    cells = cells.withColumn("blocks", F.expr(f"greatest(1L, cast(round(cell / {block}) as long))")).withColumn("most", F.expr("2 * blocks")).withColumn("set", F.expr("shard % sets"))
+    cells = keep(cells.drop("sets"), "cells")
+    # about as many sets of shards as shards in a set: groups of some thousands at 100 TB
+    sets = cells.groupBy("source", "set").agg(F.sum("cell").alias("cell"), F.sum("most").alias("most"), F.first("seats").alias("seats"))
+    sets = _quotas(sets, ["source"], "set", "seats", "own").select(F.col("source").alias("s"), F.col("set").alias("t"), "own")
+    cells = cells.join(sets, cells["source"].eqNullSafe(sets["s"]) & (cells["set"] == sets["t"])).drop("s", "t", "seats")
+    cells = _quotas(cells, ["source", "set"], "shard", "own", "quota")
+    # the blocks with the smallest hashes stand once more than the others
+    hashes = F.expr(f"array_sort(transform(sequence(0L, blocks - 1), b -> xxhash64(b, shard, {seed + 2})))")
+    cells = cells.withColumn("more", F.expr("quota % blocks")).withColumn("last", F.when(F.col("more") > 0, F.element_at(hashes, F.col("more").cast("int"))))
+    shape = cells.select(F.col("source").alias("s2"), F.col("shard").alias("h2"), "cell", "blocks", F.expr("quota div blocks").alias("times"), "last")
+    placed = parts.where("size > 0").withColumn("end", F.expr("sum(size) over (partition by source, shard order by order, doc_id, size, hash, copy rows between unbounded preceding and current row)"))
+    placed = placed.withColumn("begin", F.col("end") - F.col("size")).join(shape, placed["source"].eqNullSafe(shape["s2"]) & (placed["shard"] == shape["h2"]))
+    upto = "((b + {}) * cell) div blocks"
+    part = f"(times + if(xxhash64(b, shard, {seed + 2}) <= last, 1, 0)) * greatest(0L, least(end, {upto.format(1)}) - greatest(begin, {upto.format(0)}))"
+    spans = "sequence(greatest(0L, (begin * blocks) div cell - 1), least(blocks - 1, (end * blocks) div cell + 1))"
+    full = placed.withColumn("taken", F.expr(f"aggregate({spans}, 0L, (s, b) -> s + {part})"))
+    none = parts.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
+    out = ["doc_id", "source", "size", "source_size", "target", "taken"]
+    return full.select(out).union(none.select(out))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", draw: int | None = None, **options) -> DataFrame:
@@ -128,7 +145,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     size, then in seeded order, the rest of each rounding goes to the next, from a drawn start. So neighbours in size get
     their words together. Rows that share an id, as null ids do, have the ratio of all of them and a draw of their own by id and text.
     Without one, a row appears as often as half of its words or more were taken, and rows that share an id as often as the one taken
-    most; that drops or keeps documents of many blocks together. Columns are those of docs. Rows with a null id follow the same rule.
+    most; that drops or keeps documents of many blocks together. Columns are those of docs, whatever their names. Rows with a null id follow the same rule.
+    Null and empty texts are never taken, an empty table gives no rows.
     """
     taken = mix(docs, id_col, text_col, source_col, **options).where("size > 0").groupBy("doc_id")
     if draw is None:
@@ -141,8 +159,10 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
         upto = F.expr(f"sum(unit) over (partition by source, shard order by size, xxhash64(doc_id, {draw}), doc_id rows between unbounded preceding and current row) + pmod(xxhash64(source, shard, {draw}), 4294967296L)")
         ids = ids.withColumn("upto", upto).withColumn("copies", F.expr("upto div 4294967296L - (upto - unit) div 4294967296L"))
         times = ids.select("doc_id", "_ratio", F.when(F.col("n") == 1, F.col("copies")).alias("_copies"))
-    times = times.where("_ratio > 0").withColumnRenamed("doc_id", "_taken")
-    again = docs.join(times, docs[id_col].eqNullSafe(times["_taken"]))
-    own = F.floor(F.col("_ratio") + F.pmod(F.xxhash64(docs[id_col], docs[text_col], F.lit(draw)), F.lit(1 << 32)) / F.lit(float(1 << 32)))
-    again = again.withColumn("_times", F.coalesce("_copies", own).cast("int")).where("_times > 0")
-    return again.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[again[c] for c in docs.columns])
+    times = times.where("_ratio > 0").withColumnRenamed("doc_id", "_id")
+    # the row as one column, so that its names can't clash with others
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].alias("id"), F.xxhash64(docs[id_col], docs[text_col], F.lit(draw)).alias("u"))
+    again = rows.join(times, rows["id"].eqNullSafe(times["_id"]))
+    own = F.floor(F.col("_ratio") + F.pmod(F.col("u"), F.lit(1 << 32)) / F.lit(float(1 << 32)))
+    again = again.withColumn("times", F.coalesce("_copies", own).cast("int")).where("times > 0")
+    return again.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
