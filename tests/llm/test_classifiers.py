@@ -27,12 +27,21 @@ def test_quality_on_held_out_rows(larger):
     assert all(r.held_out == held(r.doc_id, 5, 0) for r in rows)
     tested = [r for r in rows if r.held_out and r.doc_id in truth]
     assert sum(r.predicted == truth[r.doc_id] for r in tested) >= 0.95 * len(tested)
+    for label in (0, 1):  # recall of each class
+        own = [r for r in tested if truth[r.doc_id] == label]
+        assert own and sum(r.predicted == label for r in own) >= 0.9 * len(own)
     assert sorted((r.doc_id, r.score) for r in quality.score_quality(docs.repartition(5), labels.repartition(3)).collect()) == sorted((r.doc_id, r.score) for r in rows)
     kept = quality.accepted(docs, labels)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(r.doc_id for r in rows if r.predicted)
 
 
+def test_quality_with_clashing_names(odd, larger):
+    docs = odd.selectExpr("*", "1 as _score", "2 as label", "3 as x", "4 as sample_id", "5 as score")
+    kept = quality.accepted(docs, larger[1])
+    assert kept.columns == docs.columns and kept.count() <= docs.count()
+
+
 def test_quality_odd_rows(odd, none, larger):
     labels = larger[1]
     assert quality.score_quality(odd, labels).count() == odd.count()
@@ -73,6 +82,20 @@ def test_toxicity_on_held_out_rows(spark):
     tested = [r for r in rows if r.held_out and r.doc_id in truth]
     assert all(r.held_out == held(r.doc_id, 5, 0) for r in rows)
     assert sum(r.predicted == truth[r.doc_id] for r in tested) >= 0.97 * len(tested)
+    toxic, called = [r for r in tested if truth[r.doc_id]], [r for r in tested if r.predicted]
+    assert sum(r.predicted for r in toxic) >= 0.9 * len(toxic) and sum(truth[r.doc_id] for r in called) >= 0.9 * len(called)
+
+
+def test_rare_labels_keep_their_lexicon(spark):
+    rows = [(i, f"plain words number {i % 7} and so on" + (" vile" if i % 200 == 0 else "") + (" common" if i % 3 == 0 or i % 200 == 0 else ""), int(i % 200 == 0)) for i in range(6000)]
+    sample = spark.createDataFrame(rows, "i long, text string, label int").select("text", "label")
+    assert dict(toxicity.learn_lexicon(sample)).keys() >= {" vile"}
+
+
+def test_many_exceptions_and_matches():
+    matcher = toxicity.Matcher([(" trash ", 2.0), (" can ", 1.0)], ("trash can",))
+    text = "trash can " * 20000 + "trash"
+    assert matcher.mass(text) == (2.0, 1, 40001)
 
 
 def test_toxicity_odd_rows(odd, none, larger):

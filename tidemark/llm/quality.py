@@ -164,8 +164,8 @@ def _scored(rows: DataFrame, text_col: str, model: Trees) -> DataFrame:
 def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, modulus: int = 5, remainder: int = 0, **options) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row.
 
-    score is 0 to 1, predicted 1 at the threshold and above. Null texts count as empty. Without labelled rows every
-    score is 0.5. Repeated rows and null ids stay. Extra columns are ignored; an empty table gives no rows.
+    score is 0 to 1, predicted 1 at the threshold and above. Null texts count as empty, long texts count whole. Without labelled rows every
+    score is 0.5. Repeated rows and null ids stay. Extra columns are ignored, whatever their names; an empty table gives no rows.
     """
     model = fit_quality(docs, labels, id_col, text_col, modulus=modulus, remainder=remainder, **options)
     rows = _scored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "text", model)
@@ -173,6 +173,19 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 
 def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, **options) -> DataFrame:
-    """The rows of docs that the classifier doesn't reject, in the columns of docs."""
+    """The rows of docs that the classifier doesn't reject, in the columns of docs, whatever their names.
+
+    Null and empty texts are scored like any other, long texts whole. Repeated rows and null ids stay or go by their text alone. An empty table gives no rows.
+    """
     model = fit_quality(docs, labels, id_col, text_col, **options)
-    return _scored(docs, text_col, model).where(F.col("_score") >= threshold).select(docs.columns)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            x = np.array([statistics(t) for t in text_bytes(batch.column(at))], float).reshape(-1, len(FEATURES))
+            yield batch.filter(pa.array(model.score(x) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

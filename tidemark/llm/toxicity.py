@@ -9,11 +9,13 @@ exception phrase don't count. The mass of a text and its mass per word give the
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, labelled_sample
+from .common import held_out, keep, labelled_sample
 
 #: Labelled rows that a lexicon is learned from at most, and entries it has at most.
 SAMPLE_ROWS, LEXICON = 40_000, 20_000
@@ -66,21 +68,18 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, float]]:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 seen = {e for w in set(fold(text).split()) for e in entries(w)}
                 tables[label > 0].update(seen)
-                tables[label > 0][""] += 1
         keys = list(tables[0].keys() | tables[1].keys())
         for at in range(0, len(keys), 100_000):
             part = keys[at : at + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *(pa.array([t[k] for k in part], pa.int64()) for t in (tables[1], tables[0]))], names=["entry", "toxic", "clean"])
 
+    totals = {r["toxic"]: r["count"] for r in sample.groupBy((F.col("label") > 0).alias("toxic")).count().collect()}
     counts = sample.select("text", "label").mapInArrow(count, "entry string, toxic long, clean long").groupBy("entry").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
-    seen = counts.where(f"t >= {SUPPORT} and t * 8 > c or entry = ''").orderBy(F.desc("t"), "c", "entry").limit(LEXICON * 5).collect()
-    every = next(((r["t"], r["c"]) for r in seen if r["entry"] == ""), (0, 0))
-    weights = {}
-    for r in seen:
-        t, c = r["t"] + 0.5, r["c"] + 0.5
-        w = math.log(t / (every[0] + 1)) - math.log(c / (every[1] + 1))
-        if r["entry"] and w >= WEIGHT and w / math.sqrt(1 / t + 1 / c) >= CERTAINTY:
-            weights[r["entry"]] = w
+    t, c = F.col("t") + F.lit(0.5), F.col("c") + F.lit(0.5)
+    weight = F.log(t / F.lit(totals.get(True, 0) + 1.0)) - F.log(c / F.lit(totals.get(False, 0) + 1.0))
+    # by rates, so that it doesn't matter how rare the label is
+    sure = counts.withColumn("w", weight).where((F.col("t") >= SUPPORT) & (F.col("w") >= WEIGHT) & (F.col("w") / F.sqrt(1 / t + 1 / c) >= CERTAINTY))
+    weights = {r["entry"]: r["w"] for r in sure.orderBy(F.desc("w"), "entry").limit(LEXICON * 5).collect()}
     kept = {}
     for e in sorted(weights, key=len):
         if all(kept.get(e[:n], 0) < weights[e] - 1 for n in range(PREFIX[0] + 1, len(e))):
@@ -115,7 +114,10 @@ class Matcher:
             else:
                 words[start] = max(words.get(start, 0.0), weight)
         if spared:
-            words = {s: w for s, w in words.items() if not any(a <= s < b for a, b in spared)}
+            spared.sort()
+            starts, ends = [a for a, _ in spared], list(accumulate((b for _, b in spared), max))
+            inside = lambda s: (at := bisect_right(starts, s) - 1) >= 0 and s < ends[at]
+            words = {s: w for s, w in words.items() if not inside(s)}
         return sum(words.values()), len(words), n
 
 
@@ -142,13 +144,13 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     Lexicon and curve are learned from labelled rows whose crc32(id) mod modulus is not the remainder, at most sample_rows of them.
     score is 0 to 1; predicted is 1 at 0.5 and above; hits is the number of matched words. Null texts count as empty.
-    Without any labelled row every score is 0. Repeated rows and null ids stay. Extra columns are ignored.
+    Without any labelled row every score is 0. Long texts are matched whole. Repeated rows and null ids stay. Extra columns are ignored, whatever their names; an empty table gives no rows.
     """
     import numpy as np
 
     ids = F.broadcast(labelled_sample(labels, label_col, ~held_out("doc_id", modulus, remainder), sample_rows))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sample = texts.join(ids, texts["doc_id"] == ids["sample_id"]).select("text", "label")
+    sample = keep(texts.join(ids, texts["doc_id"] == ids["sample_id"]).select("text", "label"), "sample")
     lexicon = learn_lexicon(sample)
 
     def shapes(batches):
