@@ -46,15 +46,19 @@ def id_set_hash(df: DataFrame, id_col: str, by: list[str]) -> DataFrame:
     return ids.select(*by, F.size("_ids").alias("ids"), sha256(F.array_join(ordered_ids("_ids"), "\n")).alias("sha256"))
 
 
+def catalog_texts(df: DataFrame, id_col: str, record_col: str, by: list[str]) -> DataFrame:
+    """(by, objects, text): each group's records as one JSON array in integer order of the ids. A group is one value of at most 2 GB."""
+    rows = F.struct(lenient_int(id_col).alias("n"), F.col(id_col).cast("string").alias("t"), canonical_text(record_col).alias("c"))
+    whole = df.groupBy(*by).agg(F.array_sort(F.collect_list(rows)).alias("_rows"))
+    return whole.select(*by, F.size("_rows").alias("objects"), F.concat(F.lit("["), F.array_join(F.transform("_rows", lambda r: r["c"]), ","), F.lit("]")).alias("text"))
+
+
 def table_hash(df: DataFrame, id_col: str, record_col: str, by: list[str]) -> DataFrame:
     """(by, objects, raw_bytes, sha256): hash of each group's records as one JSON array in integer order of the ids.
 
     A group is one text and so one value of at most 2 GB; use stream_hash or the Merkle root beyond that.
     """
-    rows = F.struct(lenient_int(id_col).alias("n"), F.col(id_col).cast("string").alias("t"), canonical_text(record_col).alias("c"))
-    whole = df.groupBy(*by).agg(F.array_sort(F.collect_list(rows)).alias("_rows"))
-    text = F.concat(F.lit("["), F.array_join(F.transform("_rows", lambda r: r["c"]), ","), F.lit("]"))
-    return whole.select(*by, F.size("_rows").alias("objects"), text.alias("_text")).select(*by, "objects", F.octet_length("_text").alias("raw_bytes"), sha256("_text").alias("sha256"))
+    return catalog_texts(df, id_col, record_col, by).select(*by, "objects", F.octet_length("text").alias("raw_bytes"), sha256("text").alias("sha256"))
 
 
 def stream_hash(df: DataFrame, id_col: str, record_col: str) -> tuple[int, int, str]:

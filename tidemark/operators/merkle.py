@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
+
 #: Largest and smallest chunk in bytes.
 CHUNK, LEAST = 256 * 1024, 32 * 1024
 
@@ -55,11 +57,14 @@ def parents(layer: DataFrame, by: str = "path") -> DataFrame:
 
 
 def layers(found: DataFrame, by: str = "path") -> list[DataFrame]:
-    """All layers from the leaves to the root; as many as the longest file needs. Shorter files' roots go up unchanged."""
-    most = found.agg(F.max("pos")).first()[0]
-    out = [leaves(found, by)]
+    """All layers from the leaves to the root; as many as the longest file needs. Shorter files' roots go up unchanged.
+
+    Each layer is written once, so that files are read and hashed once whatever is made of them.
+    """
+    out = [stored(leaves(found, by), "leaves")]
+    most = out[0].agg(F.max("pos")).first()[0]
     while most:
-        out.append(parents(out[-1], by))
+        out.append(stored(parents(out[-1], by), "layer"))
         most //= 2
     return out
 
@@ -74,6 +79,7 @@ def proofs(found: DataFrame, by: str = "path") -> DataFrame:
 
     The empty chunk that ends a file of whole chunks has a part in the root but no proof.
     """
+    found = stored(found, "chunks")
     walk = found.where("end > start").select(by, "pos", "start", "end", "data_hash", F.array().cast("array<struct<level:int,sibling:string,sibling_left:boolean,left_end:bigint>>").alias("proof"), F.col("pos").alias("_at"))
     for level, layer in enumerate(layers(found, by)[:-1]):
         ends = layer.select(F.col(by).alias("_f"), F.col("pos").alias("_p"), F.col("id").alias("_id"), F.col("end").alias("_end"))

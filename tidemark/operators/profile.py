@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
 from .compare import align, field_diff
 
 
@@ -33,6 +34,19 @@ def id_gaps(ids: DataFrame, id_col: str, bucket: int = 1_000_000) -> DataFrame:
     return whole.select("present", "lowest", "highest", span.alias("span"), (span - F.col("present")).alias("missing"), F.round(F.col("present") / span, 6).alias("density"), F.coalesce("g.size", F.lit(0)).cast("long").alias("largest_gap"), (1 - F.col("g.from")).alias("gap_from"), (F.col("g.to") - 1).alias("gap_to"))
 
 
+def id_gap_changes(states: DataFrame, id_col: str, date_col: str = "snapshot_date") -> DataFrame:
+    """(date, present, missing, largest_gap, present_change, missing_change, gap_change) of each day's ids, changes against the day before in the table; null on the first.
+
+    Gaps between ids of one day are found by a window over the day's ids.
+    """
+    one = states.where(F.col(id_col).isNotNull()).select(date_col, F.col(id_col).cast("long").alias("i")).distinct()
+    nexts = one.withColumn("n", F.expr(f"lead(i) over (partition by {date_col} order by i)"))
+    days = nexts.groupBy(date_col).agg(F.count("*").alias("present"), (F.max("i") - F.min("i") + 1 - F.count("*")).alias("missing"), F.coalesce(F.max(F.col("n") - F.col("i") - 1), F.lit(0)).alias("largest_gap"))
+    before = Window.orderBy(date_col)  # one row for each day
+    change = lambda c: F.col(c) - F.lag(c).over(before)
+    return days.select(date_col, "present", "missing", "largest_gap", change("present").alias("present_change"), change("missing").alias("missing_change"), change("largest_gap").alias("gap_change"))
+
+
 def field_profile(records: DataFrame, record_col: str = "rec") -> DataFrame:
     """(field, records, blanks, distinct, smallest, largest, constant) of every key of record maps; null and '' are blank."""
     fields = records.select(F.explode(record_col).alias("field", "value"))
@@ -78,12 +92,13 @@ def heaviest_branch(blocks: DataFrame, scored: DataFrame) -> DataFrame:
     weights = scored.groupBy("chain", "block").agg(F.sum("score").alias("w"))
     names = blocks.select("chain", F.col("block").alias("parent"), F.lit(True).alias("_known")).distinct()
     own = blocks.select("chain", "block", "parent").distinct().join(weights, ["chain", "block"], "left").join(names, ["chain", "parent"], "left")
-    walk = own.select("chain", "block", F.when(F.col("_known"), F.col("parent")).alias("up"), F.coalesce("w", F.lit(0.0)).alias("weight"), F.lit(1).alias("length")).checkpoint()
+    walk = own.select("chain", "block", F.when(F.col("_known"), F.col("parent")).alias("up"), F.coalesce("w", F.lit(0.0)).alias("weight"), F.lit(1).alias("length"))
+    walk = stored(walk, "walk")
     for _ in range(walk.count().bit_length() + 1):
         if walk.where("up is not null").isEmpty():
             break
         over = walk.select("chain", F.col("block").alias("up"), F.col("up").alias("_up"), F.col("weight").alias("_weight"), F.col("length").alias("_length"))
-        walk = walk.join(over, ["chain", "up"], "left").select("chain", "block", F.col("_up").alias("up"), (F.col("weight") + F.coalesce("_weight", F.lit(0.0))).alias("weight"), (F.col("length") + F.coalesce("_length", F.lit(0))).alias("length")).checkpoint()
+        walk = stored(walk.join(over, ["chain", "up"], "left").select("chain", "block", F.col("_up").alias("up"), (F.col("weight") + F.coalesce("_weight", F.lit(0.0))).alias("weight"), (F.col("length") + F.coalesce("_length", F.lit(0))).alias("length")), "walk")
     else:
         raise ValueError("blocks are their own ancestors")
     done = walk.join(blocks.select("chain", F.col("parent").alias("block")).where("block is not null").distinct(), ["chain", "block"], "left_anti")
@@ -99,9 +114,15 @@ def within_quota(uses: DataFrame, quotas: DataFrame, cap: int) -> DataFrame:
 
 
 def hourly_budget(uses: DataFrame, budget: float) -> DataFrame:
-    """uses (signer, at, cost) with the spend of the hour up to each and whether it is within the budget."""
-    spent = F.expr("sum(cost) over (partition by signer order by at range between interval 1 hour preceding and current row)")
-    return uses.withColumn("spent", spent).withColumn("within", F.col("spent") <= budget)
+    """uses (signer, at, cost) with the spend of the hour up to each and whether it is within the budget.
+
+    A signer's uses go by hours: each is in its own hour and, for what comes after, in the next, so no group holds more than two hours of a signer.
+    """
+    hour = F.unix_timestamp(F.date_trunc("hour", F.col("at").cast("timestamp"))) / 3600
+    both = uses.withColumn("_hour", hour.cast("long")).withColumn("_own", F.explode(F.array(F.lit(True), F.lit(False))))
+    both = both.withColumn("_hour", F.col("_hour") + F.when(F.col("_own"), 0).otherwise(1))
+    spent = F.expr("sum(cost) over (partition by signer, _hour order by at range between interval 1 hour preceding and current row)")
+    return both.withColumn("spent", spent).where("_own").drop("_own", "_hour").withColumn("within", F.col("spent") <= budget)
 
 
 def overlay(index: DataFrame, events: DataFrame, key: str, latest_indexed: int, block_col: str = "block", window_from: int | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.canonical import canonical_text, sha256
 from ..functions.scalars import lenient_int
+from ..schema import ENTRY
 from .ledger import GENESIS, ROLLING, broken_links, date_differences, field_differences
 
 #: Fields that every record has; null values pass.
@@ -114,7 +115,9 @@ def day_rules(least: int = MIN_OBJECTS, require_audit: bool = False, require_cat
 
 def day_violations(days: DataFrame, **options) -> DataFrame:
     """(date, rule, detail) of every broken day rule."""
-    ranked = days.withColumn("_recent", F.expr("dense_rank() over (order by date desc)"))  # one row for each day
+    # dates alone are put in order, their days' artifacts stay where they are
+    dates = days.select("date").distinct().withColumn("_recent", F.expr("row_number() over (order by date desc)"))
+    ranked = days.join(dates, "date")
     broken = F.filter(F.array(*[F.when(condition, F.lit(rule)) for rule, condition in day_rules(**options)]), lambda r: r.isNotNull())
     return ranked.select("date", F.explode(broken).alias("rule")).withColumn("detail", F.concat(F.lit("snapshot "), F.col("date")))
 
@@ -125,6 +128,25 @@ def ledger_violations(ledger: DataFrame | None, manifests: DataFrame, readable:
     if ledger is None or not readable or not is_list:
         rule = "L01" if ledger is None and readable and is_list else "L02" if not readable else "L03"
         return spark.createDataFrame([(None, rule, "ledger")], "date string, rule string, detail string")
+    return _ledger_rules(ledger, manifests)
+
+
+def ledger_text_violations(texts: DataFrame, manifests: DataFrame) -> DataFrame:
+    """ledger_violations() of a ledger's text, as (text) with at most one row: no row breaks L01, text that is no JSON L02, another value than a list L03."""
+    value = F.try_parse_json("text")
+    listed = F.try_variant_get(value, "$", "array<variant>")
+    state = texts.agg(F.count("*").alias("n"), F.count_if(value.isNotNull()).alias("read"), F.count_if(listed.isNotNull()).alias("lists"))
+    first = F.when(F.col("n") == 0, "L01").when(F.col("read") == 0, "L02").when(F.col("lists") == 0, "L03")
+    unfit = state.select(F.lit(None).cast("string").alias("date"), first.alias("rule"), F.lit("ledger").alias("detail")).where("rule is not null")
+    fine = texts.where(listed.isNotNull())
+    rows = fine.select(F.posexplode(F.from_json("text", "array<string>")).alias("position", "e"))
+    entries = rows.select("position", F.from_json("e", ENTRY).alias("e")).select("position", "e.*")
+    # without a list there is nothing to hold manifests against
+    known = manifests.join(fine.select(F.lit(True).alias("_list")).limit(1), how="cross").drop("_list")
+    return unfit.unionByName(_ledger_rules(entries, known))
+
+
+def _ledger_rules(ledger: DataFrame, manifests: DataFrame) -> DataFrame:
     entries = ledger.where("date is not null")
     repeated = entries.groupBy("date").count().where("count > 1").select("date", F.lit("L04").alias("rule"), F.lit("repeated date").alias("detail"))
     order = entries.withColumn("_before", F.expr("lag(date) over (order by position)")).where("_before > date").select("date", F.lit("L05").alias("rule"), F.lit("not in date order").alias("detail"))

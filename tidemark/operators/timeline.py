@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..feed import Feed
 from ..functions.scalars import snapshot_date
+from .merge import IGNORED, NEW, UNCHANGED, UPDATED
 from .windows import in_window, latest
 
 
@@ -33,14 +34,17 @@ def resume(history: DataFrame, feed: Feed, snapshots: DataFrame, date_col: str =
     snapshots holds the rows of the existing days with their date and the time their state stands for; each starts a
     segment that runs to the next one, and a row of history counts in the segment whose state time it isn't before.
     """
-    starts = snapshots.select(F.col(date_col).alias("_date"), F.col(as_of_col).alias("_as_of")).distinct()
+    starts = snapshots.select(F.col(date_col).cast("date").alias("_date"), F.col(as_of_col).alias("_as_of")).distinct()
     order = Window.orderBy("_date")  # one row for each archived day
     starts = starts.withColumn("_until", F.lead("_date").over(order))
     days = history.withColumn("valid_from", snapshot_date(feed.created))
-    inside = F.broadcast(starts) if starts.count() <= 100_000 else starts
-    own = days.join(inside, (F.col("valid_from") > F.col("_date")) & (F.col("_until").isNull() | (F.col("valid_from") < F.col("_until"))) & (F.col(feed.created) >= F.col("_as_of")))
+    # each calendar day knows its segment, so history meets it by equality; the last segment ends with the history
+    end = days.agg(F.max("valid_from")).first()[0]
+    last = F.coalesce(F.date_sub("_until", 1), F.greatest(F.lit(end).cast("date"), F.col("_date")))
+    spread = starts.where(F.date_add("_date", 1) <= last).withColumn("valid_from", F.explode(F.sequence(F.date_add("_date", 1), last)))
+    own = days.join(spread, "valid_from").where(F.col(feed.created) >= F.col("_as_of"))
     own = latest(own, feed, ("_date", "valid_from")).drop("_as_of")
-    base = snapshots.withColumnRenamed(date_col, "_date").withColumn("valid_from", F.col("_date")).drop(as_of_col).join(starts.select("_date", "_until"), "_date")
+    base = snapshots.withColumn("_date", F.col(date_col).cast("date")).drop(date_col).withColumn("valid_from", F.col("_date")).drop(as_of_col).join(starts.select("_date", "_until"), "_date")
     rows = own.unionByName(base)
     by_day = Window.partitionBy("_date", feed.id).orderBy("valid_from")
     most = F.max(feed.key()).over(by_day.rowsBetween(Window.unboundedPreceding, -1))
@@ -62,29 +66,38 @@ def as_of(history: DataFrame, feed: Feed, cutoff) -> DataFrame:
     return latest(in_window(history, feed, upper=cutoff), feed)
 
 
-def replay_windows(history: DataFrame, feed: Feed, start, end) -> DataFrame:
+def daily_changes(history: DataFrame, feed: Feed, start=None, end=None, arrived: str | None = None, base: DataFrame | None = None) -> DataFrame:
+    """(window_date, id, raw_rows, change): what each daily window did to each object of a state that began as base, or empty.
+
+    change is new, updated, unchanged or ignored_older, as in merge; of rows without an id only the number counts. Windows go by the column `arrived`,
+    by default the publication time. Only ids, keys and a hash of the content are shuffled; a day's rows of an object meet in each task first.
+    """
+    at = arrived or feed.created
+    rows = in_window(history, Feed(feed.id, at), start, end)
+    content = history.drop(arrived) if arrived else history
+    best = F.struct(feed.key().alias("key"), feed.content_hash(content).alias("content")).alias("_best")
+    rows = rows.select(F.to_date(at).alias("window_date"), F.col(feed.id), best)
+    if base is not None:  # before every window
+        rows = rows.union(base.select(F.lit(None).cast("date"), F.col(feed.id), best))
+    days = rows.groupBy("window_date", feed.id).agg(F.count("*").alias("raw_rows"), F.max("_best").alias("_best"))
+    most = F.max("_best").over(Window.partitionBy(feed.id).orderBy("window_date").rowsBetween(Window.unboundedPreceding, -1))
+    days = days.withColumn("_most", most)
+    change = F.when(F.col("_most").isNull(), NEW).when(F.col("_best.key") > F.col("_most.key"), UPDATED).when(F.col("_best.content") == F.col("_most.content"), UNCHANGED).otherwise(IGNORED)
+    return days.where("window_date is not null").select("window_date", feed.id, "raw_rows", F.when(F.col(feed.id).isNotNull(), change).alias("change"))
+
+
+def replay_windows(history: DataFrame, feed: Feed, start, end, arrived: str | None = None) -> DataFrame:
     """What each daily window from start to end did to a state that began empty. The last window may be part of a day.
 
     Columns: window_date, raw_rows, deduped, applied, ignored, objects_before, objects_after. A row that is not above
     the state is ignored if it differs from it and not counted if it doesn't. Days without rows have no row.
     """
-    rows = in_window(history, feed, start, end).withColumn("window_date", F.to_date(feed.created))
-    raw = rows.groupBy("window_date").agg(F.count("*").alias("raw_rows"))
-    days = latest(rows, feed, ("window_date",)).withColumn("_content", feed.content_hash(history))
-    before = Window.partitionBy(feed.id).orderBy("window_date").rowsBetween(Window.unboundedPreceding, -1)
-    most = F.max(F.struct(feed.key().alias("key"), F.col("_content").alias("content"))).over(before)
-    days = days.withColumn("_most", most)
-    applied = F.col("_most").isNull() | (feed.key() > F.col("_most.key"))
-    counts = days.groupBy("window_date").agg(
-        F.count("*").alias("deduped"),
-        F.count_if(applied).alias("applied"),
-        F.count_if(~applied & (F.col("_most.content") != F.col("_content"))).alias("ignored"),
-        F.count_if(F.col("_most").isNull()).alias("_first"),
+    is_ = lambda *kinds: F.count_if(F.col("change").isin(*kinds))
+    days = daily_changes(history, feed, start, end, arrived).groupBy("window_date").agg(
+        F.sum("raw_rows").alias("raw_rows"), F.count("change").alias("deduped"), is_(NEW, UPDATED).alias("applied"), is_(IGNORED).alias("ignored"), is_(NEW).alias("_first")
     )
-    upto = Window.orderBy("window_date")  # one row for each day
-    after = F.sum("_first").over(upto)
-    found = raw.join(counts, "window_date", "left").na.fill(0, ["deduped", "applied", "ignored", "_first"])
-    return found.select("window_date", "raw_rows", "deduped", "applied", "ignored", (after - F.col("_first")).alias("objects_before"), after.alias("objects_after"))
+    after = F.sum("_first").over(Window.orderBy("window_date"))  # one row for each day
+    return days.select("window_date", "raw_rows", "deduped", "applied", "ignored", (after - F.col("_first")).alias("objects_before"), after.alias("objects_after"))
 
 
 def daily_agreement(states: DataFrame, feed: Feed) -> DataFrame:

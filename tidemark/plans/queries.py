@@ -339,17 +339,10 @@ def merkle_roots(spark, sf_dir):
 
 
 def stream_daily_latest(spark, sf_dir):
-    import uuid
-
+    from ..sources.shared import new_path
     from ..streaming.daily import run_daily
 
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if root is None:
-        import tempfile
-
-        root = tempfile.mkdtemp(prefix="spark-")
-    out = f"{root}/stream-{uuid.uuid4().hex}"
+    out = new_path(spark, "stream")
     events = table(spark, sf_dir, "events")
     stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     query = run_daily(stream, EVENTS, f"{out}/days", f"{out}/log")
