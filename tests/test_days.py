@@ -103,7 +103,7 @@ def test_changes_of_late_rows(spark):
 def test_resume_has_no_range_join(spark):
     rows = [("1", at("2024-01-01T10:00"), 1, "a"), ("1", at("2024-01-12T10:00"), 1, "b"), ("2", at("2024-01-15T10:00"), 1, "c")]
     df = spark.createDataFrame(rows, KIND)
-    snapshots = df.where("v = 'a'").withColumn("snapshot_date", F.lit("2024-01-10").cast("date")).withColumn("state_as_of", F.lit("2024-01-10").cast("timestamp_ntz"))
+    snapshots = spark.createDataFrame([(*rows[0], dt.date(2024, 1, 10), at("2024-01-10"))], KIND + ", snapshot_date date, state_as_of timestamp_ntz")
     found = timeline.resume(df, FEED, snapshots)
     assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString() and "Cartesian" not in found._jdf.queryExecution().executedPlan().toString()
     states = timeline.daily_states(found, "2024-01-10", "2024-01-17").groupBy("snapshot_date").agg(F.array_join(F.array_sort(F.collect_list("v")), "").alias("v")).orderBy("snapshot_date")
