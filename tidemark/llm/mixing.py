@@ -55,14 +55,16 @@ def sainte_lague(weights: list, seats: int, most: list[int]) -> list[int]:
     for _ in range(200):
         middle = (low + high) / 2
         low, high = (low, middle) if middle > 0 and at(middle).sum() <= seats else (middle, high)
-    got = at(high)
-    quotients = [(-w[i] / (2 * got[i] + 1), i) for i in np.flatnonzero((got < cap) & (w > 0)).tolist()]
+    # seats near the divisor go by exact quotients, where equal ones count as equal
+    got = at(high * (1 + 1e-9))
+    exact = [Fraction(x) for x in weights]
+    quotients = [(-exact[i] / (2 * int(got[i]) + 1), i) for i in np.flatnonzero((got < cap) & (w > 0)).tolist()]
     heapq.heapify(quotients)
     for _ in range(seats - int(got.sum())):
         _, i = heapq.heappop(quotients)
         got[i] += 1
         if got[i] < cap[i]:
-            heapq.heappush(quotients, (-w[i] / (2 * got[i] + 1), i))
+            heapq.heappush(quotients, (-exact[i] / (2 * int(got[i]) + 1), i))
     return got.tolist()
 
 
