@@ -2,35 +2,42 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import discard, new_path, shared_dir  # noqa: F401
+
 #: White space that ends a word, as a regular expression; bytes.split() cuts at the same bytes.
 SPACE = r"[\x20\x09-\x0D]+"
 #: A side of narrow rows is broadcast only if it has, counted, no more than this (64 MB at 64 bytes); beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
+#: Bytes of an Arrow batch for Python workers.
+BATCH_BYTES = 8 << 20
+
 
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Python workers get texts in Arrow batches of at most BATCH_BYTES while a table is written; the session's own setting comes back afterwards.
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir, or a folder of its own in local mode."""
-    sc = spark.sparkContext
-    given = sc.getConf().get("spark.checkpoint.dir")
-    if sc.getCheckpointDir() is None:
-        if given is None and not (sc.master == "local" or sc.master.startswith("local[")):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="spark-"))
-    return sc.getCheckpointDir()
+    A batch is in memory on both sides, so large ones cost several times their size in each task.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def keep(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.option("compression", compression).parquet(path)
+    path, schema = new_path(spark, name), df.schema
+    with small_batches(spark):
+        df.write.option("compression", compression).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -41,14 +48,6 @@ def keep_told(df: DataFrame, name: str, *facts: Column) -> tuple[DataFrame, tupl
     return table, tuple(seen.get[f"f{k}"] for k in range(len(facts)))
 
 
-def discard(*tables: DataFrame) -> None:
-    """Delete tables that keep() has written and nothing reads any more."""
-    for table in tables:
-        for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-            where = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def small(df: DataFrame, rows: int) -> DataFrame:
     """df, broadcast in a join if its rows, counted, are at most BROADCAST_ROWS."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
