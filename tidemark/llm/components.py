@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep
+from .common import discard, keep_told
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -21,17 +21,21 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, made: list | None = None) -> DataFrame:
     """(u, v) links between longs -> (node, component) with component the smallest node reachable.
 
     Only nodes with a link appear. Links may repeat, point either way or join a node to itself. Every round is a
-    written table, so lineage stays short; rounds grow with the logarithm of a component's diameter.
+    written table, so lineage stays short; rounds grow with the logarithm of a component's diameter. The tables of
+    earlier rounds are deleted; the last one, which the result reads, is appended to `made`.
     """
-    now = keep(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+    facts = F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))
+    now, mark = keep_told(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links", *facts)
     while mark[0]:
-        now = keep(_small_star(_large_star(now)), "links")
-        last, mark = mark, now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        before, last = now, mark
+        now, mark = keep_told(_small_star(_large_star(now)), "links", *facts)
+        discard(before)
         if last == mark:
             break
+    if made is not None:
+        made.append(now)
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

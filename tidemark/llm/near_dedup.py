@@ -18,7 +18,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, text_bytes
+from .common import keep, small, text_bytes
 from .components import connected_components
 from .similar import similar_groups
 
@@ -122,9 +122,12 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Groups are those of near_duplicates (shingles of 3 words by default) or, if a similarity is given, of similar_groups (5 words).
     Rows with a null id stay. Of rows that repeat both id and text one stays. Columns are those of docs.
     """
-    found = near_duplicates(docs, id_col, text_col, shingle or 3) if similarity is None else similar_groups(docs, id_col, text_col, shingle or 5, similarity)
-    groups = keep(found, "groups")
+    if similarity is None:
+        groups = keep(near_duplicates(docs, id_col, text_col, shingle or 3), "groups")
+    else:
+        groups = similar_groups(docs, id_col, text_col, shingle or 5, similarity)
     ids = groups.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n"))
     gone = ids.where(~F.col("stays")).select(F.col("doc_id").alias("_gone"))
-    kept = docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
-    return kept.dropDuplicates([id_col, text_col]) if ids.where("n > 1").limit(1).count() else kept
+    repeats, leave = ids.agg(F.count_if(F.col("n") > 1), F.count_if(~F.col("stays"))).first()
+    kept = docs.join(small(gone, leave), docs[id_col].cast("long") == gone["_gone"], "left_anti")
+    return kept.dropDuplicates([id_col, text_col]) if repeats else kept

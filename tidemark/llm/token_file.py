@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import shared_dir
+from .common import shared_dir, small_batches
 
 #: Ids that close a block; a block holds whole documents, so a longer one has a block to itself.
 BLOCK_IDS = 1 << 17
@@ -73,7 +73,7 @@ class Encoder:
     SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
     LETTERS, PUNCTUATION = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", r"!-/:-@\[-`{-~"
 
-    def __init__(self, path: str, kept: int = 900_000):
+    def __init__(self, path: str, kept: int = 250_000):
         import re
 
         from tokenizers import Tokenizer
@@ -182,7 +182,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: i
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
     rows = rows.repartitionByRange(max(1, -(-total // SHARD_BYTES)), "id").sortWithinPartitions("id", "t")
-    rows.mapInArrow(run, BLOCK_TYPE).write.option("compression", "zstd").parquet(path)
+    with small_batches(docs.sparkSession):
+        rows.mapInArrow(run, BLOCK_TYPE).write.option("compression", "zstd").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
