@@ -114,9 +114,77 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vector_codes import vector_codes
+
+    return vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def _floor_mean(total: str, count: str) -> str:
+    """floor(total / count) of whole numbers in SQL, where // cuts towards zero."""
+    return f"(({total}) - ((({total}) % {count}) + {count}) % {count}) // {count}"
+
+
+def _op11_sql(rounds: int = 6) -> str:
+    """Components as rows (vec_id, part, position); each round a table of assignments and one of entries."""
+    kept = "embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+    steps = [
+        f"v as materialized (select vec_id, label, list_transform(embedding, lambda x: cast(floor(4096 * cast(x as double)) as bigint)) as q from embeddings where {kept})",
+        "c as materialized (select vec_id, p, k, q[p * w + k + 1] as x from (select *, len(q) // 8 as w, unnest(range(8)) as p from v) t, lateral (select unnest(range(w)) as k) u)",
+        "b0 as materialized (select p, cast(e as bigint) as e, k, x from c join (select vec_id, row_number() over (order by vec_id) - 1 as e from v qualify row_number() over (order by vec_id) <= 16) s using (vec_id))",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"d{r} as materialized (select c.vec_id, c.p, b.e, sum((c.x - b.x) * (c.x - b.x)) as d from c join b{r} b on c.p = b.p and c.k = b.k group by all)")
+        steps.append(f"a{r} as materialized (select vec_id, p, arg_min(e, (d, e)) as e, min(d) as d from d{r} group by all)")
+        if r < rounds:
+            new = f"select p, e, k, {_floor_mean('sum(x)', 'count(*)')} as x from a{r} join c using (vec_id, p) group by all"
+            steps.append(f"b{r + 1} as materialized (select b.p, b.e, b.k, cast(coalesce(n.x, b.x) as bigint) as x from b{r} b left join ({new}) n on n.p = b.p and n.e = b.e and n.k = b.k)")
+    final = f"""
+f as materialized (select vec_id, string_agg(printf('%02x', e), '' order by p) as code, cast(sum(d) as bigint) as error from a{rounds} group by all),
+l as (select label, cast(sum(error) as bigint) as label_error from f join v using (vec_id) group by all),
+h as (select sha256(string_agg(cast(x as varchar), ',' order by p, e, k)) as codebooks_sha256 from b{rounds})
+select f.vec_id, code, error, label_error, codebooks_sha256 from f join v using (vec_id) join l on l.label is not distinct from v.label cross join h"""
+    return "with " + ",\n".join(steps) + "," + final
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .centroids import clusters
+
+    return clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def _op12_sql(rounds: int = 10) -> str:
+    kept = "len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+    steps = [
+        f"v as materialized (select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as q from embeddings where {kept})",
+        "c as materialized (select vec_id, unnest(range(64)) as k, unnest(q) as x from v)",
+        "s as materialized (select vec_id, row_number() over (order by sha256('3:' || vec_id)) - 1 as e from v qualify row_number() over (order by sha256('3:' || vec_id)) <= 8)",
+        "b0 as materialized (select e, k, x from c join s using (vec_id))",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"d{r} as materialized (select c.vec_id, b.e, sum((c.x - b.x) * (c.x - b.x)) as d from c join b{r} b on c.k = b.k group by all)")
+        steps.append(f"a{r} as materialized (select vec_id, arg_min(e, (d, e)) as e, min(d) as d from d{r} group by all)")
+        if r < rounds:
+            new = f"select e, k, {_floor_mean('sum(x)', 'count(*)')} as x from a{r} join c using (vec_id) group by all"
+            steps.append(f"b{r + 1} as materialized (select b.e, b.k, cast(coalesce(n.x, b.x) as bigint) as x from b{r} b left join ({new}) n on n.e = b.e and n.k = b.k)")
+    final = f"""
+h as (select e, sha256(string_agg(cast(x as varchar), ',' order by k)) as centroid_sha256 from b{rounds} group by all)
+select vec_id, cast(a.e as int) as cluster, cast(d as bigint) as distance, cast(sum(d) over (partition by a.e) as bigint) as cluster_inertia,
+       cast(sum(d) over () as bigint) as inertia, centroid_sha256 from a{rounds} a join h on h.e = a.e"""
+    return "with " + ",\n".join(steps) + "," + final
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .piece_model import digests
+
+    return digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_context_tree_weighting, op2_decontamination, op3_token_file, op4_quality, op5_language, op6_toxicity, op7_licenses, op8_top_k, op9_mixing, op10_simhash_near_dedup, pipeline)}
+    return {f.__name__: f for f in (op1_context_tree_weighting, op2_decontamination, op3_token_file, op4_quality, op5_language, op6_toxicity, op7_licenses, op8_top_k, op9_mixing, op10_simhash_near_dedup, op11_vector_codes, op12_centroids, op13_pieces, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op8_top_k": OP8_SQL}
+    return {"op2_decontamination": OP2_SQL, "op8_top_k": OP8_SQL, "op11_vector_codes": _op11_sql(), "op12_centroids": _op12_sql()}
