@@ -48,6 +48,31 @@ def test_table_hash_and_stream_hash_agree(spark):
     assert (found.objects, found.raw_bytes, found.sha256) == canonical.stream_hash(df, "object_id", "rec") == (len(rows), len(text), hashlib.sha256(text).hexdigest())
 
 
+def test_days_of_any_size_are_streamed(spark, monkeypatch):
+    """Pieces of 200 bytes, batches of 7 rows, groups that are null, repeated ids, texts outside ASCII."""
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None]), str(rng.randrange(150)), {"id": "x", "v": rng.choice(["é\x7f", '"\\', None, "\x01"])}) for _ in range(600)] + [("long", "1", {"v": "y" * 1000})]
+    df = spark.createDataFrame(rows, "day string, object_id string, rec map<string,string>").repartition(6)
+    want = {}
+    for d in ("a", "b", None, "long"):
+        text = ("[" + ",".join(t for _, t in sorted((int(i), dumps(r)) for day, i, r in rows if day == d)) + "]").encode()
+        want[d] = (sum(day == d for day, _, _ in rows), len(text), hashlib.sha256(text).hexdigest())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = {r.day: (r.objects, r.raw_bytes, r.sha256) for r in canonical.table_hash(df, "object_id", "rec", ["day"]).collect()}
+        pieces = canonical.text_pieces(df, "object_id", "rec", ["day"], size=200).persist()
+        assert pieces.count() > 60 and pieces.where("records > 1 and length(text) > 400").count() == 0
+        streamed = {r.day: (r.objects, r.raw_bytes, r.sha256) for r in canonical.piece_hash(pieces, ["day"]).collect()}
+        ids = {r.day: (r.ids, r.sha256) for r in canonical.id_set_hash(df, "object_id", ["day"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found == streamed == want
+    for d in want:
+        have = sorted({int(i) for day, i, _ in rows if day == d})
+        assert ids[d] == (len(have), hashlib.sha256("\n".join(map(str, have)).encode()).hexdigest())
+    assert canonical.stream_hash(df.where("1 = 0"), "object_id", "rec") == (0, 2, hashlib.sha256(b"[]").hexdigest())
+
+
 def test_id_set_hash(spark):
     df = spark.createDataFrame([("10", 1), ("9", 1), ("9", 1), (None, 1), ("2", 2)], "id string, day int")
     got = {r.day: (r.ids, r.sha256) for r in canonical.id_set_hash(df, "id", ["day"]).collect()}
@@ -129,7 +154,6 @@ def test_attestations(spark):
     scores = spark.createDataFrame([("p", 10, 3.0), ("p", 11, 99.0), ("q", 6, 2.5)], "attester string, score_time int, score double")
     scored = profile.scored_attestations(attested, scores)
     assert {(r.block, r.attester): r.score for r in scored.collect()} == {("b", "p"): 3.0, ("x", "q"): 2.5, ("a", "q"): 0.0, ("g", "z"): 0.0}
-    spark.sparkContext.setCheckpointDir("/tmp/checkpoints")
     assert {(r.chain, r.tip, r.weight, r.length) for r in profile.heaviest_branch(blocks, scored).collect()} == {("c", "b", 3.0, 3), ("d", "only", 0.0, 1)}
 
 
