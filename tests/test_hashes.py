@@ -130,6 +130,76 @@ def test_merkle(spark):
     assert not any(r.ok for r in merkle.check_proofs(spoiled, known).collect())
 
 
+def test_files_are_read_by_ranges(spark, tmp_path):
+    """Runs of 50 bytes stand for files beyond 2 GB: chunks of a run follow a seek."""
+    from tidemark.sources import files
+
+    rng = random.Random(11)
+    data = {f"{n}.bin": rng.randbytes(n) for n in (1, 15, 16, 19, 33, 160, 163, 1000, 5000)}
+    for name, b in data.items():
+        (tmp_path / name).write_bytes(b)
+    listed = files.file_list(spark, str(tmp_path))
+    found = files.chunk_hashes(listed, 16, 4, run_bytes=50)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.path.rsplit("/", 1)[1], []).append((r.pos, r.start, r.end, r.data_hash))
+    known = {r.path.rsplit("/", 1)[1]: r.root for r in merkle.roots(found).collect()}
+    whole = {r.path.rsplit("/", 1)[1]: (r.bytes, r.sha256) for r in files.file_hashes(listed).collect()}
+    for name, b in data.items():
+        cuts, root = tree(b, 16, 4)
+        assert sorted(got[name]) == [(k, a, z, hashlib.sha256(b[a:z]).hexdigest()) for k, (a, z) in enumerate(cuts)]
+        assert known[name] == root and whole[name] == (len(b), hashlib.sha256(b).hexdigest())
+
+
+def _chunked(spark, data):
+    return merkle.chunks(spark.createDataFrame([(k, bytearray(v)) for k, v in data.items()], "path string, content binary"), size=16, least=4)
+
+
+def test_differences_of_trees(spark, monkeypatch):
+    rng = random.Random(12)
+    old = {"a": rng.randbytes(16 * 300 + 7), "b": rng.randbytes(40), "gone": rng.randbytes(50), "same": rng.randbytes(700), "grown": rng.randbytes(33)}
+    new = dict(old) | {"new": rng.randbytes(20), "grown": old["grown"] + rng.randbytes(16 * 40)}
+    del new["gone"]
+    changed = bytearray(new["a"])
+    changed[16 * 5] ^= 1
+    changed[16 * 299] ^= 1
+    new["a"] = bytes(changed)
+    want = set()
+    for f in {*old, *new}:
+        x, y = ({k: (a, z, d[f][a:z]) for k, (a, z) in enumerate(tree(d[f], 16, 4)[0])} if f in d else {} for d in (old, new))
+        for k in {*x, *y}:
+            if x.get(k) != y.get(k):
+                a, z, _ = y.get(k) or x[k]
+                want.add((f, k, a, z, "added" if k not in x else "removed" if k not in y else "changed"))
+    trees = [merkle.Tree(_chunked(spark, d)) for d in (old, new)]
+    for pushed in (1000, 0):
+        monkeypatch.setattr(merkle, "PUSHED", pushed)
+        found, compared = merkle.differences(*trees)
+        assert {tuple(r) for r in found.collect()} == want
+    one = [merkle.Tree(_chunked(spark, {"a": d["a"]})) for d in (old, new)]
+    found, compared = merkle.differences(*one)
+    assert found.count() == 2 and compared <= 4 * len(one[0].levels) < 301
+    found, compared = merkle.differences(trees[1], trees[1])
+    assert found.count() == 0 and compared == len(new)
+
+
+def test_one_proof_for_many_chunks(spark, monkeypatch):
+    rng = random.Random(13)
+    data = {"a": rng.randbytes(16 * 37 + 5), "b": rng.randbytes(10), "c": rng.randbytes(16 * 8)}
+    found = _chunked(spark, data)
+    known, whole = merkle.roots(found), merkle.Tree(found)
+    for pushed in (1000, 0):
+        monkeypatch.setattr(merkle, "PUSHED", pushed)
+        chosen = found.where("end > start and (pos in (0, 1, 7, 20, 36) or path = 'b')")
+        proof = merkle.joint_proof(whole, chosen)
+        beside = proof.where("id is not null and path = 'a'").count()
+        alone = merkle.proofs(found).where("path = 'a' and pos in (0, 1, 7, 20, 36)").agg({"proof": "count"}).first()[0]
+        assert beside < sum(len(r.proof) for r in merkle.proofs(found).where("path = 'a' and pos in (0, 1, 7, 20, 36)").collect()) and alone == 5
+        assert {r.path: r.ok for r in merkle.check_joint_proof(chosen, proof, known).collect()} == {"a": True, "b": True, "c": True}
+    spoiled = chosen.withColumn("data_hash", merkle.F.when(merkle.F.expr("path = 'a' and pos = 20"), merkle.F.sha2("data_hash", 256)).otherwise(merkle.F.col("data_hash")))
+    assert {r.path: r.ok for r in merkle.check_joint_proof(spoiled, proof, known).collect()} == {"a": False, "b": True, "c": True}
+
+
 def test_profiles(spark):
     df = spark.createDataFrame([({"a": "1", "b": ""},), ({"a": "1", "b": None},), ({"a": "2"},)], "rec map<string,string>")
     got = {r.field: (r.records, r.blanks, r["distinct"], r.smallest, r.largest, r.constant) for r in profile.field_profile(df).collect()}
