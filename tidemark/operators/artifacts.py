@@ -76,9 +76,14 @@ def audits(streaks: DataFrame, names: DataFrame, observed: DataFrame, unknown: D
 
 
 def files(states: DataFrame, manifests: DataFrame, delta: DataFrame | None = None, audit: DataFrame | None = None, visibility: DataFrame | None = None, id_col: str = "object_id", record_col: str = "rec", date_col: str = "snapshot_date") -> DataFrame:
-    """(date, name, text) of all artifacts: catalogs, and the others as JSON, where manifests leave out what isn't set."""
+    """(date, name, text) of all artifacts: catalogs, each a value of at most 2 GB, and json_files(). sources.days writes larger catalogs from text_pieces()."""
     catalogs = catalog_texts(states, id_col, record_col, [date_col]).select(F.date_format(date_col, "yyyy-MM-dd").alias("date"), F.lit("catalog.json.gz").alias("name"), "text")
+    return catalogs.unionByName(json_files(manifests, delta, audit, visibility))
+
+
+def json_files(manifests: DataFrame, delta: DataFrame | None = None, audit: DataFrame | None = None, visibility: DataFrame | None = None) -> DataFrame:
+    """(date, name, text) of a day's artifacts besides the catalog, as JSON; manifests leave out what isn't set."""
     json = lambda df, name, nulls: df.select("date", F.lit(name).alias("name"), F.to_json(F.struct(*df.columns), {"ignoreNullFields": nulls}).alias("text"))
-    parts = [catalogs, json(manifests, "manifest.json", "true")]
+    parts = [json(manifests, "manifest.json", "true")]
     parts += [json(df, name, "false") for df, name in ((delta, "delta.json"), (audit, "audit.json"), (visibility, "visibility_state.json")) if df is not None]
     return reduce(DataFrame.unionByName, parts)

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..feed import EVENTS, Feed
-from ..functions.canonical import as_record
+from ..functions.canonical import as_record, text_pieces
 from ..functions.scalars import date_spine
 from ..operators import artifacts, maintenance, merkle, profile, rules, timeline, visibility
-from ..sources import archive
+from ..sources import archive, catalogs, days, files
 from ..sources.shared import new_path, stored
 
 FIRST, LAST = "2024-01-02", "2024-02-15"
@@ -106,13 +106,20 @@ def visibility_state(spark, sf_dir):
 # archives as files
 
 
-def _archive_files(spark, sf_dir):
-    """(date, name, text) of a whole archive: genesis, rolling days, deltas, audits and visibility states."""
+def _archive(spark, sf_dir, root):
+    """(run, artifacts): catalogs of a whole archive, staged below root as compressed files, and (date, name, text) of all else, whose manifests tell of those files."""
     states = stored(_states(spark, sf_dir), "states")
-    found = stored(archive.manifests(catalog_records(states), archived_at=ARCHIVED, strategy=STRATEGY, version=VERSION, genesis_at=GENESIS_AT), "manifests")
+    pieces = stored(text_pieces(catalog_records(states), "object_id", "rec", ["snapshot_date"]), "pieces").withColumn("date", F.date_format("snapshot_date", "yyyy-MM-dd"))
+    run = days.stage_days(pieces.select("date", F.lit(CATALOG).alias("name"), F.col("shard").alias("part"), "seq", "text"), root, lists=(CATALOG,))
+    counts = pieces.groupBy("date").agg(F.sum("records").alias("objects"))
+    hashed = days.staged(spark, root, run).select("date", F.col("bytes").alias("compressed_bytes"), "raw_bytes", "sha256").join(counts, "date")
+    found = stored(archive.manifests_of(hashed, archived_at=ARCHIVED, strategy=STRATEGY, version=VERSION, genesis_at=GENESIS_AT), "manifests")
     changes = timeline.daily_changes(events(spark, sf_dir), EVENTS, F.lit(GENESIS_AT[:-1]).cast("timestamp_ntz"), base=_base(spark, sf_dir))
     audit, seen = _audits(spark, sf_dir, states)
-    return artifacts.files(catalog_records(states), found, artifacts.deltas(changes, found, "user_id"), audit, seen)
+    return run, artifacts.json_files(found, artifacts.deltas(changes, found, "user_id"), audit, seen)
+
+
+CATALOG = archive.ARTIFACTS[0]
 
 
 #: What is done to one artifact of a day, as (rule, artifact, pattern, replacement); without a pattern the artifact is left out. The day is that many after the first.
@@ -131,7 +138,7 @@ BREACHES = (
     ("R35", "visibility_state.json", r"(?s)^(.{20}).*$", "$1"), ("R36", "visibility_state.json", r'"date":"[^"]*"', '"date":"2023-01-01"'), ("R37", "visibility_state.json", r'"observed_at_utc":"[^"]*"', '"observed_at_utc":"x"'), ("R38", "visibility_state.json", '"missing_objects"', '"objects"'), ("R39", "visibility_state.json", r'(?s)"missing_objects":.*$', '"missing_objects":{}}'),
 )
 #: Rules that a breach breaks besides its own.
-ALSO = {"R06": ("R05", "R07", "R08"), "R09": ("R31",), "R10": ("R05", "R07", "R08"), "R11": ("R05", "R07", "R08", "R09"), "R12": ("R05",), "R14": ("R31",), "R20": ("R24",), "R21": ("R24",), "R22": ("R24",), "R23": ("R24",), "R32": ("R39",)}
+ALSO = {"R06": ("R05", "R07", "R08"), "R09": ("R31",), "R10": ("R05", "R07", "R08"), "R11": ("R05", "R07", "R08", "R09"), "R12": ("R05", "R08"), "R14": ("R31",), "R20": ("R24",), "R21": ("R24",), "R22": ("R24",), "R23": ("R24",), "R32": ("R39",)}
 
 
 def breach_day(rule: str) -> str:
@@ -141,18 +148,18 @@ def breach_day(rule: str) -> str:
     return str(date.fromisoformat(FIRST) + timedelta(days=0 if rule == "R14" else int(rule[1:])))
 
 
-def _broken_files(spark, sf_dir):
-    files = _archive_files(spark, sf_dir)
+def _broken_days(spark, sf_dir):
+    root = new_path(spark, "archive")
+    run, others = _archive(spark, sf_dir, root)
+    sound = days.staged(spark, root, run)
+    paths = [f"{root}/{r['path']}" for r in sound.select("path").collect()]
+    texts = spark.read.text(paths, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"/([0-9-]{10})/[^/]+$", 1).alias("date"), F.lit(CATALOG).alias("name"), F.col("value").alias("text"))
+    files = texts.unionByName(others)
     here = lambda rule, name: (F.col("date") == breach_day(rule)) & (F.col("name") == name)
     gone = reduce(lambda a, b: a | b, [here(rule, name) for rule, name, pattern, _ in BREACHES if pattern is None])
     changes = [F.when(here(rule, name), F.regexp_replace("text", pattern, new)) for rule, name, pattern, new in BREACHES if pattern is not None]
-    return files.where(~gone).withColumn("text", F.coalesce(*changes, "text"))
-
-
-def _broken_days(spark, sf_dir):
-    root = new_path(spark, "archive")
-    archive.write_files(_broken_files(spark, sf_dir), root)
-    return archive.days_of(archive.stored_files(spark, root), date_spine(spark, FIRST, LAST).select(day("date")))
+    days.write_days(files.where(~gone).withColumn("text", F.coalesce(*changes, "text")), root)
+    return archive.written_days(spark, root, date_spine(spark, FIRST, LAST).select(day("date")))
 
 
 def archive_audit(spark, sf_dir):
@@ -166,14 +173,36 @@ def restore_checked(spark, sf_dir):
     return maintenance.restore_checked(plan, days)
 
 
-def file_inventory(spark, sf_dir):
+def _sound_archive(spark, sf_dir):
     root = new_path(spark, "archive")
-    files = _archive_files(spark, sf_dir)
-    archive.write_files(files.where("date <= '2024-01-31'"), root)
-    # a run for one day again, without its audit, leaves no audit of the earlier run
-    archive.write_files(files.where("date = '2024-01-31' and name in ('catalog.json.gz', 'manifest.json')"), root)
-    found = archive.inventory(spark, root, ("catalog.json.gz", "audit.json"))
-    return found.select("date", F.explode("files").alias("f")).select("date", F.col("f.path").alias("name"), F.when(F.col("f.path") == "catalog.json.gz", F.col("f.bytes")).alias("bytes"), F.when(F.col("f.path") == "catalog.json.gz", F.col("f.sha256")).alias("sha256"))
+    run, others = _archive(spark, sf_dir, root)
+    days.write_days(others, root, staged=(run,))
+    # a run for the last day again, without its audit, leaves no audit of the earlier run
+    again = days.stage_days(days.staged(spark, root, run).where(F.col("date") == LAST).select("date", "name", F.lit("[]").alias("text")), root)
+    days.write_days(others.where((F.col("date") == LAST) & (F.col("name") == "manifest.json")), root, staged=(again,))
+    return root
+
+
+def file_inventory(spark, sf_dir):
+    """Every catalog and audit that is visible; of catalogs what the compressed file holds, read as a stream, and whether its bytes are those that were written."""
+    root = _sound_archive(spark, sf_dir)
+    shown = stored(days.visible(spark, root).where(F.col("name").isin(CATALOG, "audit.json")), "visible")
+    key = lambda c: F.regexp_extract(c, r"/(_files/.+)$", 1).alias("key")
+    hashed = files.file_hashes(shown.select("path", "bytes")).select(key("path"), F.col("sha256").alias("file_sha256"))
+    facts = catalogs.catalog_facts(spark, [r["path"] for r in shown.where(F.col("name") == CATALOG).select("path").collect()])
+    facts = facts.select(key("path"), "compressed_bytes", "catalog.raw_bytes", F.col("catalog.sha256").alias("held"))
+    same = F.when(F.col("name") == CATALOG, F.col("compressed_bytes") == F.col("bytes")).otherwise(F.col("file_sha256") == F.col("sha256"))
+    found = shown.select("date", "name", "bytes", "sha256", key("path")).join(hashed, "key").join(facts, "key", "left")
+    return found.select("date", "name", F.col("raw_bytes").alias("bytes"), F.col("held").alias("sha256"), same.alias("intact"))
+
+
+def catalog_rows(spark, sf_dir):
+    """Every record of every day, out of the compressed files."""
+    root = _sound_archive(spark, sf_dir)
+    paths = [r["path"] for r in days.visible(spark, root).where(F.col("name") == CATALOG).select("path").collect()]
+    found = catalogs.catalog_rows(spark, paths)
+    rec = lambda c: F.col("rec")[c]
+    return found.select(F.regexp_extract("path", r"/([0-9-]{10})/[^/]+$", 1).alias("date"), "pos", "object_id", rec("GP_ID").alias("gp_id"), rec("OBJECT_NAME").alias("object_name"), rec("CREATION_DATE").alias("created"), F.size("rec").cast("long").alias("fields"))
 
 
 def ledger_rules(spark, sf_dir):
@@ -280,8 +309,10 @@ ORACLES = {
     "archive_audit": "select * from (values " + ", ".join(f"('{breach_day(r)}', '{x}')" for r in sorted({b[0] for b in BREACHES}) for x in (r, *ALSO.get(r, ()))) + ") as t(date, rule)",
     "restore_checked": f"""with spine as (select cast(unnest(generate_series(date '2024-01-03', date '2024-02-10', interval 1 day)) as date) as d)
       select strftime(d, '%Y-%m-%d') as date, case when day(d) % 4 = 0 then 'skipped' else coalesce(w, 'hydrated') end as status from spine left join (values {', '.join(f"(date '{breach_day(r)}', '{w}')" for r, w in (("R01", "unreadable"), ("R02", "unreadable"), ("R04", "unreadable"), ("R05", "sha256"), ("R06", "sha256"), ("R07", "raw_bytes"), ("R08", "compressed_bytes"), ("R09", "object_count"), ("R10", "sha256"), ("R11", "sha256"), ("R12", "sha256"), ("R13", "unreadable")))}) as t(d, w) using (d)""",
-    "file_inventory": f"""with {_CATALOGS_SQL} select date, 'catalog.json.gz' as name, cast(strlen(t) + 1 as bigint) as bytes, sha256(t || chr(10)) as sha256 from catalogs where date <= '2024-01-31'
-      union all select date, 'audit.json', null, null from catalogs where date <= '2024-01-30'""",
+    "file_inventory": f"""with {_CATALOGS_SQL} select date, 'catalog.json.gz' as name, cast(case when date = '{LAST}' then 2 else strlen(t) end as bigint) as bytes, sha256(case when date = '{LAST}' then '[]' else t end) as sha256, true as intact from catalogs
+      union all select date, 'audit.json', null, null, true from catalogs where date <> '{LAST}'""",
+    "catalog_rows": f"""with {_STATES_SQL} select strftime(d, '%Y-%m-%d') as date, row_number() over (partition by d order by user_id) - 1 as pos, cast(user_id as varchar) as object_id, cast(event_id as varchar) as gp_id, event_type as object_name, strftime(ts, '%Y-%m-%dT%H:%M:%S') as created, cast(11 as bigint) as fields
+      from states where d <> date '{LAST}'""",
     "ledger_rules": """select * from (values ('absent', 'L01', 'ledger'), ('cut', 'L02', 'ledger'), ('no_list', 'L03', 'ledger'), ('repeated', 'L04', 'repeated date'), ('swapped', 'L05', 'not in date order'), ('short', 'L06', 'only in manifests'), ('no_object', 'L07', 'entry 9'), ('altered', 'L08', 'object_count')) as t("case", rule, detail)""",
     "resume_archive": """with spine as (select cast(unnest(generate_series(date '2024-01-10', date '2024-01-31', interval 1 day)) as date) as d, case when d < date '2024-01-20' then date '2024-01-10' else date '2024-01-20' end as s, case when d < date '2024-01-20' then 7 else 3 end as m),
       r as (select d, user_id, event_id, row_number() over (partition by d, user_id order by ts desc, event_id desc) as r from spine join events on ts < d and (ts >= s or user_id % m <> 0))
@@ -318,4 +349,4 @@ ORACLES["merkle_proofs"] = f"""with {_CHUNKS_SQL}, t as (select *, max(pos) over
   v as (select path, pos, a, z, unnest(range(0, 20)) as i, last from t where z > a)
   select path, cast(pos as bigint) as pos, cast(a as bigint) as start, cast(z as bigint) as "end", cast(count(*) filter (xor(pos >> i, 1) <= last >> i and last >> i > 0) as int) as levels, true as ok from v group by all"""
 
-QUERIES = {f.__name__: f for f in (manifest_full, replay_late, delta_artifact, audit_artifact, visibility_state, archive_audit, restore_checked, file_inventory, ledger_rules, resume_archive, id_gap_changes, heaviest_branch, publication, merkle_proofs)}
+QUERIES = {f.__name__: f for f in (manifest_full, replay_late, delta_artifact, audit_artifact, visibility_state, archive_audit, restore_checked, file_inventory, catalog_rows, ledger_rules, resume_archive, id_gap_changes, heaviest_branch, publication, merkle_proofs)}

@@ -14,7 +14,11 @@ from ..feed import Feed
 from ..functions.canonical import canonical_text, table_hash
 from ..functions.scalars import id_ranges, lenient_int
 from ..operators.ledger import GENESIS, ROLLING
-from ..operators.rules import catalog_facts, require_valid
+from ..operators.rules import catalog_facts as text_facts
+from ..operators.rules import require_valid
+from .catalogs import catalog_facts
+from .days import visible
+from .shared import stored
 
 #: The files of a day that belong to a bundle.
 ARTIFACTS = ("catalog.json.gz", "manifest.json", "delta.json", "audit.json", "visibility_state.json")
@@ -138,10 +142,29 @@ def days_of(files: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     return _joined(*[files.where(F.col("name") == name) for name in (*ARTIFACTS[1:], ARTIFACTS[0])], dates=dates)
 
 
+def written_days(spark: SparkSession, root: str, dates: DataFrame | None = None) -> DataFrame:
+    """days_of() what days.write_days() has written: of each day the latest commit's files. Catalogs of any size are read as streams of records, see catalogs.catalog_facts()."""
+    shown = stored(visible(spark, root).where(F.col("name").isin(*ARTIFACTS)), "visible")
+    key = lambda c: F.regexp_extract(c, r"/(_files/.+)$", 1).alias("key")
+    paths = {name: [r["path"] for r in shown.where(F.col("name") == name).select("path").collect()] for name in ARTIFACTS}  # a path a day
+    named = shown.select("date", "name", key("path"))
+    small = [p for name in ARTIFACTS[1:] for p in paths[name]]
+    kind = "key string, text string, file_bytes long"
+    texts = spark.read.text(small, wholetext=True).select(key("_metadata.file_path"), F.col("value").alias("text"), F.col("_metadata.file_size").alias("file_bytes")) if small else spark.createDataFrame([], kind)
+    texts = named.join(texts, "key", "left").withColumn("text", F.coalesce("text", F.lit("")))
+    found = catalog_facts(spark, paths[ARTIFACTS[0]]) if paths[ARTIFACTS[0]] else spark.createDataFrame([], f"path string, compressed_bytes long, catalog struct<readable:boolean,sha256:string,raw_bytes:long,canonical:boolean,objects:long,repeats:boolean,ordered:boolean,incomplete:boolean>")
+    there = named.where(F.col("name") == ARTIFACTS[0]).join(found.select(key("path"), "compressed_bytes", "catalog"), "key", "left")
+    # an empty file leaves no row to tell of it
+    unread = F.struct(*[(F.lit(False) if f.name == "readable" else F.lit(None).cast(f.dataType)).alias(f.name) for f in found.schema["catalog"].dataType])
+    cats = there.select("date", F.coalesce("compressed_bytes", F.lit(0)).alias("compressed_bytes"), F.coalesce("catalog", unread).alias("catalog"))
+    return _joined(*[texts.where(F.col("name") == name) for name in ARTIFACTS[1:]], cats, dates=dates)
+
+
 def _joined(manifests: DataFrame, deltas: DataFrame, audits: DataFrame, states: DataFrame, catalogs: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+    """Catalogs come as texts, or with their facts as (date, compressed_bytes, catalog)."""
     kinds = (("manifest", manifests, schema.MANIFEST), ("delta", deltas, schema.DELTA), ("audit", audits, schema.AUDIT), ("visibility", states, schema.VISIBILITY))
     parts = [parsed_artifact(found, kind).select("date", F.col("parsed").alias(name), F.col("broken").alias(f"{name}_broken")) for name, found, kind in kinds]
-    cats = catalogs.select("date", F.col("file_bytes").alias("compressed_bytes"), F.struct(*catalog_facts("text")).alias("catalog"))
+    cats = catalogs if "catalog" in catalogs.columns else catalogs.select("date", F.col("file_bytes").alias("compressed_bytes"), F.struct(*text_facts("text")).alias("catalog"))
     return reduce(lambda a, b: a.join(b, "date", "left"), [*([] if dates is None else [dates.select("date").distinct()]), *parts, cats]).na.fill(False, [f"{name}_broken" for name, _, _ in kinds])
 
 
@@ -189,16 +212,21 @@ def manifests(states: DataFrame, id_col: str = "object_id", record_col: str = "r
     """Manifests of daily states, each day linked to the one before by date, hash and window.
 
     A day's state stands for its midnight. With genesis_at, the time of an observation, the first day is a genesis: its state stands for that time, where the next
-    day's window then begins. Otherwise the first day has no base. compressed_bytes is what an uncompressed file takes; a writer that compresses puts its own there.
+    day's window then begins. Otherwise the first day has no base. compressed_bytes is what an uncompressed file takes; see manifests_of() for written files.
     """
     hashed = table_hash(states, id_col, record_col, [date_col]).withColumn("date", F.date_format(date_col, "yyyy-MM-dd"))
+    return manifests_of(hashed.withColumn("compressed_bytes", F.col("raw_bytes")), archived_at, strategy, version, genesis_at)
+
+
+def manifests_of(hashed: DataFrame, archived_at: str | None = None, strategy: str | None = None, version: str | None = None, genesis_at: str | None = None) -> DataFrame:
+    """manifests() of days whose catalogs are known as (date, objects, raw_bytes, compressed_bytes, sha256)."""
     days = Window.orderBy("date")  # one row for each day
     first = F.lag("date").over(days).isNull() & F.lit(genesis_at is not None)
     hashed = hashed.withColumn("_first", first).withColumn("as_of", F.when(F.col("_first"), F.lit(genesis_at)).otherwise(F.concat("date", F.lit("T00:00:00Z"))))
     raw = F.col("raw_bytes").cast("long")
     start = F.lag("as_of").over(days)
     return hashed.select(
-        "date", F.col("as_of").alias("cutoff_utc"), F.col("as_of").alias("state_as_of_utc"), "sha256", F.col("objects").cast("long").alias("object_count"), raw.alias("raw_bytes"), raw.alias("compressed_bytes"),
+        "date", F.col("as_of").alias("cutoff_utc"), F.col("as_of").alias("state_as_of_utc"), "sha256", F.col("objects").cast("long").alias("object_count"), raw.alias("raw_bytes"), F.col("compressed_bytes").cast("long").alias("compressed_bytes"),
         F.when(F.col("_first"), GENESIS).otherwise(ROLLING).alias("provenance"), F.lit(FORMAT).alias("format"), F.lit(SOURCE).alias("source"), F.lit(version).cast("string").alias("pipeline_version"), F.lit(strategy).cast("string").alias("query_strategy"),
         F.lit(archived_at).cast("string").alias("archived_at"), F.lag("date").over(days).alias("base_snapshot_date"), F.lag("sha256").over(days).alias("base_snapshot_sha256"),
         start.alias("delta_window_start_utc"), F.when(start.isNotNull(), F.col("as_of")).alias("delta_window_end_utc"), F.when(F.col("_first"), F.lit(genesis_at)).alias("observed_at_utc"),
