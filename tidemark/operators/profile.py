@@ -19,29 +19,38 @@ def agreement(archives: DataFrame) -> DataFrame:
     return days.select("date", "archives", "hashes", F.col("top.sha256").alias("common_sha256"), (-F.col("top.col1")).alias("agreeing"), ((F.col("hashes") == 1) & (F.col("counts") == 1)).alias("agreed"))
 
 
-def id_gaps(ids: DataFrame, id_col: str, bucket: int = 1_000_000) -> DataFrame:
-    """(present, lowest, highest, span, missing, density, largest_gap, gap_from, gap_to) of a set of integer ids.
+def gap_summaries(ids: DataFrame, id_col: str, by: tuple[str, ...] = (), bucket: int = 65_536) -> DataFrame:
+    """(by, b, present, lo, hi, gap) of each group's buckets of so many ids: how many there are, the least, the largest, and the largest gap inside as (size, -from, to).
 
-    Gaps are found in buckets of ids in parallel; the buckets' ends, one row each, then meet once for the gaps between them.
+    A bucket has at most `bucket` distinct ids, so no window is larger; repeats are dropped before it.
     """
-    one = ids.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("i")).distinct().withColumn("b", F.expr(f"i div {bucket}"))
-    nexts = one.withColumn("n", F.expr("lead(i) over (partition by b order by i)"))
-    inner = nexts.groupBy("b").agg(F.count("*").alias("present"), F.min("i").alias("lo"), F.max("i").alias("hi"), F.max(F.when(F.col("n") > F.col("i") + 1, F.struct((F.col("n") - F.col("i") - 1).alias("size"), (-F.col("i")).alias("from"), F.col("n").alias("to")))).alias("gap"))
-    ends = inner.withColumn("next", F.expr("lead(lo) over (order by b)"))  # one row for each bucket that has ids
+    one = ids.where(F.col(id_col).isNotNull()).select(*by, F.col(id_col).cast("long").alias("i")).distinct().withColumn("b", F.floor(F.col("i") / bucket).cast("long"))
+    nexts = one.withColumn("n", F.lead("i").over(Window.partitionBy(*by, "b").orderBy("i")))
+    gap = F.when(F.col("n") > F.col("i") + 1, F.struct((F.col("n") - F.col("i") - 1).alias("size"), (-F.col("i")).alias("from"), F.col("n").alias("to")))
+    return nexts.groupBy(*by, "b").agg(F.count("*").alias("present"), F.min("i").alias("lo"), F.max("i").alias("hi"), F.max(gap).alias("gap"))
+
+
+def merged_gaps(summaries: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, present, lowest, highest, g) of buckets' summaries, joined at their edges: one row a bucket takes part, for all groups at once."""
+    ends = summaries.withColumn("next", F.lead("lo").over(Window.partitionBy(*by).orderBy("b")))
     between = F.when(F.col("next") > F.col("hi") + 1, F.struct((F.col("next") - F.col("hi") - 1).alias("size"), (-F.col("hi")).alias("from"), F.col("next").alias("to")))
-    whole = ends.agg(F.sum("present").alias("present"), F.min("lo").alias("lowest"), F.max("hi").alias("highest"), F.max(F.greatest("gap", between)).alias("g"))
+    return ends.groupBy(*by).agg(F.sum("present").alias("present"), F.min("lo").alias("lowest"), F.max("hi").alias("highest"), F.max(F.greatest("gap", between)).alias("g"))
+
+
+def id_gaps(ids: DataFrame, id_col: str, bucket: int = 1_000_000) -> DataFrame:
+    """(present, lowest, highest, span, missing, density, largest_gap, gap_from, gap_to) of a set of integer ids; of equal gaps the lowest."""
+    whole = merged_gaps(gap_summaries(ids, id_col, (), bucket))
     span = F.col("highest") - F.col("lowest") + 1
     return whole.select("present", "lowest", "highest", span.alias("span"), (span - F.col("present")).alias("missing"), F.round(F.col("present") / span, 6).alias("density"), F.coalesce("g.size", F.lit(0)).cast("long").alias("largest_gap"), (1 - F.col("g.from")).alias("gap_from"), (F.col("g.to") - 1).alias("gap_to"))
 
 
-def id_gap_changes(states: DataFrame, id_col: str, date_col: str = "snapshot_date") -> DataFrame:
+def id_gap_changes(states: DataFrame, id_col: str, date_col: str = "snapshot_date", bucket: int = 65_536) -> DataFrame:
     """(date, present, missing, largest_gap, present_change, missing_change, gap_change) of each day's ids, changes against the day before in the table; null on the first.
 
-    Gaps between ids of one day are found by a window over the day's ids.
+    Days are summed up in buckets of ids, so that neither a day's ids nor those of a range meet in one task.
     """
-    one = states.where(F.col(id_col).isNotNull()).select(date_col, F.col(id_col).cast("long").alias("i")).distinct()
-    nexts = one.withColumn("n", F.expr(f"lead(i) over (partition by {date_col} order by i)"))
-    days = nexts.groupBy(date_col).agg(F.count("*").alias("present"), (F.max("i") - F.min("i") + 1 - F.count("*")).alias("missing"), F.coalesce(F.max(F.col("n") - F.col("i") - 1), F.lit(0)).alias("largest_gap"))
+    whole = merged_gaps(gap_summaries(states, id_col, (date_col,), bucket), (date_col,))
+    days = whole.select(date_col, "present", (F.col("highest") - F.col("lowest") + 1 - F.col("present")).alias("missing"), F.coalesce("g.size", F.lit(0).cast("long")).alias("largest_gap"))
     before = Window.orderBy(date_col)  # one row for each day
     change = lambda c: F.col(c) - F.lag(c).over(before)
     return days.select(date_col, "present", "missing", "largest_gap", change("present").alias("present_change"), change("missing").alias("missing_change"), change("largest_gap").alias("gap_change"))
@@ -55,10 +64,61 @@ def field_profile(records: DataFrame, record_col: str = "rec") -> DataFrame:
     return found.withColumn("constant", F.col("distinct") <= 1)
 
 
-def top_values(records: DataFrame, n: int, record_col: str = "rec") -> DataFrame:
-    """(field, rank, value, count): the n most frequent values of each field, ties by value: a report."""
-    counts = records.select(F.explode(record_col).alias("field", "value")).where("value is not null").groupBy("field", "value").agg(F.count("*").alias("count"))
-    return counts.withColumn("rank", F.expr("row_number() over (partition by field order by count desc, value)")).where(F.col("rank") <= n).select("field", "rank", "value", "count")
+def value_summaries(records: DataFrame, kept: int, record_col: str = "rec") -> DataFrame:
+    """(field, value, low, lost): each task's most frequent values of each field, `kept` of them at most, with counts that are too low by no more than `lost`.
+
+    A task that holds more values takes the count of the first one beyond those kept off all of them, and forgets what falls to zero: no value that it forgets had
+    more than `lost` records there, which stands once for each field, with a null value.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        held: dict[str, dict[str, int]] = {}
+        lost: dict[str, int] = {}
+        for batch in batches:
+            counts = pa.table([batch.column(0), batch.column(1)], names=["f", "v"]).group_by(["f", "v"]).aggregate([([], "count_all")])
+            for field, value, n in zip(*[counts.column(k).to_pylist() for k in ("f", "v", "count_all")]):
+                mine = held.setdefault(field, {})
+                mine[value] = mine.get(value, 0) + n
+            for field, mine in held.items():
+                if len(mine) > 2 * kept:
+                    off = sorted(mine.values(), reverse=True)[kept]
+                    held[field] = {v: n - off for v, n in mine.items() if n > off}
+                    lost[field] = lost.get(field, 0) + off
+        rows = [(f, v, n, 0) for f, mine in held.items() for v, n in mine.items()] + [(f, None, 0, n) for f, n in lost.items()]
+        for at in range(0, len(rows), 10_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at : at + 10_000]), (pa.string(), pa.string(), pa.int64(), pa.int64()))], names=["field", "value", "low", "lost"])
+
+    fields = records.select(F.explode(record_col).alias("field", "value")).where("value is not null")
+    return fields.mapInArrow(run, "field string, value string, low long, lost long")
+
+
+def top_values(records: DataFrame, n: int, record_col: str = "rec", kept: int = 10_000) -> DataFrame:
+    """(field, rank, value, count): the n most frequent values of each field, ties by value: a report.
+
+    Tasks sum up their most frequent values in bounded memory (value_summaries). Values whose count could reach the n-th one are then counted exactly, and the report
+    stands if no other value can have as many: if the records that the tasks may have lost of it are fewer than the n-th exact count. Fields for which that
+    doesn't hold, whose values are nearly equally frequent, are counted in full.
+    """
+    sums = stored(value_summaries(records, kept, record_col).groupBy("field", "value").agg(F.sum("low").alias("low"), F.sum("lost").alias("lost")), "values")
+    lost = sums.groupBy("field").agg(F.sum("lost").alias("off"))
+    ranked = sums.where("value is not null").withColumn("r", F.expr("row_number() over (partition by field order by low desc)")).where(F.col("r") <= n)
+    least = ranked.groupBy("field").agg(F.min("low").alias("bar"), F.max("r").alias("there"))
+    bounds = lost.join(least, "field", "left").withColumn("bar", F.when(F.col("there") == n, F.col("bar")).otherwise(0))
+    near = sums.where("value is not null").join(bounds, "field").where("low + off >= bar").select("field", "value")
+    fields = records.select(F.explode(record_col).alias("field", "value")).where("value is not null")
+    exact = stored(fields.join(near, ["field", "value"], "left_semi").groupBy("field", "value").agg(F.count("*").alias("count")), "counts")
+    rank = F.expr("row_number() over (partition by field order by count desc, value)")
+    best = exact.withColumn("rank", rank).where(F.col("rank") <= n)
+    last = best.groupBy("field").agg(F.min("count").alias("last"), F.count("*").alias("there"))
+    # nothing lost: every value has been counted
+    unproven = lost.join(last, "field", "left").where((F.col("off") > 0) & ((F.coalesce("there", F.lit(0)) < n) | (F.col("off") >= F.col("last")))).select("field")
+    unproven = stored(unproven, "unproven")
+    if unproven.isEmpty():
+        return best.select("field", "rank", "value", "count")
+    full = fields.join(F.broadcast(unproven), "field", "left_semi").groupBy("field", "value").agg(F.count("*").alias("count")).withColumn("rank", rank).where(F.col("rank") <= n)
+    return best.join(F.broadcast(unproven), "field", "left_anti").unionByName(full).select("field", "rank", "value", "count")
 
 
 def key_sets(records: DataFrame, record_col: str = "rec") -> DataFrame:

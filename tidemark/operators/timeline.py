@@ -22,6 +22,11 @@ def versions(history: DataFrame, feed: Feed, base: DataFrame | None = None, base
     if base is not None:
         first = F.lit(base_date).cast("date")
         days = days.where(F.col("valid_from") > first).unionByName(base.withColumn("valid_from", first))
+    return ranged(days, feed)
+
+
+def ranged(days: DataFrame, feed: Feed) -> DataFrame:
+    """valid_to for rows that have a valid_from, of which an object has one a day at most; rows whose key isn't above all earlier ones go."""
     by_day = Window.partitionBy(feed.id).orderBy("valid_from")
     most = F.max(feed.key()).over(by_day.rowsBetween(Window.unboundedPreceding, -1))
     rows = days.withColumn("_most", most).where(F.col("_most").isNull() | (feed.key() > F.col("_most"))).drop("_most")
