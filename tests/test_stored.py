@@ -97,3 +97,22 @@ def test_top_values_with_bounded_memory(spark, kept):
             assert all(r["count"] <= 5 * 2 * kept for r in counted)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_state_store_stream(spark, tmp_path):
+    """Changes a batch makes, a restart between batches, and objects that fall silent."""
+    from tidemark.streaming.state import run_state
+
+    at = lambda d, h=0: dt.datetime(2024, 1, d, h)
+    batches = [
+        [(1, at(1), 1, "a"), (1, at(1, 2), 1, "b"), (2, at(1), 5, "x"), (None, at(1), 1, "n")],
+        [(1, at(1), 9, "late"), (2, at(1), 5, "x"), (3, at(2), 1, "c")],
+        [(4, at(9), 1, "d")],
+        [(1, at(9, 1), 1, "again"), (4, at(9), 2, "tie")],
+    ]
+    stream = lambda: spark.readStream.schema(KIND).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, KIND).coalesce(1).write.parquet(str(tmp_path / "in" / str(k)))
+        run_state(stream(), FEED, str(tmp_path / "out"), str(tmp_path / "log"), "2 days", 3 * 86_400_000).awaitTermination()
+    got = {(r.id, r.gp, r.v, r.rows_seen, r.change) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {(1, 1, "b", 2, "new"), (2, 5, "x", 1, "new"), (1, 1, "b", 3, "ignored_older"), (2, 5, "x", 2, "unchanged"), (3, 1, "c", 1, "new"), (4, 1, "d", 1, "new"), (1, 1, "b", 3, "expired"), (2, 5, "x", 2, "expired"), (3, 1, "c", 1, "expired"), (1, 1, "again", 1, "new"), (4, 2, "tie", 2, "updated")}

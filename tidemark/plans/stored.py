@@ -79,6 +79,20 @@ def merkle_joint_proofs(spark, sf_dir):
     return checked.join(proof.groupBy("path").agg(F.count("id").alias("nodes")), "path")
 
 
+def stream_state(spark, sf_dir):
+    """The running state after two batches of events, with a start again from the checkpoint between them and after them; a row counts once."""
+    from ..streaming.state import run_state
+
+    root, rows = new_path(spark, "stream"), _events(spark, sf_dir)
+    for part, where in (("a", "event_id % 2 = 0"), ("b", "event_id % 2 = 1"), (None, None)):
+        if part:
+            rows.where(where).write.parquet(f"{root}/in/{part}")
+        stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).parquet(f"{root}/in")
+        run_state(stream, EVENTS, f"{root}/out", f"{root}/log").awaitTermination()
+    last = F.max_by(F.struct("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "rows_seen"), "batch").alias("s")
+    return spark.read.parquet(f"{root}/out").groupBy("user_id").agg(last).select("user_id", "s.event_id", "s.ts", "s.rows_seen")
+
+
 _FILES_SQL = """f{v} as (select coalesce(source, 'none') || '-' || cast(doc_id // 500 as varchar) as path, encode(string_agg(coalesce({text}, ''), '' order by doc_id)) as b from documents
     where not (doc_id % 500 >= 480 and (doc_id // 500) % 2 = {gone}) group by 1),
   s{v} as (select *, octet_length(b) as n, octet_length(b) // 4096 as whole, octet_length(b) % 4096 as rest from f{v} where octet_length(b) > 0),
@@ -97,6 +111,7 @@ ORACLES = {
       from events where ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-20 12:00:00' and user_id between 0 and {MOST} group by 1""",
     "versions_incremental": """with d as (select user_id, event_id, cast(ts as date) + 1 as v from events where user_id is not null qualify row_number() over (partition by user_id, cast(ts as date) order by ts desc, event_id desc) = 1)
       select user_id, event_id, strftime(v, '%Y-%m-%d') as valid_from, strftime(lead(v) over (partition by user_id order by v), '%Y-%m-%d') as valid_to from d""",
+    "stream_state": """select user_id, arg_max(event_id, (ts, event_id)) as event_id, strftime(max(ts), '%Y-%m-%d %H:%M:%S') as ts, count(*) as rows_seen from events where user_id is not null group by user_id""",
     "merkle_file_roots": f"with {_OLD_SQL}, {_LAYERS_SQL} select path, cast(z as bigint) as bytes, lower(hex(id)) as root from l12",
     "merkle_diff": f"""with {_OLD_SQL}, {_NEW_SQL} select path, cast(pos as bigint) as pos, cast(coalesce(c1.a, c0.a) as bigint) as start, cast(coalesce(c1.z, c0.z) as bigint) as "end", case when c0.path is null then 'added' when c1.path is null then 'removed' else 'changed' end as change
       from c0 full join c1 using (path, pos) where c0.h is distinct from c1.h or c0.z is distinct from c1.z""",
@@ -105,4 +120,4 @@ ORACLES = {
       beside as (select o.path, o.i, xor(o.p, 1) as s from on_ o where xor(o.p, 1) <= o.last and not exists (select 1 from on_ x where x.path = o.path and x.i = o.i and x.p = xor(o.p, 1)))
       select path, true as ok, count(beside.s) as nodes from (select distinct path from chosen) c left join beside using (path) group by path""",
 }
-QUERIES = {f.__name__: f for f in (history_ranges, versions_incremental, merkle_file_roots, merkle_diff, merkle_joint_proofs)}
+QUERIES = {f.__name__: f for f in (history_ranges, versions_incremental, stream_state, merkle_file_roots, merkle_diff, merkle_joint_proofs)}
