@@ -15,6 +15,9 @@ def plain(text):
 
 def expand(template):
     """All wordings of a template without wildcards."""
+    choice = re.search(r"<<([^<>]*)>>", template)
+    if choice:
+        return [x for mid in choice[1].split("|") for x in expand(template[: choice.start()] + mid + template[choice.end() :])]
     m = re.search(r"\[\[((?:(?!\[\[|\]\]).)*)\]\]", template, re.S)
     return [template] if not m else [x for mid in (m[1], " ") for x in expand(template[: m.start()] + mid + template[m.end() :])]
 
@@ -56,7 +59,8 @@ def test_data_lines():
 
 
 def whole(label, k, holder="The Holders"):
-    text = re.sub(r"\{\{\d+\}\}", holder, licenses.TEMPLATES[label][k].replace("[[", "").replace("]]", ""))
+    text = re.sub(r"<<([^<>|]*)[^<>]*>>", r"\1", licenses.TEMPLATES[label][k])
+    text = re.sub(r"\{\{\d+\}\}", holder, text.replace("[[", "").replace("]]", ""))
     return " ".join(text.split())
 
 
@@ -73,3 +77,71 @@ def test_holders_may_change_and_warranties_may_not():
     assert scan(whole("gpl-3", 1, "this program")) == "gpl-3" and scan(whole("gpl-2", 0, "this program")) == "gpl-2"
     assert scan(whole("agpl-3", 0, "this program")) == "agpl-3" and scan(whole("mpl-2", 0)) == "mpl-2"
     assert scan(whole("apache-2", 1, "www.apache.org/licenses/LICENSE-2.0")) == "apache-2"
+
+
+#: Notices as their publishers print them, written out apart from the templates, and the labels they have.
+GNU = """This program is free software{0} you can redistribute it and/or modify
+it under the terms of the GNU {1}General Public License as published by
+the Free Software Foundation{2} either version {3} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {1}General Public License for more details.
+
+You should have received a copy of the GNU {1}General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+APACHE = """Copyright 2024 Jane Doe
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+DEED = """You are free to:
+Share - copy and redistribute the material in any medium or format for any purpose, even commercially.
+Adapt - remix, transform, and build upon the material for any purpose, even commercially.
+The licensor cannot revoke these freedoms as long as you follow the license terms.
+Under the following terms:
+Attribution - You must give appropriate credit, provide a link to the license, and indicate if changes were made. You may do so in any reasonable manner, but not in any way that suggests the licensor endorses you or your use.
+{}No additional restrictions - You may not apply legal terms or technological measures."""
+ALIKE = "ShareAlike - If you remix, transform, or build upon the material, you must distribute your contributions under the same license as the original.\n"
+NOTICES = {
+    "gpl-2": GNU.format(";", "", ";", "2"), "gpl-3": GNU.format(":", "", ",", "3"), "agpl-3": GNU.format(":", "Affero ", ",", "3"), "lgpl": GNU.format(";", "Lesser ", ";", "2.1"), "": GNU.format(";", "", ";", "1"),
+    "cc-by-4": DEED.format(""), "cc-by-sa-4": DEED.format(ALIKE), "apache-2": APACHE,
+}
+
+
+def test_notices_as_published_have_one_label():
+    scan = licenses.Scanner(phrases=()).scan
+    for label, text in NOTICES.items():
+        assert scan(text.encode())[5] == label
+    assert scan(GNU.format(";", "Library ", ";", "2").encode())[5] == "lgpl"
+    # the body of the notice is accepted by itself, and not once it is altered
+    body = APACHE.split("\n", 3)[3].replace("Licensed under the Apache License, Version 2.0", "", 1)
+    alone = licenses.Scanner(phrases=(), templates={"apache-2": (licenses.TEMPLATES["apache-2"][1],)})
+    assert alone.scan(APACHE.encode())[5] == "apache-2" and not alone.scan(APACHE.replace("WITHOUT WARRANTIES", "WITH WARRANTIES").encode())[5] and not alone.scan(body.encode())[5]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "c", "d", "x"]), max_size=30))
+def test_states_shared_by_all_starts_find_what_each_start_finds(text):
+    a = licenses.Automaton("{{2}} a [[b]] <<c|d a>> a")
+    want = re.search(r"(?<!\S)(?:\S ){1,2}a (?:b )?(?:c|d a) a(?!\S)", " ".join(text)) is not None
+    found = [w.encode() for w in text]
+    assert licenses.Scanner._holds(a, found, b" " + b" ".join(found) + b" ") == want
+
+
+def test_repeated_wording_is_read_once():
+    import time
+
+    began = time.time()
+    text = "in no event shall the authors be liable without restriction including without limitation " * 8000 + whole("mit", 1)[:-9]
+    assert "mit" not in licenses.Scanner(phrases=()).scan(text.encode())[5] and time.time() - began < 8

@@ -1,7 +1,7 @@
 """License scans by template markup.
 
-A template is a license's wording with two kinds of markup: [[ ]] encloses words that may be missing, and {{n}} stands
-for 1 to n words of any kind (a name, a year, a list of holders). Each template becomes a token automaton. It accepts
+A template is a license's wording with three kinds of markup: [[ ]] encloses words that may be missing, << | >> wordings of which one
+must be there, and {{n}} stands for 1 to n words of any kind (a name, a year, a list of holders). Each template becomes a token automaton. It accepts
 a stretch of words if all wording outside the markup is there, in order and word for word.
 """
 
@@ -35,7 +35,7 @@ TEMPLATES = {
     "apache-2": (
         "licensed under the [[terms of the]] apache license version 2",
         """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with
-        the License. You may obtain a copy of the License at [[http]] [[https]] {{6}} Unless required by applicable law or agreed to
+        the License. You may obtain a copy of the License at [[http]] [[https]] {{8}} Unless required by applicable law or agreed to
         in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS
         OF ANY KIND, either express or implied. See the License for the specific language governing permissions and
         limitations under the License""",
@@ -60,11 +60,11 @@ TEMPLATES = {
         MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details""",
     ),
     "lgpl": (
-        """{{6}} is free software; you can redistribute it and/or modify it under the terms of the GNU [[Lesser]] [[Library]] General
+        """{{6}} is free software; you can redistribute it and/or modify it under the terms of the GNU <<Lesser|Library>> General
         Public License as published by the Free Software Foundation; [[either]] version {{3}} of the License [[or (at your option) any
         later version]]. {{6}} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
-        warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU [[Lesser]] [[Library]] General Public License for more details.
-        You should have received a copy of the GNU [[Lesser]] [[Library]] General Public License along with""",
+        warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU <<Lesser|Library>> General Public License for more details.
+        You should have received a copy of the GNU <<Lesser|Library>> General Public License along with""",
     ),
     "agpl-3": (
         """{{6}} is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License
@@ -80,9 +80,17 @@ TEMPLATES = {
         "licensed under [[a]] [[the]] creative commons attribution 4 0 international license",
         """You are free to: Share copy and redistribute the material in any medium or format [[for any purpose, even commercially]] Adapt remix, transform,
         and build upon the material for any purpose, even commercially. {{14}} Under the following terms: Attribution You must give appropriate
-        credit, provide a link to the license, and indicate if changes were made""",
+        credit, provide a link to the license, and indicate if changes were made. You may do so in any reasonable manner, but not in any way that
+        suggests the licensor endorses you or your use. No additional restrictions""",
+    ),
+    "cc-by-sa-4": (
+        "licensed under [[a]] [[the]] creative commons attribution sharealike 4 0 international license",
+        """You are free to: Share copy and redistribute the material in any medium or format [[for any purpose, even commercially]] Adapt remix, transform,
+        and build upon the material for any purpose, even commercially. {{14}} Under the following terms: Attribution You must give appropriate
+        credit, provide a link to the license, and indicate if changes were made. You may do so in any reasonable manner, but not in any way that
+        suggests the licensor endorses you or your use. ShareAlike If you remix, transform, or build upon the material, you must distribute your
+        contributions under the same license as the original""",
     ),
-    "cc-by-sa-4": ("licensed under [[a]] [[the]] creative commons attribution sharealike 4 0 international license",),
     "cc-by-nc-4": (
         "licensed under [[a]] [[the]] [[creative commons]] cc by nc 4",
         "licensed under [[a]] [[the]] creative commons attribution noncommercial 4 0",
@@ -150,7 +158,8 @@ class Automaton:
             self.free[len(self.free)] = []
             return len(self.free) - 1
 
-        for part in re.findall(r"\[\[|\]\]|\{\{\d+\}\}|[^\[\]{}]+", template):
+        choices = []
+        for part in re.findall(r"\[\[|\]\]|<<|>>|\||\{\{\d+\}\}|[^\[\]{}<>|]+", template):
             if part == "[[":
                 opened.append(state)
                 depth, run, runs = depth + 1, [], [*runs, run]
@@ -160,6 +169,19 @@ class Automaton:
                 self.free[state].append(end)
                 self.free[opened.pop()].append(end)
                 state, run = end, []
+            elif part in ("<<", "|"):
+                if part == "<<":
+                    choices.append((state, []))
+                    depth, run, runs = depth + 1, [], [*runs, run]
+                else:
+                    choices[-1][1].append(state)
+                state = new()
+                self.free[choices[-1][0]].append(state)
+            elif part == ">>":
+                depth, run, end = depth - 1, [], new()
+                for s in (*choices.pop()[1], state):
+                    self.free[s].append(end)
+                state = end
             elif part[0] == "{":
                 runs, run, stops = [*runs, run], [], []
                 for _ in range(int(part[2:-2])):
@@ -190,15 +212,27 @@ class Automaton:
                     todo.append(n)
         return seen
 
-    def accepts(self, text: list[bytes], start: int) -> bool:
-        """True if a stretch of words that begins at start is accepted."""
-        states = self.closed([0])
-        for w in text[start : start + self.longest]:
+    def accepts(self, text: list[bytes], starts: list[tuple[int, int]]) -> bool:
+        """True if a stretch of words is accepted that begins in one of the ranges (first, last), which are in order and apart.
+
+        All starts share one set of states, so a text is read once however many there are.
+        """
+        first, states, k = self.closed([0]), set(), 0
+        at = starts[0][0] if starts else 0
+        while k < len(starts):
+            if not states:
+                at = max(at, starts[k][0])
+            if starts[k][0] <= at <= starts[k][1]:
+                states = states | first
             if self.final in states:
                 return True
-            states = self.closed({n for s in states for x, n in [self.word.get(s, (None, 0))] if x == w} | {self.any[s] for s in states if s in self.any})
-            if not states:
+            if at >= len(text):
                 return False
+            w = text[at]
+            states = self.closed({n for s in states for x, n in [self.word.get(s, (None, 0))] if x == w} | {self.any[s] for s in states if s in self.any})
+            at += 1
+            while k < len(starts) and at > starts[k][1] and (not states or k + 1 < len(starts)):
+                k += 1
         return self.final in states
 
 
@@ -231,13 +265,14 @@ class Scanner:
 
     @staticmethod
     def _holds(automaton: Automaton, found: list[bytes], joined: bytes) -> bool:
-        tried = -1
+        starts: list[tuple[int, int]] = []
         for at in places(joined, automaton.needed):
-            for start in range(max(tried + 1, at - automaton.longest), at + 1):
-                if automaton.accepts(found, start):
-                    return True
-            tried = at
-        return False
+            lo = max(0, at - automaton.longest)
+            if starts and lo <= starts[-1][1] + 1:
+                starts[-1] = (starts[-1][0], at)
+            else:
+                starts.append((lo, at))
+        return automaton.accepts(found, starts)
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, templates=None) -> DataFrame:
