@@ -199,9 +199,58 @@ def test_languages_with_long_texts_only(spark):
     assert {found[i].lang_pred == lang for i, _, lang in rows} == {True}
 
 
-def test_stretch_is_of_whole_words():
+def test_pieces_are_of_whole_words_and_lose_none():
     text = language.letters(" ".join(f"word{'abcdef'[i % 6]}" for i in range(1000)))
-    for seed in (-(2**63), -5, 0, 7, 2**63 - 1):
-        part = language.stretch(text, seed, 100)
-        assert part in text and 80 < len(part) <= 100 and part[:1] == part[-1:] == b" "
-    assert len(language.stretch(language.letters("x" * 500), 3, 100).split()) == 1
+    cut = language.pieces(text, 100)
+    assert b" ".join(p.strip() for p in cut) == text.strip()
+    assert all(len(p) <= 100 and p[:1] == p[-1:] == b" " for p in cut) and all(len(p) > 80 for p in cut[:-1])
+    long = language.pieces(language.letters("ab " + "x" * 500 + " cd"), 100)
+    assert b"".join(long).replace(b" ", b"") == b"ab" + b"x" * 500 + b"cd" and max(map(len, long)) <= 100
+    assert language.pieces(language.letters(""), 100) == language.pieces(language.letters("1 2"), 100) == []
+
+
+def test_switching_texts_are_labelled_no_worse_than_without_transitions(larger):
+    docs = larger[0]
+    train = ~language.held_out("doc_id", 4, 2)
+    model = language.fit_field(docs, train)
+    pool = {}
+    for r in docs.where(~train).where("lang is not null and text is not null").collect():
+        pool.setdefault(r.lang, []).extend(language.letters(r.text).decode().split())
+    names, transition, stay = sorted(pool), model.transition, model.stay
+    for run in (1, 2, 4, 8):
+        share = []
+        for used in (1, 0):
+            model.transition, model.stay = transition * used, stay * used
+            rng, good, total = random.Random(run), 0, 0
+            for _ in range(150):
+                a, b = rng.sample(names, 2)
+                i, j = rng.randrange(len(pool[a]) - 16), rng.randrange(len(pool[b]) - 16)
+                parts = [(pool[x][y + n : y + n + run], x) for n in range(0, 16, run) for x, y in ((a, i), (b, j))]
+                want = [x for ws, x in parts for _ in ws]
+                got = [lang for _, lang, _ in model.words(" ".join(w for ws, _ in parts for w in ws))]
+                good, total = good + sum(x == y for x, y in zip(got, want)), total + len(want)
+            share.append(good / total)
+        assert share[0] >= max(share[1], 0.9), (run, share)
+
+
+def test_expected_stays_equal_the_sum_over_paths(field):
+    from itertools import product
+
+    model, word = field
+    words = language.Words([language.letters(t) for t in ("ba ko", "", "ul ba ke bo", "ka")])
+    e = model.emissions(words, model.owners(words))
+    steady = np.array([0, 4, 1, 3])
+    p, pairs, stays = model.expected(words, e, steady)
+    at, moved = 0, np.zeros((3, 3))
+    for d, n in enumerate(words.lengths.tolist()):
+        paths = list(product(range(3), repeat=n))
+        bonus = model.stay[steady[d]]
+        mass = np.array([np.exp(sum(e[at + i, y] for i, y in enumerate(x)) + sum(model.transition[a, b] + bonus * (a == b) for a, b in zip(x, x[1:]))) for x in paths])
+        mass /= mass.sum()
+        for x, m in zip(paths, mass):
+            for a, b in zip(x, x[1:]):
+                moved[a, b] += m
+        assert stays[d] == pytest.approx(sum(m * sum(a == b for a, b in zip(x, x[1:])) for x, m in zip(paths, mass)))
+        assert n == 0 or np.allclose(p[at : at + n], [[sum(m for x, m in zip(paths, mass) if x[i] == y) for y in range(3)] for i in range(n)])
+        at += n
+    assert np.allclose(moved, pairs)
