@@ -33,7 +33,7 @@ TABLE_BITS, GRAMS = 16, (2, 3, 4)
 LEXICON_LEAST = 5
 ROUNDS, BATCH_LINES, RATE, PENALTY = 6, 200, 0.25, 1e-4
 #: Documents of a batch that are in memory at once, and their bytes at most but for a longer document alone.
-BATCH_DOCS, BATCH_BYTES = 2000, 8 << 20
+BATCH_DOCS, BATCH_BYTES = 2000, 4 << 20
 
 #: Letters: a-z and all beyond ASCII. What stands between is cut.
 _LETTERS = bytes(x if x > 0x7F or 0x61 <= x <= 0x7A else 0x20 for x in range(256))
