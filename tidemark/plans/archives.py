@@ -207,14 +207,14 @@ def catalog_rows(spark, sf_dir):
 
 def ledger_rules(spark, sf_dir):
     """Ledgers of the same archive, each broken in its own way, as texts."""
-    days = stored(_manifests(spark, sf_dir).where("date <= '2024-01-10'"), "manifests")
+    days = stored(_manifests(spark, sf_dir), "manifests")
     entry = F.to_json(F.struct("date", "sha256", "object_count", "compressed_bytes", "provenance", "query_strategy", "archived_at", "state_as_of_utc", "base_snapshot_date", "base_snapshot_sha256", "delta_window_start_utc", "delta_window_end_utc"))
     whole = days.agg(F.array_sort(F.collect_list(F.struct("date", entry.alias("e")))).alias("l")).select(F.transform("l", lambda x: x["e"]).alias("e"))
     listed = lambda e: F.concat(F.lit("["), F.array_join(e, ","), F.lit("]"))
     e = F.col("e")
     cases = {
-        "absent": None, "cut": F.substring(listed(e), 1, 50), "no_list": F.lit('{"date":"2024-01-02"}'), "fine": listed(e), "repeated": listed(F.concat(e, F.slice(e, -1, 1))), "swapped": listed(F.concat(F.slice(e, 2, 1), F.slice(e, 1, 1), F.slice(e, 3, 99))),
-        "short": listed(F.slice(e, 1, 8)), "no_object": listed(F.concat(e, F.array(F.lit("5")))), "altered": listed(F.transform(e, lambda x: F.when(x.contains('"date":"2024-01-05"'), F.regexp_replace(x, '"object_count":[0-9]+', '"object_count":1')).otherwise(x))),
+        "absent": None, "cut": F.substring(listed(e), 1, 50), "no_list": F.lit('{"date":"2024-01-02"}'), "fine": listed(e), "repeated": listed(F.concat(e, F.slice(e, -1, 1))), "swapped": listed(F.concat(F.slice(e, 2, 1), F.slice(e, 1, 1), F.slice(e, F.lit(3), F.size(e)))),
+        "short": listed(F.slice(e, F.lit(1), F.size(e) - 1)), "no_object": listed(F.concat(e, F.array(F.lit("5")))), "altered": listed(F.transform(e, lambda x: F.when(x.contains('"date":"2024-01-05"'), F.regexp_replace(x, '"object_count":[0-9]+', '"object_count":1')).otherwise(x))),
     }
     found = [rules.ledger_text_violations(whole.select(text.alias("text")) if text is not None else whole.select(F.lit("").alias("text")).where("1 = 0"), days).select(F.lit(case).alias("case"), "rule", "detail") for case, text in cases.items()]
     return reduce(DataFrame.union, found)
@@ -224,15 +224,15 @@ def ledger_rules(spark, sf_dir):
 
 
 def resume_archive(spark, sf_dir):
-    """Two days are archived already, each without some objects."""
+    """Two days are archived already, each with the state of two days before."""
     rows = events(spark, sf_dir)
-    days = [timeline.as_of(rows, EVENTS, F.lit(d).cast("timestamp_ntz")).where(f"user_id % {m} <> 0").withColumn("snapshot_date", F.lit(d).cast("date")).withColumn("state_as_of", F.lit(d).cast("timestamp_ntz")) for d, m in (("2024-01-10", 7), ("2024-01-20", 3))]
+    days = [timeline.as_of(rows, EVENTS, F.lit(held).cast("timestamp_ntz")).withColumn("snapshot_date", F.lit(d).cast("date")).withColumn("state_as_of", F.lit(d).cast("timestamp_ntz")) for held, d in (("2024-01-08", "2024-01-10"), ("2024-01-18", "2024-01-20"))]
     found = timeline.resume(rows, EVENTS, days[0].unionByName(days[1]))
     return timeline.daily_agreement(timeline.daily_states(found, "2024-01-10", "2024-01-31"), EVENTS).select(day("snapshot_date"), "objects", "checksum")
 
 
 def id_gap_changes(spark, sf_dir):
-    return profile.id_gap_changes(_states(spark, sf_dir).where("user_id % 3 <> 0 or user_id < 100"), "user_id").select(day("snapshot_date"), "present", "missing", "largest_gap", "present_change", "missing_change", "gap_change")
+    return profile.id_gap_changes(_states(spark, sf_dir), "user_id").select(day("snapshot_date"), "present", "missing", "largest_gap", "present_change", "missing_change", "gap_change")
 
 
 def heaviest_branch(spark, sf_dir):
@@ -313,11 +313,14 @@ ORACLES = {
       union all select date, 'audit.json', null, null, true from catalogs where date <> '{LAST}'""",
     "catalog_rows": f"""with {_STATES_SQL} select strftime(d, '%Y-%m-%d') as date, row_number() over (partition by d order by user_id) - 1 as pos, cast(user_id as varchar) as object_id, cast(event_id as varchar) as gp_id, event_type as object_name, strftime(ts, '%Y-%m-%dT%H:%M:%S') as created, cast(11 as bigint) as fields
       from states where d <> date '{LAST}'""",
-    "ledger_rules": """select * from (values ('absent', 'L01', 'ledger'), ('cut', 'L02', 'ledger'), ('no_list', 'L03', 'ledger'), ('repeated', 'L04', 'repeated date'), ('swapped', 'L05', 'not in date order'), ('short', 'L06', 'only in manifests'), ('no_object', 'L07', 'entry 9'), ('altered', 'L08', 'object_count')) as t("case", rule, detail)""",
-    "resume_archive": """with spine as (select cast(unnest(generate_series(date '2024-01-10', date '2024-01-31', interval 1 day)) as date) as d, case when d < date '2024-01-20' then date '2024-01-10' else date '2024-01-20' end as s, case when d < date '2024-01-20' then 7 else 3 end as m),
-      r as (select d, user_id, event_id, row_number() over (partition by d, user_id order by ts desc, event_id desc) as r from spine join events on ts < d and (ts >= s or user_id % m <> 0))
+    "ledger_rules": f"""with {_STATES_SQL}, days as (select d, count(*) as n from states group by d)
+      select * from (values ('absent', 'L01', 'ledger'), ('cut', 'L02', 'ledger'), ('no_list', 'L03', 'ledger')) as t("case", rule, detail)
+      union all select 'repeated', 'L04', 'repeated date' from days where d = (select max(d) from days) union all select 'swapped', 'L05', 'not in date order' from days where d = (select min(d) from days) having count(*) > 0
+      union all select 'short', 'L06', 'only in manifests' from days where d = (select max(d) from days) union all select 'no_object', 'L07', 'entry ' || count(*) from days union all select 'altered', 'L08', 'object_count' from days where d = date '2024-01-05' and n <> 1""",
+    "resume_archive": """with spine as (select cast(unnest(generate_series(date '2024-01-10', date '2024-01-31', interval 1 day)) as date) as d, case when d < date '2024-01-20' then date '2024-01-10' else date '2024-01-20' end as s),
+      r as (select d, user_id, event_id, row_number() over (partition by d, user_id order by ts desc, event_id desc) as r from spine join events on ts < d and (ts >= s or ts < s - interval 2 days))
       select strftime(d, '%Y-%m-%d') as snapshot_date, count(*) as objects, cast(sum(event_id) as bigint) as checksum from r where r = 1 group by d""",
-    "id_gap_changes": f"""with {_STATES_SQL}, i as (select d, user_id as i, lead(user_id) over (partition by d order by user_id) as n from states where user_id % 3 <> 0 or user_id < 100),
+    "id_gap_changes": f"""with {_STATES_SQL}, i as (select d, user_id as i, lead(user_id) over (partition by d order by user_id) as n from states),
       g as (select d, count(*) as present, max(i) - min(i) + 1 - count(*) as missing, coalesce(max(n - i - 1), 0) as largest_gap from i group by d)
       select strftime(d, '%Y-%m-%d') as snapshot_date, present, missing, largest_gap, present - lag(present) over (order by d) as present_change, missing - lag(missing) over (order by d) as missing_change, largest_gap - lag(largest_gap) over (order by d) as gap_change from g""",
     "heaviest_branch": """with recursive line as (select o_orderkey % 40 as chain, o_orderkey as block, o_custkey as c, o_orderdate as t, lag(o_orderkey) over w as p1, lag(o_orderkey, 2) over w as p2 from orders window w as (partition by o_orderkey % 40 order by o_orderkey)),

@@ -10,12 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..feed import EVENTS, ORDERS
+from ..feed import EVENTS, ORDERS, Feed
 from ..functions.canonical import as_record, id_set_hash, record_hash, table_hash
 from ..functions.scalars import date_spine, lenient_int, time_text, utc_stamp
 from ..operators import compare, ledger, maintenance, merge, merkle, profile, rules, timeline, visibility, windows
 
-BASE, DAY = "2024-01-14", "2024-01-15"
+#: A base of the first day, and updates from the middle of that day to the end of the next, so that all kinds of change occur.
+FROM, BASE, DAY = "2024-01-01 12:00:00", "2024-01-02", "2024-01-03"
 FIRST, LAST = "2024-01-02", "2024-01-31"
 NO_AUDIT = ("2024-01-10", "2024-01-17")
 
@@ -53,12 +54,11 @@ def dedupe_latest(spark, sf_dir):
 
 
 def _changes(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    later = events.where("event_id % 3 <> 0")
-    # updates also hold rows from before the base's cutoff, so that all kinds of change occur
-    base = timeline.as_of(events.where("user_id % 7 <> 0"), EVENTS, ntz(BASE))
-    updates = windows.latest(windows.in_window(later, EVENTS, ntz("2024-01-05"), ntz(DAY)), EVENTS)
-    return merge.apply_updates(base, updates, EVENTS)
+    """Events as they arrive, every fourth of them published three days before."""
+    arrived = table(spark, sf_dir, "events").withColumn("created", F.expr("if(event_id % 4 = 0, ts - interval 3 days, ts)"))
+    feed = Feed("user_id", "created", ("event_id",))
+    base, updates = (windows.latest(windows.in_window(arrived, EVENTS, lo, ntz(hi)), feed) for lo, hi in ((None, BASE), (ntz(FROM), DAY)))
+    return merge.apply_updates(base, updates, feed)
 
 
 def apply_updates(spark, sf_dir):
@@ -95,8 +95,14 @@ def next_date(spark, sf_dir):
     return timeline.next_date(days, "1998-12-01").select(text("next_date"))
 
 
+def _urgent_days(spark, sf_dir):
+    """The days on which a fifth of the orders or more are urgent."""
+    each = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(F.count("*").alias("n"), F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("urgent"))
+    return each.where("date is not null and urgent * 5 >= n").select("date")
+
+
 def date_gaps(spark, sf_dir):
-    days = table(spark, sf_dir, "orders").where("o_custkey % 10 = 3").select(F.to_date("o_orderdate").alias("date")).distinct()
+    days = _urgent_days(spark, sf_dir)
     return date_spine(spark, "1992-01-01", "1998-12-01").join(days, "date", "left_anti").select(text("date"))
 
 
@@ -284,9 +290,8 @@ def publish_plan(spark, sf_dir):
 
 
 def write_plan(spark, sf_dir):
-    days = date_spine(spark, "1994-01-01", "1994-12-31").select(text("date"))
-    archived = table(spark, sf_dir, "orders").where("o_custkey % 10 = 3").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"))
-    return maintenance.to_write(days, archived)
+    days = date_spine(spark, "1998-01-01", "1998-12-31").select(text("date"))
+    return maintenance.to_write(days, _urgent_days(spark, sf_dir).select(text("date")))
 
 
 # analyses
@@ -328,9 +333,12 @@ def daily_quota(spark, sf_dir):
 
 
 def recent_overlay(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("block"), "event_type")
-    index = events.where("block <= 700").groupBy("user_id").agg(F.max_by("event_type", "block").alias("event_type"), F.max("block").alias("block")).select("user_id", "block", "event_type")
-    return profile.overlay(index, events, "user_id", 700).select("user_id", "block", "event_type", "stale")
+    """The index has every block up to a day; the events after it are laid over it."""
+    events = table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("block"), "event_type", "ts")
+    indexed = events.agg(F.max(F.when(F.col("ts") < ntz("2024-01-20"), F.col("block")))).first()[0] or 0
+    events = events.drop("ts")
+    index = events.where(F.col("block") <= indexed).groupBy("user_id").agg(F.max_by("event_type", "block").alias("event_type"), F.max("block").alias("block")).select("user_id", "block", "event_type")
+    return profile.overlay(index, events, "user_id", indexed).select("user_id", "block", "event_type", "stale")
 
 
 def merkle_roots(spark, sf_dir):
@@ -351,6 +359,8 @@ def stream_daily_latest(spark, sf_dir):
     return days.select(text("window_date"), "user_id", "event_id")
 
 
+_URGENT_SQL = "(select cast(o_orderdate as date) as d from orders where o_orderdate is not null group by 1 having count(*) filter (o_orderpriority = '1-URGENT') * 5 >= count(*))"
+
 ORACLES = {
     "window_filter": "select event_id, user_id, event_type, value from events where ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-12'",
     "dedupe_latest": "select user_id, event_id, event_type, value, props from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1",
@@ -368,9 +378,9 @@ ORACLES = {
           cast(sum(coalesce(n, 0)) over (order by c.d) - coalesce(n, 0) as bigint) as objects_before, cast(sum(coalesce(n, 0)) over (order by c.d) as bigint) as objects_after
         from c left join n using (d)""",
     "next_date": "select strftime(least(max(cast(o_orderdate as date)) + 1, date '1998-12-01'), '%Y-%m-%d') as next_date from orders",
-    "date_gaps": """
+    "date_gaps": f"""
         select strftime(d, '%Y-%m-%d') as date from (select cast(unnest(generate_series(date '1992-01-01', date '1998-12-01', interval 1 day)) as date) as d)
-        where d not in (select cast(o_orderdate as date) from orders where o_custkey % 10 = 3)""",
+        where d not in {_URGENT_SQL}""",
     "latest_dates": "select strftime(d, '%Y-%m-%d') as date from (select distinct cast(o_orderdate as date) as d from orders order by d desc limit 10)",
     "visibility_unknown": """
         select distinct strftime(cast(ts as date), '%Y-%m-%d') as date, user_id from events e
@@ -407,9 +417,9 @@ ORACLES = {
         with m as (select strftime(o_orderdate, '%Y-%m-%d') as date, o_custkey % 3 as d, max(o_orderkey) as k from orders group by 1, 2),
         b as (select date, max(k) as k from m group by 1)
         select b.date, case when m.k = b.k then 'skipped' else 'uploaded' end as status from b left join m on m.date = b.date and m.d = 1""",
-    "write_plan": """
-        select strftime(d, '%Y-%m-%d') as date from (select cast(unnest(generate_series(date '1994-01-01', date '1994-12-31', interval 1 day)) as date) as d)
-        where d not in (select cast(o_orderdate as date) from orders where o_custkey % 10 = 3)""",
+    "write_plan": f"""
+        select strftime(d, '%Y-%m-%d') as date from (select cast(unnest(generate_series(date '1998-01-01', date '1998-12-31', interval 1 day)) as date) as d)
+        where d not in {_URGENT_SQL}""",
     "id_gaps": """
         with i as (select distinct l_orderkey as i from lineitem), n as (select i, lead(i) over (order by i) as n from i),
         g as (select i, n, n - i - 1 as size from n where n > i + 1 order by size desc, i limit 1),
@@ -435,10 +445,11 @@ ORACLES = {
         qualify row_number() over (partition by user_id, cast(ts as date) order by ts desc, event_id desc) = 1""",
 }
 
-_CHANGES_SQL = """
-b as (select * from events where ts < timestamp '2024-01-14' and user_id % 7 <> 0 qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1),
-u as (select * from events where ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-15' and event_id % 3 <> 0 qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1),
-c as (select user_id, case when u.user_id is null then 'carried' when b.user_id is null then 'new' when (u.ts, u.event_id) > (b.ts, b.event_id) then 'updated' when u.event_id = b.event_id then 'unchanged' else 'ignored_older' end as change,
+_CHANGES_SQL = f"""
+a as (select *, case when event_id % 4 = 0 then ts - interval 3 days else ts end as created from events),
+b as (select * from a where ts < timestamp '{BASE}' qualify row_number() over (partition by user_id order by created desc, event_id desc) = 1),
+u as (select * from a where ts >= timestamp '{FROM}' and ts < timestamp '{DAY}' qualify row_number() over (partition by user_id order by created desc, event_id desc) = 1),
+c as (select user_id, case when u.user_id is null then 'carried' when b.user_id is null then 'new' when (u.created, u.event_id) > (b.created, b.event_id) then 'updated' when u.event_id = b.event_id then 'unchanged' else 'ignored_older' end as change,
   b.event_id as be, u.event_id as ue, b.value as bv, u.value as uv from b full join u using (user_id))
 """
 _ids = lambda kind: f"coalesce(string_agg(cast(user_id as varchar), ',' order by user_id) filter (change = '{kind}'), '') as {kind}_ids"
