@@ -286,3 +286,25 @@ def test_state_folds_batches_once(spark, tmp_path):
         step(b, n)
         step(b, n)
     assert sorted((r.object_id, r.tie) for r in spark.read.parquet(f"{tmp_path}/1").collect()) == [("1", 2), ("2", 5)]
+
+
+def test_ledger_texts_of_several_archives(spark):
+    entry = lambda date, sha="s", base="null": f'{{"date":"{date}","sha256":"{sha}","object_count":5,"compressed_bytes":1,"provenance":"p","query_strategy":"q","archived_at":"t","base_snapshot_date":{base}}}'
+    a, b = entry("2024-01-01"), entry("2024-01-02")
+    schema = "archive string, date string, sha256 string, object_count long, compressed_bytes long, provenance string, query_strategy string, archived_at string, base_snapshot_date string, base_snapshot_sha256 string"
+    row = lambda archive, date: (archive, date, "s", 5, 1, "p", "q", "t", None, None)
+    manifests = spark.createDataFrame([row(k, d) for k in ("fine", "none", "cut", "value", "short", "swapped", "other") for d in ("2024-01-01", "2024-01-02")], schema)
+    texts = [("fine", f"[{a},{b}]"), ("cut", f"[{a},"), ("value", a), ("short", f"[{a}]"), ("swapped", f"[{b},{a}]"), ("other", f"[{a},{entry('2024-01-02', 'x')}]"), ("stray", f"[{a}]")]
+    frame = spark.createDataFrame(texts, "archive string, text string")
+    found = {(r.archive, r.rule, r.date) for r in rules.ledger_text_violations(frame, manifests, ("archive",)).collect()}
+    assert found == {("none", "L01", None), ("cut", "L02", None), ("value", "L03", None), ("short", "L06", "2024-01-02"), ("swapped", "L05", "2024-01-01"), ("other", "L08", "2024-01-02"), ("stray", "L06", "2024-01-01")}
+    for archive in ("none", "cut", "swapped"):  # alone, without keys
+        alone = frame.where(F.col("archive") == archive).select("text")
+        one = rules.ledger_text_violations(alone, manifests.where(F.col("archive") == archive).drop("archive")).collect()
+        assert {(archive, r.rule, r.date) for r in one} == {x for x in found if x[0] == archive}
+    # manifests of another archive are no base
+    chained = spark.createDataFrame([("x", "2024-01-01", "s", 5, 1, "p", "q", "t", None, None), ("y", "2024-01-02", "s", 5, 1, "rolling_gp_history_delta", "q", "t", "2024-01-01", "s")], schema)
+    assert [r.rule for r in ledger.broken_links(chained, ("archive",)).collect()] == ["L09"] and not ledger.broken_links(chained).collect()
+    empty = manifests.where("1 = 0")
+    assert not rules.ledger_text_violations(frame.where("1 = 0"), empty, ("archive",)).collect()
+    assert [r.rule for r in rules.ledger_text_violations(frame.where("1 = 0").select("text"), empty.drop("archive")).collect()] == ["L01"]

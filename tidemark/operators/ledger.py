@@ -37,30 +37,31 @@ def upsert(ledger: DataFrame, new: DataFrame, now: str) -> DataFrame:
     return both.select("date", *values, previous, at).orderBy("date")
 
 
-def broken_links(manifests: DataFrame) -> DataFrame:
-    """(date, rule, detail) of rolling manifests whose base isn't archived or has another hash."""
-    base = manifests.select(F.col("date").alias("_base"), F.col("sha256").alias("_sha"))
-    rolling = manifests.where(F.col("provenance") == ROLLING).join(base, F.col("base_snapshot_date") == F.col("_base"), "left")
+def broken_links(manifests: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, date, rule, detail) of rolling manifests whose base isn't archived or has another hash; keys tell archives apart and aren't null."""
+    base = manifests.select(*keys, F.col("date").alias("base_snapshot_date"), F.col("date").alias("_base"), F.col("sha256").alias("_sha"))
+    rolling = manifests.where(F.col("provenance") == ROLLING).join(base, [*keys, "base_snapshot_date"], "left")
     gone, other = F.col("_base").isNull(), ~F.col("_sha").eqNullSafe(F.col("base_snapshot_sha256"))
-    return rolling.where(gone | other).select("date", F.when(gone, "L09").otherwise("L10").alias("rule"), F.when(gone, F.concat(F.lit("base not archived: "), F.coalesce("base_snapshot_date", F.lit("none")))).otherwise(F.lit("base hash differs")).alias("detail"))
+    return rolling.where(gone | other).select(*keys, "date", F.when(gone, "L09").otherwise("L10").alias("rule"), F.when(gone, F.concat(F.lit("base not archived: "), F.coalesce("base_snapshot_date", F.lit("none")))).otherwise(F.lit("base hash differs")).alias("detail"))
 
 
-def field_differences(ledger: DataFrame, manifests: DataFrame) -> DataFrame:
-    """(date, field, ledger_value, manifest_value) where an entry differs from its manifest in a field that the manifest sets.
+def field_differences(ledger: DataFrame, manifests: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, date, field, ledger_value, manifest_value) where an entry differs from its manifest in a field that the manifest sets.
 
     Fields that only the ledger has are allowed. Dates on one side are reported by date_differences.
     """
     fields = [c for c in (*REQUIRED, *OPTIONAL) if c in manifests.columns and c != "date"]
-    pair = lambda df, side: df.select("date", F.explode(F.array(*[F.struct(F.lit(c).alias("field"), (F.col(c) if c in df.columns else F.lit(None)).cast("string").alias(side)) for c in fields])).alias("p")).select("date", "p.*")
-    both = pair(ledger, "ledger_value").join(pair(manifests, "manifest_value"), ["date", "field"])
+    pair = lambda df, side: df.select(*keys, "date", F.explode(F.array(*[F.struct(F.lit(c).alias("field"), (F.col(c) if c in df.columns else F.lit(None)).cast("string").alias(side)) for c in fields])).alias("p")).select(*keys, "date", "p.*")
+    both = pair(ledger, "ledger_value").join(pair(manifests, "manifest_value"), [*keys, "date", "field"])
     needed = F.col("field").isin(*REQUIRED) | F.col("manifest_value").isNotNull()
     return both.where(needed & ~F.col("ledger_value").eqNullSafe(F.col("manifest_value")))
 
 
-def date_differences(ledger: DataFrame, manifests: DataFrame) -> DataFrame:
-    """(date, only_in) for days that only one of the two has."""
-    a = ledger.select("date").distinct().join(manifests.select("date"), "date", "left_anti").withColumn("only_in", F.lit("ledger"))
-    b = manifests.select("date").distinct().join(ledger.select("date"), "date", "left_anti").withColumn("only_in", F.lit("manifests"))
+def date_differences(ledger: DataFrame, manifests: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, date, only_in) for days that only one of the two has."""
+    on = [*keys, "date"]
+    a = ledger.select(*on).distinct().join(manifests.select(*on), on, "left_anti").withColumn("only_in", F.lit("ledger"))
+    b = manifests.select(*on).distinct().join(ledger.select(*on), on, "left_anti").withColumn("only_in", F.lit("manifests"))
     return a.unionByName(b)
 
 

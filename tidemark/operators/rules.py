@@ -6,7 +6,9 @@ couldn't be read (see sources.archive.days). Every rule is a condition on such a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.canonical import canonical_text, sha256
@@ -131,29 +133,36 @@ def ledger_violations(ledger: DataFrame | None, manifests: DataFrame, readable:
     return _ledger_rules(ledger, manifests)
 
 
-def ledger_text_violations(texts: DataFrame, manifests: DataFrame) -> DataFrame:
-    """ledger_violations() of a ledger's text, as (text) with at most one row: no row breaks L01, text that is no JSON L02, another value than a list L03."""
+def ledger_text_violations(texts: DataFrame, manifests: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """ledger_violations() of ledgers' texts (keys, text), one for each archive, in one pass: no text breaks L01, text that is no JSON L02, another value than a list L03.
+
+    keys are columns of texts and manifests that tell archives apart and aren't null; without them all is one archive.
+    """
     value = F.try_parse_json("text")
     listed = F.try_variant_get(value, "$", "array<variant>")
-    state = texts.agg(F.count("*").alias("n"), F.count_if(value.isNotNull()).alias("read"), F.count_if(listed.isNotNull()).alias("lists"))
+    state = texts.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(value.isNotNull()).alias("read"), F.count_if(listed.isNotNull()).alias("lists"))
+    if keys:
+        state = manifests.select(*keys).distinct().join(state, list(keys), "full_outer").na.fill(0, ["n", "read", "lists"])
     first = F.when(F.col("n") == 0, "L01").when(F.col("read") == 0, "L02").when(F.col("lists") == 0, "L03")
-    unfit = state.select(F.lit(None).cast("string").alias("date"), first.alias("rule"), F.lit("ledger").alias("detail")).where("rule is not null")
-    fine = texts.where(listed.isNotNull())
-    rows = fine.select(F.posexplode(F.from_json("text", "array<string>")).alias("position", "e"))
-    entries = rows.select("position", F.from_json("e", ENTRY).alias("e")).select("position", "e.*")
+    unfit = state.select(*keys, F.lit(None).cast("string").alias("date"), first.alias("rule"), F.lit("ledger").alias("detail")).where("rule is not null")
+    fine = texts.where(listed.isNotNull()).withColumn("_list", F.lit(True))
+    rows = fine.select(*keys, F.posexplode(F.from_json("text", "array<string>")).alias("position", "e"))
+    entries = rows.select(*keys, "position", F.from_json("e", ENTRY).alias("e")).select(*keys, "position", "e.*")
     # without a list there is nothing to hold manifests against
-    known = manifests.join(fine.select(F.lit(True).alias("_list")).limit(1), how="cross").drop("_list")
-    return unfit.unionByName(_ledger_rules(entries, known))
+    known = manifests.withColumn("_list", F.lit(True)).join(fine, [*keys, "_list"], "left_semi").drop("_list")
+    return unfit.unionByName(_ledger_rules(entries, known, keys))
 
 
-def _ledger_rules(ledger: DataFrame, manifests: DataFrame) -> DataFrame:
+def _ledger_rules(ledger: DataFrame, manifests: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     entries = ledger.where("date is not null")
-    repeated = entries.groupBy("date").count().where("count > 1").select("date", F.lit("L04").alias("rule"), F.lit("repeated date").alias("detail"))
-    order = entries.withColumn("_before", F.expr("lag(date) over (order by position)")).where("_before > date").select("date", F.lit("L05").alias("rule"), F.lit("not in date order").alias("detail"))
-    sets = date_differences(entries, manifests).select("date", F.lit("L06").alias("rule"), F.concat(F.lit("only in "), "only_in").alias("detail"))
-    no_object = ledger.where("date is null").select(F.lit(None).cast("string").alias("date"), F.lit("L07").alias("rule"), F.concat(F.lit("entry "), F.col("position").cast("string")).alias("detail"))
-    fields = field_differences(entries, manifests).select("date", F.lit("L08").alias("rule"), "field")
-    return repeated.unionByName(order).unionByName(sets).unionByName(no_object).unionByName(fields.withColumnRenamed("field", "detail")).unionByName(broken_links(manifests))
+    told = lambda df, rule, detail: df.select(*keys, "date", F.lit(rule).alias("rule"), detail.alias("detail"))
+    repeated = told(entries.groupBy(*keys, "date").count().where("count > 1"), "L04", F.lit("repeated date"))
+    before = F.lag("date").over(Window.partitionBy(*keys).orderBy("position"))
+    order = told(entries.withColumn("_before", before).where("_before > date"), "L05", F.lit("not in date order"))
+    sets = told(date_differences(entries, manifests, keys), "L06", F.concat(F.lit("only in "), "only_in"))
+    no_object = told(ledger.where("date is null"), "L07", F.concat(F.lit("entry "), F.col("position").cast("string")))
+    fields = told(field_differences(entries, manifests, keys), "L08", F.col("field"))
+    return reduce(DataFrame.unionByName, [repeated, order, sets, no_object, fields, broken_links(manifests, keys)])
 
 
 def archive_violations(days: DataFrame, ledger: DataFrame | None, **options) -> DataFrame:

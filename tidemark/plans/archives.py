@@ -213,11 +213,12 @@ def ledger_rules(spark, sf_dir):
     listed = lambda e: F.concat(F.lit("["), F.array_join(e, ","), F.lit("]"))
     e = F.col("e")
     cases = {
-        "absent": None, "cut": F.substring(listed(e), 1, 50), "no_list": F.lit('{"date":"2024-01-02"}'), "fine": listed(e), "repeated": listed(F.concat(e, F.slice(e, -1, 1))), "swapped": listed(F.concat(F.slice(e, 2, 1), F.slice(e, 1, 1), F.slice(e, F.lit(3), F.size(e)))),
+        "cut": F.substring(listed(e), 1, 50), "no_list": F.lit('{"date":"2024-01-02"}'), "fine": listed(e), "repeated": listed(F.concat(e, F.slice(e, -1, 1))), "swapped": listed(F.concat(F.slice(e, 2, 1), F.slice(e, 1, 1), F.slice(e, F.lit(3), F.size(e)))),
         "short": listed(F.slice(e, F.lit(1), F.size(e) - 1)), "no_object": listed(F.concat(e, F.array(F.lit("5")))), "altered": listed(F.transform(e, lambda x: F.when(x.contains('"date":"2024-01-05"'), F.regexp_replace(x, '"object_count":[0-9]+', '"object_count":1')).otherwise(x))),
     }
-    found = [rules.ledger_text_violations(whole.select(text.alias("text")) if text is not None else whole.select(F.lit("").alias("text")).where("1 = 0"), days).select(F.lit(case).alias("case"), "rule", "detail") for case, text in cases.items()]
-    return reduce(DataFrame.union, found)
+    texts = stored(whole.select(F.explode(F.array(*[F.struct(F.lit(case).alias("case"), text.alias("text")) for case, text in cases.items()])).alias("c")).select("c.*"), "ledgers")
+    of_all = days.withColumn("case", F.explode(F.array(*[F.lit(case) for case in ("absent", *cases)])))
+    return rules.ledger_text_violations(texts, of_all, ("case",)).select("case", "rule", "detail")
 
 
 # timelines over archives
