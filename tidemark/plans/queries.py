@@ -15,8 +15,9 @@ from ..functions.canonical import as_record, id_set_hash, record_hash, table_has
 from ..functions.scalars import date_spine, lenient_int, time_text, utc_stamp
 from ..operators import compare, ledger, maintenance, merge, merkle, profile, rules, timeline, visibility, windows
 
+BASE, DAY = "2024-01-14", "2024-01-15"
 #: A base of the first day, and updates from the middle of that day to the end of the next, so that all kinds of change occur.
-FROM, BASE, DAY = "2024-01-01 12:00:00", "2024-01-02", "2024-01-03"
+HELD, LOWER, UPPER = "2024-01-02", "2024-01-01 12:00:00", "2024-01-03"
 FIRST, LAST = "2024-01-02", "2024-01-31"
 NO_AUDIT = ("2024-01-10", "2024-01-17")
 
@@ -57,7 +58,7 @@ def _changes(spark, sf_dir):
     """Events as they arrive, every fourth of them published three days before."""
     arrived = table(spark, sf_dir, "events").withColumn("created", F.expr("if(event_id % 4 = 0, ts - interval 3 days, ts)"))
     feed = Feed("user_id", "created", ("event_id",))
-    base, updates = (windows.latest(windows.in_window(arrived, EVENTS, lo, ntz(hi)), feed) for lo, hi in ((None, BASE), (ntz(FROM), DAY)))
+    base, updates = (windows.latest(windows.in_window(arrived, EVENTS, lo, ntz(hi)), feed) for lo, hi in ((None, HELD), (ntz(LOWER), UPPER)))
     return merge.apply_updates(base, updates, feed)
 
 
@@ -447,8 +448,8 @@ ORACLES = {
 
 _CHANGES_SQL = f"""
 a as (select *, case when event_id % 4 = 0 then ts - interval 3 days else ts end as created from events),
-b as (select * from a where ts < timestamp '{BASE}' qualify row_number() over (partition by user_id order by created desc, event_id desc) = 1),
-u as (select * from a where ts >= timestamp '{FROM}' and ts < timestamp '{DAY}' qualify row_number() over (partition by user_id order by created desc, event_id desc) = 1),
+b as (select * from a where ts < timestamp '{HELD}' qualify row_number() over (partition by user_id order by created desc, event_id desc) = 1),
+u as (select * from a where ts >= timestamp '{LOWER}' and ts < timestamp '{UPPER}' qualify row_number() over (partition by user_id order by created desc, event_id desc) = 1),
 c as (select user_id, case when u.user_id is null then 'carried' when b.user_id is null then 'new' when (u.created, u.event_id) > (b.created, b.event_id) then 'updated' when u.event_id = b.event_id then 'unchanged' else 'ignored_older' end as change,
   b.event_id as be, u.event_id as ue, b.value as bv, u.value as uv from b full join u using (user_id))
 """
