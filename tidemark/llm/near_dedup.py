@@ -104,7 +104,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Fingerprints are those of the lower-cased (A-Z) words' shingles; two link if they differ in 2 bits or fewer.
     component_id is the smallest id of the component. Null or empty texts have fingerprint 0, linked like any other.
     Repeated rows stay. A null id stays and lends its component no name; a group of null ids alone has a null name.
-    Extra columns are ignored; an empty table gives no rows.
+    Long texts count whole. Extra columns are ignored, whatever their names; an empty table gives no rows.
     """
     marked = keep(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     named = keep(marked.groupBy("fp").agg(F.min("id").alias("first")), "classes")
@@ -120,7 +120,8 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of docs that stay when one document of each group is kept: the one with the smallest id.
 
     Groups are those of near_duplicates (shingles of 3 words by default) or, if a similarity is given, of similar_groups (5 words).
-    Rows with a null id stay. Of rows that repeat both id and text one stays. Columns are those of docs.
+    Null and empty texts are one group, long texts count whole. Rows with a null id stay. Of rows that repeat both id and text one stays.
+    Columns are those of docs, whatever their names; an empty table gives an empty one.
     """
     if similarity is None:
         groups = keep(near_duplicates(docs, id_col, text_col, shingle or 3), "groups")
