@@ -370,7 +370,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     Learns only from text and language of rows whose crc32(id) mod modulus is not the remainder. lang_pred is a
     learned language, or und for a text that is null or has no letter, and for every text if nothing could be learned; score is the
-    language's share of the words by probability, 0 for und. Long texts are labelled whole. Repeated rows and null ids stay. Extra columns are ignored, whatever their names; an empty table gives no rows.
+    language's share of the words by probability, 0 for und; of equal shares the first language by code point wins. Long texts are labelled whole. Repeated rows and null ids stay. Extra columns are ignored, whatever their names; an empty table gives no rows.
     """
     field = fit_field(docs, ~held_out(id_col, modulus, remainder), text_col, lang_col, id_col, **options)
 
