@@ -2,6 +2,9 @@
 
 import datetime as dt
 import math
+import random
+import re
+from collections import Counter
 
 import duckdb
 import pytest
@@ -133,3 +136,21 @@ def test_hourly_budget_across_hours(spark):
         want = sum(c for s, t, c in uses if s == r.signer and r.at - dt.timedelta(hours=1) <= t <= r.at)
         assert r.spent == want and r.within == (want <= 4)
     assert len(found) == len(uses)
+
+
+def test_hourly_budget_of_many_uses_in_an_hour(spark):
+    """A signer's busy hours, ties at both ends of the hour before, costs without a value; uses without a time count once."""
+    rng = random.Random(6)
+    when = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    uses = [(rng.choice("ab"), when(rng.randrange(400)), rng.choice([None, 1, 2, 5])) for _ in range(600)] + [("c", None, 3), ("c", None, 4), ("c", when(5), 1)]
+    df = spark.createDataFrame(uses, "signer string, at timestamp_ntz, cost long")
+    found = profile.hourly_budget(df, 50)
+
+    def spent(s, t):
+        costs = [c for s2, t2, c in uses if s2 == s and c is not None and ((t is None and t2 is None) or (t is not None and t2 is not None and dt.timedelta(0) <= t - t2 <= dt.timedelta(hours=1)))]
+        return sum(costs) if costs else None
+
+    assert Counter(map(tuple, found.select("signer", "at", "cost", "spent", "within").collect())) == Counter((s, t, c, spent(s, t), None if spent(s, t) is None else spent(s, t) <= 50) for s, t, c in uses)
+    # no frame that begins anew for each row
+    frames = re.findall(r"specifiedwindowframe\(([^()]*(?:\(\)[^()]*)*)\)", found._jdf.queryExecution().optimizedPlan().toString().lower())
+    assert frames and all("unboundedpreceding" in f for f in frames)

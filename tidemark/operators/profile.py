@@ -176,13 +176,18 @@ def within_quota(uses: DataFrame, quotas: DataFrame, cap: int) -> DataFrame:
 def hourly_budget(uses: DataFrame, budget: float) -> DataFrame:
     """uses (signer, at, cost) with the spend of the hour up to each and whether it is within the budget.
 
-    A signer's uses go by hours: each is in its own hour and, for what comes after, in the next, so no group holds more than two hours of a signer.
+    A signer's uses go by hours: each is in its own hour and, for what comes after, in the next, so no group holds more than two hours of a signer. A group is summed
+    up twice as it is sorted: its own uses from the first on, those of the hour before from the last down, moved on by an hour. So a use costs the same however many
+    stand in its hour, and nothing is subtracted. Uses without a time are summed up with each other.
     """
     hour = F.unix_timestamp(F.date_trunc("hour", F.col("at").cast("timestamp"))) / 3600
-    both = uses.withColumn("_hour", hour.cast("long")).withColumn("_own", F.explode(F.array(F.lit(True), F.lit(False))))
-    both = both.withColumn("_hour", F.col("_hour") + F.when(F.col("_own"), 0).otherwise(1))
-    spent = F.expr("sum(cost) over (partition by signer, _hour order by at range between interval 1 hour preceding and current row)")
-    return both.withColumn("spent", spent).where("_own").drop("_own", "_hour").withColumn("within", F.col("spent") <= budget)
+    both = uses.withColumn("_hour", hour.cast("long")).withColumn("_own", F.explode(F.array(F.lit(True), F.lit(False)))).where("_own or _hour is not null")
+    both = both.withColumn("_hour", F.col("_hour") + F.when(F.col("_own"), 0).otherwise(1)).withColumn("_at", F.expr("if(_own, at, at + interval 1 hour)"))
+    here = F.expr("sum(if(_own, cost, null)) over (partition by signer, _hour order by _at range between unbounded preceding and current row)")
+    before = F.expr("sum(if(_own, null, cost)) over (partition by signer, _hour order by _at desc range between unbounded preceding and current row)")
+    found = both.withColumn("_here", here).withColumn("_before", before).where("_own")
+    spent = F.coalesce(F.col("_here") + F.col("_before"), "_here", "_before")
+    return found.withColumn("spent", spent).drop("_own", "_hour", "_at", "_here", "_before").withColumn("within", F.col("spent") <= budget)
 
 
 def overlay(index: DataFrame, events: DataFrame, key: str, latest_indexed: int, block_col: str = "block", window_from: int | None = None) -> DataFrame:
