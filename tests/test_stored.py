@@ -41,6 +41,21 @@ def test_history_prunes_days_and_id_ranges(spark, tmp_path):
         history.history_ranges(spark, path, FEED, lo, hi, 0, 40)
 
 
+def test_history_of_many_ids_takes_few_folders(spark, tmp_path):
+    ids = sorted({0, 1, 49, 50, 799, 800, 801, 1599, 1600, 1 << 40, (1 << 62) + 7, -1, -50, -51, -(1 << 40), *random.Random(8).sample(range(100_000), 1000)})
+    df = spark.createDataFrame([(i, dt.datetime(2024, 1, 3), 1, "v") for i in ids], KIND)
+    path = str(tmp_path / "history")
+    history.write_history(df, path, FEED, 50)
+    places = [(r.id, r.id_bucket_50) for r in spark.read.parquet(path).orderBy("id").collect()]
+    assert [i for i, _ in places] == ids and [b for _, b in places] == sorted(b for _, b in places)
+    assert len({b for i, b in places if 0 <= i < 100_000}) <= 80  # 2,000 ranges
+    assert all(b == i // 50 for i, b in places if 0 <= i < 800)
+    lo, hi = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 9)
+    for most in (1, 49, 50, 799, 800, 1600, 54_321, 1 << 50):
+        found = history.history_ranges(spark, path, FEED, lo, hi, most, 40)
+        assert sorted(r.id for r in found.collect()) == [i for i in ids if 0 <= i <= most]
+
+
 def test_late_rows_change_ranges_as_a_rebuild_would(spark, tmp_path):
     path, rows = str(tmp_path / "versions"), rows_of(2, 120)
     df = lambda part: spark.createDataFrame(part, KIND)

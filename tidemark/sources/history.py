@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,18 +16,35 @@ from ..operators.windows import latest
 from .shared import discard, stored
 
 _BUCKET = re.compile(r"id_bucket_(\d+)$")
+#: Ranges of ids that are stored one by one, a power of two; beyond them each doubling of the id takes half as many folders.
+SINGLE = 16
 
 
 def _number(df: DataFrame, id_col: str):
     return F.col(id_col) if isinstance(df.schema[id_col].dataType, T.IntegralType) else lenient_int(id_col)
 
 
+def _bucket(unit: Column) -> Column:
+    """The folder of a range number: itself below SINGLE, then runs of 2, 4, 8 ... ranges. It never falls as the number goes up, so a bound on ids is one on folders.
+
+    So a day's folders grow with the logarithm of its largest id, whatever the range size, and a run later in time lays its rows out the same way.
+    """
+    size = F.when(unit < 0, -1 - unit).otherwise(unit)
+    bits = F.length(F.bin(size))
+    step = F.greatest(bits - (SINGLE.bit_length() - 1), F.lit(0))
+    place = step.cast("long") * (SINGLE // 2) + F.call_function("shiftright", size, step)
+    return F.when(unit < 0, -1 - place).otherwise(place)
+
+
 def write_history(df: DataFrame, path: str, feed: Feed, size: int) -> None:
-    """Append rows to a history laid out by created_date and by ranges of `size` ids, whose number is in the column's name. Spark sizes the files."""
+    """Append rows to a history laid out by created_date and by ranges of `size` ids, whose number is in the column's name; ranges of large ids share folders, see _bucket().
+
+    Spark sizes the files.
+    """
     if size < 1:
         raise ValueError("the range size must be positive")
     bucket = f"id_bucket_{size}"
-    rows = df.withColumn("created_date", F.to_date(feed.created)).withColumn(bucket, F.floor(_number(df, feed.id) / size).cast("long"))
+    rows = df.withColumn("created_date", F.to_date(feed.created)).withColumn(bucket, _bucket(F.floor(_number(df, feed.id) / size).cast("long")))
     rows.hint("rebalance", F.col("created_date"), F.col(bucket)).write.mode("append").partitionBy("created_date", bucket).parquet(path)
 
 
@@ -42,8 +59,10 @@ def history_ranges(spark: SparkSession, path: str, feed: Feed, lower, upper, mos
     bucket = next(c for c in table.columns if _BUCKET.match(c))
     width = int(_BUCKET.match(bucket)[1])
     day = lambda t: (t.date() if isinstance(t, datetime) else t if isinstance(t, date) else datetime.fromisoformat(str(t)).date())
+    step = lambda unit: max(unit.bit_length() - (SINGLE.bit_length() - 1), 0)
+    place = lambda unit: step(unit) * (SINGLE // 2) + (unit >> step(unit))
     number = _number(table, feed.id)
-    pruned = table.where(F.col("created_date").between(F.lit(day(lower)), F.lit(day(upper))) & F.col(bucket).between(0, most // width))
+    pruned = table.where(F.col("created_date").between(F.lit(day(lower)), F.lit(day(upper))) & F.col(bucket).between(0, place(most // width)))
     rows = pruned.where((F.col(feed.created) >= F.lit(lower)) & (F.col(feed.created) < F.lit(upper)) & number.between(0, most))
     return rows.withColumn("range_low", (F.floor(number / size) * size).cast("long")).drop("created_date", bucket)
 
