@@ -6,6 +6,7 @@ import random
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidemark.functions import canonical
 from tidemark.operators import compare, merkle, profile
@@ -236,3 +237,35 @@ def test_heaviest_branch_of_a_long_chain(spark):
     assert [tuple(r) for r in profile.heaviest_branch(blocks, scored).collect()] == [("c", "n1499", 1500.0, 1500)]
     with pytest.raises(ValueError):
         profile.heaviest_branch(spark.createDataFrame([("c", "a", "b"), ("c", "b", "a")], "chain string, block string, parent string"), scored)
+
+
+def test_a_tree_reads_its_chunks_once(spark, tmp_path):
+    """Levels, spans and proofs come from one reading of the files; small files share a task."""
+    import uuid
+
+    from tidemark.sources import files
+
+    (tmp_path / "texts").mkdir()
+    for k in range(120):
+        (tmp_path / "texts" / f"{k:03}").write_bytes(bytes([k]) * (10_000 + k))
+    listed = files.file_list(spark, str(tmp_path / "texts"))
+    found = files.chunk_hashes(listed, 4096, 512)
+    assert found.rdd.getNumPartitions() == 3
+    seen = str(tmp_path / "seen")
+
+    def told(batches):
+        import pathlib
+
+        pathlib.Path(seen).mkdir(exist_ok=True)
+        for batch in batches:
+            for _ in range(batch.num_rows):
+                (pathlib.Path(seen) / uuid.uuid4().hex).touch()
+            yield batch
+
+    n = found.count()
+    tree = merkle.Tree(found.coalesce(1).mapInArrow(told, found.schema))
+    chosen = tree.spans.where("pos = 1")
+    proof = merkle.joint_proof(tree, chosen)
+    checked = merkle.check_joint_proof(chosen, proof, tree.level(99).select("path", F.lower(F.hex("id")).alias("root"))).collect()
+    assert len(checked) == 120 and all(r.ok for r in checked)
+    assert len(list((tmp_path / "seen").iterdir())) == n

@@ -105,8 +105,9 @@ class Tree:
     """A stored Merkle tree of files: one table a level, from the leaves up, sorted by (by, pos) so that a few nodes are a few row groups."""
 
     def __init__(self, found: DataFrame, by: str = "path"):
-        self.by, self.spans = by, stored(found.select(by, "pos", "start", "end"), "spans")
-        below = leaves(found, by)
+        # written once: whatever reads chunks later reads this, not the files
+        self.by, self.spans = by, stored(found.select(by, "pos", "start", "end", "data_hash"), "spans")
+        below = leaves(self.spans, by)
         self.levels, most = [], None
         while most is None or most:
             self.levels.append(stored(below.repartitionByRange(by, "pos").sortWithinPartitions(by, "pos"), "level"))
@@ -151,7 +152,7 @@ def differences(old: Tree, new: Tree) -> tuple[DataFrame, int]:
         # a node stands for its children; those beyond a file's end are in neither tree and drop out
         children = differing.select(by, F.explode(F.array(F.col("pos") * 2, F.col("pos") * 2 + 1)).alias("pos"))
         open_ = stored(children, "open")
-    spans = [t.spans.join(differing.where(where), [by, "pos"]) for t, where in ((new, "change <> 'removed'"), (old, "change = 'removed'"))]
+    spans = [t.spans.drop("data_hash").join(differing.where(where), [by, "pos"]) for t, where in ((new, "change <> 'removed'"), (old, "change = 'removed'"))]
     return spans[0].unionByName(spans[1]).select(by, "pos", "start", "end", "change"), compared
 
 

@@ -71,9 +71,8 @@ def merkle_diff(spark, sf_dir):
 
 def merkle_joint_proofs(spark, sf_dir):
     """One proof a file for a third of its chunks, checked, with the number of nodes that it holds."""
-    found = _text_files(spark, sf_dir, True)
-    tree = merkle.Tree(found)
-    chosen = found.where("end > start and pos % 3 = 1")
+    tree = merkle.Tree(_text_files(spark, sf_dir, True))
+    chosen = tree.spans.where("end > start and pos % 3 = 1")
     proof = merkle.joint_proof(tree, chosen)
     checked = merkle.check_joint_proof(chosen, proof, tree.level(99).select("path", F.lower(F.hex("id")).alias("root")))
     return checked.join(proof.groupBy("path").agg(F.count("id").alias("nodes")), "path")

@@ -15,6 +15,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Bytes that one task reads of a file at a stretch, and of a read.
 RUN_BYTES, READ_BYTES = 64 << 20, 4 << 20
+#: Files of a task if they are small.
+FEW_FILES = 50
 
 
 def file_list(spark: SparkSession, root: str) -> DataFrame:
@@ -22,6 +24,12 @@ def file_list(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", F.col("length").alias("bytes"))
 
 
+def _tasks(files: DataFrame, run_bytes: int) -> int:
+    """So many that a task has a run's bytes, or FEW_FILES small files: a task costs more than a small file does."""
+    told = files.agg(F.sum(F.expr(f"bytes div {run_bytes}")), F.sum(F.expr(f"bytes % {run_bytes}")), F.count("*")).first()
+    return max(1, min(int((told[0] or 0) + max((told[1] or 0) // run_bytes, told[2] // FEW_FILES)) + 1, 10_000))
+
+
 def chunk_hashes(files: DataFrame, size: int = CHUNK, least: int = LEAST, run_bytes: int = RUN_BYTES) -> DataFrame:
     """(path, pos, start, end, data_hash) of the chunks (see merkle.cuts) of files (path, bytes), which a task reads by runs: it seeks to the first chunk and reads one after the other.
 
@@ -29,7 +37,7 @@ def chunk_hashes(files: DataFrame, size: int = CHUNK, least: int = LEAST, run_by
     """
     rows = cuts(files.select("path", F.col("bytes").cast("long").alias("_n")), "_n", size, least)
     runs = rows.groupBy("path", F.expr(f"start div {run_bytes}").alias("run")).agg(F.array_sort(F.collect_list(F.struct("pos", "start", "end"))).alias("cuts"))
-    n = files.agg(F.sum(F.expr(f"bytes div {run_bytes} + 1"))).first()[0] or 1
+    n = _tasks(files, run_bytes)
 
     def run(batches):
         import hashlib
@@ -50,13 +58,12 @@ def chunk_hashes(files: DataFrame, size: int = CHUNK, least: int = LEAST, run_by
                 kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out), kinds)], names=["path", "pos", "start", "end", "data_hash"])
 
-    # so many partitions that each has few runs, however small their rows are
-    return runs.repartition(min(int(n), 10_000), "path", "run").select("path", "cuts").mapInArrow(run, "path string, pos long, start long, end long, data_hash string")
+    return runs.repartition(n, "path", "run").select("path", "cuts").mapInArrow(run, "path string, pos long, start long, end long, data_hash string")
 
 
 def file_hashes(files: DataFrame) -> DataFrame:
     """(path, bytes, sha256) of whole files (path, bytes), each streamed through one hasher."""
-    n = files.agg(F.sum(F.expr(f"bytes div {RUN_BYTES} + 1"))).first()[0] or 1
+    n = _tasks(files, RUN_BYTES)
 
     def run(batches):
         import hashlib
@@ -74,4 +81,4 @@ def file_hashes(files: DataFrame) -> DataFrame:
                 found.append(hasher.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string())], names=["path", "bytes", "sha256"])
 
-    return files.select("path", F.col("bytes").cast("long").alias("bytes")).repartition(min(int(n), 10_000), "path").mapInArrow(run, "path string, bytes long, sha256 string")
+    return files.select("path", F.col("bytes").cast("long").alias("bytes")).repartition(n, "path").mapInArrow(run, "path string, bytes long, sha256 string")
