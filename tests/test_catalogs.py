@@ -134,3 +134,27 @@ def test_a_day_in_pieces_is_one_file(spark, tmp_path):
         text = gzip.decompress(data)
         assert text == dumps([x for d, _, x in rows if d == r.date]).encode()
         assert (r.bytes, r.raw_bytes, r.sha256) == (len(data), len(text), hashlib.sha256(text).hexdigest()) and r.sha256 == known[r.date].sha256
+
+
+def test_large_pieces_reach_the_writer_in_small_batches(spark, tmp_path, monkeypatch):
+    """A task holds a few pieces of a large file, not all of them, and the file is whole."""
+    from tidemark.sources.shared import BATCH_BYTES
+
+    seen, write = str(tmp_path / "seen"), days.DayWriter.write
+
+    def told(self, iterator):
+        def each():
+            for batch in iterator:
+                with open(seen, "a") as f:
+                    f.write(f"{batch.nbytes}\n")
+                yield batch
+
+        return write(self, each())
+
+    monkeypatch.setattr(days.DayWriter, "write", told)
+    pieces = spark.range(60).selectExpr("'2024-01-01' as date", "'catalog.json.gz' as name", "0 as part", "cast(id as int) as seq", "repeat(cast(id % 10 as string), 1000000) as text")
+    days.write_days(pieces, str(tmp_path / "archive"))
+    sizes = [int(n) for n in open(seen)]
+    assert sum(sizes) > 60_000_000 and max(sizes) < 2 * BATCH_BYTES
+    shown = days.visible(spark, str(tmp_path / "archive")).first()
+    assert shown.sha256 == hashlib.sha256(b"".join(b"%d" % (k % 10) * 1_000_000 for k in range(60))).hexdigest()

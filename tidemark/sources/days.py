@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from .shared import small_batches
+
 # Readers and writers travel with the job, so that executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -160,7 +162,8 @@ def _write(texts: DataFrame, root: str, lists: tuple[str, ...], stage: bool, sta
         *[(F.col(c) if c in texts.columns else zero).cast("int").alias(c) for c in ("part", "seq")], "text",
     )
     rows = rows.repartition("date", "name").sortWithinPartitions("date", "name", "part", "seq")
-    rows.write.format("tidemark_days").options(path=root, run=run, lists=",".join(lists), staged=",".join(staged), stage=str(stage).lower()).mode("append").save()
+    with small_batches(spark):
+        rows.write.format("tidemark_days").options(path=root, run=run, lists=",".join(lists), staged=",".join(staged), stage=str(stage).lower()).mode("append").save()
     return run
 
 
