@@ -158,3 +158,24 @@ def test_large_pieces_reach_the_writer_in_small_batches(spark, tmp_path, monkeyp
     assert sum(sizes) > 60_000_000 and max(sizes) < 2 * BATCH_BYTES
     shown = days.visible(spark, str(tmp_path / "archive")).first()
     assert shown.sha256 == hashlib.sha256(b"".join(b"%d" % (k % 10) * 1_000_000 for k in range(60))).hexdigest()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.dictionaries(TEXT, st.one_of(st.none(), TEXT, st.integers(), st.lists(TEXT, max_size=2)), max_size=4), max_size=4), st.sampled_from(["", " ", '"', "x", "]", "{", "}"]), st.integers(0, 40), st.sampled_from([",", ", ", ",,", ""]))
+def test_plain_records_need_no_tokens(rows, odd, at, comma):
+    """Records that are taken whole give what the tokens give, in sound lists and in damaged ones."""
+    data = ("[" + comma.join(dumps(r) for r in rows) + "]").encode()
+    data = data[:at] + odd.encode() + data[at:]
+    told = []
+    for plain in (True, False):
+        cutter, got = catalogs.Cutter("id", ("a",)), []
+        if not plain:
+            cutter._is_plain = lambda data: False
+        parts = data.split(b"}")
+        for p in parts[:-1]:
+            got += list(cutter.feed(p + b"}"))
+        got += list(cutter.feed(parts[-1]))
+        cutter.finish()
+        told.append((cutter.facts(), got))
+    assert told[0] == told[1]
+    assert catalogs.Cutter._is_plain(b',{"a":"b"}') and not catalogs.Cutter._is_plain(b',"x"{"a":"b"}')

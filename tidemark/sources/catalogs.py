@@ -26,8 +26,11 @@ class Cutter:
 
     def __init__(self, id_field: str = "NORAD_CAT_ID", required: tuple[str, ...] = REQUIRED_FIELDS):
         import hashlib
+        import json
         import re
 
+        # one encoder for all records: json.dumps() would make one for each
+        self.encoded = json.JSONEncoder(sort_keys=True, separators=(",", ":"), ensure_ascii=True).encode
         self.token = re.compile(rb'\\.|["{}\[\]]', re.S).finditer
         self.number = re.compile(r"[+-]?[0-9]{1,38}").fullmatch
         self.hasher, self.raw, self.objects = hashlib.sha256(), 0, 0
@@ -41,6 +44,15 @@ class Cutter:
         self.raw += len(data)
         if not self.readable:
             return
+        if self.depth == 1 and not self.quoted and self._is_plain(data):
+            at = data.index(b"{")
+            record = self._record(data[at:]) if self._may_begin(self.gap + data[:at]) else None
+            self.gap = b""
+            if record is None:
+                self._break()
+                return
+            yield record
+            return
         at = 0  # from here on bytes belong to the record or gap that is open
         for m in self.token(data):
             t = m.group()
@@ -85,6 +97,13 @@ class Cutter:
             if len(self.gap) > 4096 and self.gap.strip(b" \t\r\n[],"):
                 self._break()
 
+    @staticmethod
+    def _is_plain(data: bytes) -> bool:
+        """Whether a piece is one record without lists, objects, escapes or braces inside, and what stands before it: then its last brace ends it, and no token need be looked at."""
+        if not data.endswith(b"}") or data.count(b"}") != 1 or data.count(b"{") != 1 or data.count(b'"') % 2 or any(c in data for c in (b"\\", b"[", b"]")):
+            return False
+        return b'"' not in data[: data.index(b"{")]
+
     def _break(self) -> None:
         self.readable, self.held, self.gap = False, [], b""
 
@@ -103,7 +122,7 @@ class Cutter:
         if not isinstance(found, dict):
             return None
         self.objects += 1
-        self.canonical &= json.dumps(found, sort_keys=True, separators=(",", ":"), ensure_ascii=True).encode() == piece
+        self.canonical &= self.encoded(found).encode() == piece
         self.incomplete |= not self.required <= found.keys()
         if any(v is not None and not isinstance(v, str) for v in found.values()):
             written = json.loads(piece, parse_int=str, parse_float=str, parse_constant=str)
@@ -126,8 +145,8 @@ class Cutter:
         return {"readable": ok, "sha256": self.hasher.hexdigest(), "raw_bytes": self.raw} | {k: v if ok else None for k, v in told.items()}
 
 
-def scanned(spark: SparkSession, paths: list[str], id_field: str = "NORAD_CAT_ID", required: tuple[str, ...] = REQUIRED_FIELDS) -> DataFrame:
-    """(path, file_bytes, pos, rec, facts) of catalog files: a row for each record, and one with facts, and no rec, at the end of each file.
+def scanned(spark: SparkSession, paths: list[str], id_field: str = "NORAD_CAT_ID", required: tuple[str, ...] = REQUIRED_FIELDS, id_alone: bool = False) -> DataFrame:
+    """(path, file_bytes, pos, rec, facts) of catalog files: a row for each record, and one with facts, and no rec, at the end of each file. With id_alone a rec has no other field.
 
     A file that is no list of objects, or whose compression breaks off, isn't readable; the records before the break are there all the same. Compressed files
     are read by one task each; others, which Spark may split, are put together by one task.
@@ -146,9 +165,12 @@ def scanned(spark: SparkSession, paths: list[str], id_field: str = "NORAD_CAT_ID
         kinds = (pa.string(), pa.int64(), pa.int64(), pa.map_(pa.string(), pa.string()), facts)
         now, cutter, before, out = None, None, None, []
 
+        def kept(r):
+            return [e for e in r if e[0] == id_field] if id_alone else r
+
         def ended():
             # the last cut of a file has no brace behind it
-            out.extend((*now, cutter.objects - 1, r, None) for r in cutter.feed(before))
+            out.extend((*now, cutter.objects - 1, kept(r), None) for r in cutter.feed(before))
             cutter.finish()
             out.append((*now, None, None, cutter.facts()))
 
@@ -162,7 +184,7 @@ def scanned(spark: SparkSession, paths: list[str], id_field: str = "NORAD_CAT_ID
                         ended()
                     now, cutter = (path, size), Cutter(id_field, required)
                 else:
-                    out.extend((*now, cutter.objects - 1, r, None) for r in cutter.feed(before + b"}"))
+                    out.extend((*now, cutter.objects - 1, kept(r), None) for r in cutter.feed(before + b"}"))
                 before = value or b""
                 if len(out) >= 2000:
                     yield table()
@@ -182,7 +204,7 @@ def catalog_rows(spark: SparkSession, paths: list[str], id_field: str = "NORAD_C
 
 def catalog_facts(spark: SparkSession, paths: list[str], id_field: str = "NORAD_CAT_ID", required: tuple[str, ...] = REQUIRED_FIELDS) -> DataFrame:
     """(path, compressed_bytes, catalog) of each file: what the day rules ask of a catalog, repeated ids among it. Files are read once; repeats are found by a join of all ids, not in a task."""
-    ids = scanned(spark, paths, id_field, required).select("path", "file_bytes", F.col("rec")[id_field].alias("id"), F.col("rec").isNotNull().alias("is_record"), "facts")
+    ids = scanned(spark, paths, id_field, required, True).select("path", "file_bytes", F.col("rec")[id_field].alias("id"), F.col("rec").isNotNull().alias("is_record"), "facts")
     ids = stored(ids, "catalog_ids")
     repeats = ids.where("is_record").groupBy("path", "id").agg(F.count("*").alias("n")).where("n > 1").select("path").distinct().withColumn("_twice", F.lit(True))
     files = ids.where("not is_record").join(repeats, "path", "left")
