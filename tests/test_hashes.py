@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -269,3 +270,40 @@ def test_a_tree_reads_its_chunks_once(spark, tmp_path):
     checked = merkle.check_joint_proof(chosen, proof, tree.level(99).select("path", F.lower(F.hex("id")).alias("root"))).collect()
     assert len(checked) == 120 and all(r.ok for r in checked)
     assert len(list((tmp_path / "seen").iterdir())) == n
+
+
+def test_heaviest_branch_by_contraction(spark, monkeypatch):
+    """Caterpillars, chains, random trees, parents that are no blocks, blocks twice, ties: as walking each path gives it, and rounds get smaller."""
+    rng = random.Random(9)
+    rows = []
+    for chain in range(6):
+        for k in range(300):
+            parent = [k - 1, k - 1 - (k % 3 == 0), rng.randrange(k) if k else -1, k - 1 if k % 50 else None, rng.choice([k - 1, k - 2, -7]), 0][chain]
+            rows.append((chain, k, None if parent is None or (parent < 0 and parent != -7) or parent == k else parent))
+    rows += rows[::7]
+    scores = [(c, rng.randrange(300), float(rng.randrange(3))) for c in range(6) for _ in range(500)]
+    parents, weight = {(c, b): p for c, b, p in rows}, Counter()
+    for c, b, s in scores:
+        weight[c, b] += s
+    want = []
+    for chain in range(6):
+        best = None
+        for tip in {b for c, b, _ in rows if c == chain} - {p for c, _, p in rows if c == chain}:
+            at, w, n = tip, 0.0, 0
+            while (chain, at) in parents:
+                w, n, at = w + weight[chain, at], n + 1, parents[chain, at]
+            best = min(best, (-w, tip, n)) if best else (-w, tip, n)
+        want.append((chain, best[1], -best[0], best[2]))
+    sizes, once = [], profile.contracted
+
+    def counted(walk, number):
+        out = once(walk, number)
+        sizes.append((walk.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(profile, "contracted", counted)
+    monkeypatch.setattr(profile, "FEW_BLOCKS", 500)
+    blocks, scored = spark.createDataFrame(rows, "chain long, block long, parent long"), spark.createDataFrame(scores, "chain long, block long, score double")
+    found = profile.heaviest_branch(blocks, scored)
+    assert sorted(map(tuple, found.select("chain", "tip", "weight", "length").collect())) == want
+    assert sizes and all(b < 0.95 * a for a, b in sizes) and sizes[-1][1] <= 500

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import stored
+from ..sources.shared import discard, stored
 from .compare import align, field_diff
 
 
@@ -143,27 +143,85 @@ def scored_attestations(attestations: DataFrame, scores: DataFrame) -> DataFrame
     return both.withColumn("score", F.coalesce(last, F.lit(0.0))).where("_k = 1").drop("_t", "_k")
 
 
+#: Blocks from which on ancestors are doubled at once instead of contracting paths first.
+FEW_BLOCKS = 1_000_000
+
+
+def _best(weight: Column, tip: Column, length: Column) -> Column:
+    """A branch as a value of which the smallest is the heaviest, of equal ones that with the smaller tip."""
+    return F.struct((-weight).alias("less"), tip.alias("tip"), length.alias("n"))
+
+
+def _below(best: Column, weight: Column, length: Column) -> Column:
+    """A branch that begins so much further up; null stays null."""
+    return F.when(best.isNotNull(), F.struct((best["less"] - weight).alias("less"), best["tip"].alias("tip"), (best["n"] + length).alias("n")))
+
+
+def contracted(walk: DataFrame, number: int) -> DataFrame:
+    """Fewer rows (chain, block, up, weight, length, best) with the same heaviest branches, after one round.
+
+    A row is a stretch of a path, whose children hang at its end; best is the heaviest branch known from its start on, null if none is. A row without children goes into
+    its parent's best. A row with one child may go into that child, by a coin of their names, so that of two in a row only one goes; a row that takes its parent in stays.
+    """
+    coin = lambda c: F.pmod(F.xxhash64("chain", c, F.lit(number)), F.lit(2))
+    kids = walk.where("up is not null").groupBy("chain", F.col("up").alias("block")).agg(F.count("*").alias("kids"), F.min("block").alias("only"))
+    here = walk.join(kids, ["chain", "block"], "left").withColumn("goes", F.coalesce((F.col("kids") == 1) & (coin("block") == 1) & (coin("only") == 0), F.lit(False)))
+    here = here.withColumn("best", F.coalesce("best", F.when(F.col("kids").isNull(), _best(F.col("weight"), F.col("block"), F.col("length")))))
+    tops = here.where("goes").select("chain", F.col("only").alias("block"), F.struct("up", "weight", "length", "best").alias("top"))
+    here = here.where("not goes").join(tops, ["chain", "block"], "left")
+    ends = F.col("kids").isNull() & F.col("top").isNull() & F.col("up").isNotNull()
+    ended = here.where(ends).groupBy("chain", F.col("up").alias("block")).agg(F.min("best").alias("ended"))
+    stay = here.where(~ends).join(ended, ["chain", "block"], "left")
+    best = F.least("best", _below(F.col("ended"), F.col("weight"), F.col("length")))
+    best = F.when(F.col("top").isNull(), best).otherwise(F.least(_below(best, F.col("top.weight"), F.col("top.length")), F.col("top.best")))
+    more = lambda c: F.col(c) + F.coalesce(f"top.{c}", F.lit(0).cast("int"))
+    return stay.select("chain", "block", F.when(F.col("top").isNull(), F.col("up")).otherwise(F.col("top.up")).alias("up"), more("weight").alias("weight"), more("length").alias("length"), best.alias("best"))
+
+
 def heaviest_branch(blocks: DataFrame, scored: DataFrame) -> DataFrame:
     """(chain, tip, weight, length): for each chain the tip whose path to the root gathers most weight, ties to the smaller tip.
 
     blocks: (chain, block, parent), parent null at a root; one that is not a block ends its path too. A block's weight is the sum of its
-    attesters' scores. Each round doubles the ancestors that a block's sum covers, so rounds grow with the logarithm of a path's length. Raises ValueError at a cycle.
+    attesters' scores. Branches that end are taken into their parents and paths are contracted, so that a round has a fraction of the blocks of the one before and all of them
+    together a few times the blocks; what is left doubles the ancestors that a block's sum covers, in rounds that grow with the logarithm of a path's length. Blocks with
+    two parents count by each of them and aren't contracted. Raises ValueError at a cycle.
     """
     weights = scored.groupBy("chain", "block").agg(F.sum("score").alias("w"))
-    names = blocks.select("chain", F.col("block").alias("parent"), F.lit(True).alias("_known")).distinct()
-    own = blocks.select("chain", "block", "parent").distinct().join(weights, ["chain", "block"], "left").join(names, ["chain", "parent"], "left")
-    walk = own.select("chain", "block", F.when(F.col("_known"), F.col("parent")).alias("up"), F.coalesce("w", F.lit(0.0)).alias("weight"), F.lit(1).alias("length"))
-    walk = stored(walk, "walk")
-    for _ in range(walk.count().bit_length() + 1):
+
+    def start(own: DataFrame) -> DataFrame:
+        names = own.select("chain", F.col("block").alias("parent"), F.lit(True).alias("_known")).distinct()
+        own = own.join(weights, ["chain", "block"], "left").join(names, ["chain", "parent"], "left")
+        return own.select("chain", "block", F.when(F.col("_known"), F.col("parent")).alias("up"), F.coalesce("w", F.lit(0.0)).alias("weight"), F.lit(1).alias("length"))
+
+    least = blocks.groupBy("chain", "block").agg(F.min("parent").alias("parent"), F.max("parent").alias("_most"), F.count("parent").alias("_some"), F.count("*").alias("_all"))
+    least = stored(least, "blocks")
+    single = least.where("parent <> _most or (_some > 0 and _some < _all)").isEmpty()
+    own = least.select("chain", "block", "parent") if single else blocks.select("chain", "block", "parent").distinct()
+    none = F.lit(None).cast(f"struct<less:double,tip:{own.schema['block'].dataType.simpleString()},n:int>")
+    walk = stored(start(own).withColumn("best", none), "walk")
+    n, number = walk.count(), 0
+    while single and n > FEW_BLOCKS:
+        before, walk = walk, stored(contracted(walk, number), "walk")
+        discard(before)
+        number, last, n = number + 1, n, walk.count()
+        if n > last * 0.95:  # blocks in circles don't get fewer
+            break
+    rest, walk = walk, walk.drop("best")
+    for _ in range(n.bit_length() + 1):
         if walk.where("up is not null").isEmpty():
             break
         over = walk.select("chain", F.col("block").alias("up"), F.col("up").alias("_up"), F.col("weight").alias("_weight"), F.col("length").alias("_length"))
         walk = stored(walk.join(over, ["chain", "up"], "left").select("chain", "block", F.col("_up").alias("up"), (F.col("weight") + F.coalesce("_weight", F.lit(0.0))).alias("weight"), (F.col("length") + F.coalesce("_length", F.lit(0))).alias("length")), "walk")
     else:
         raise ValueError("blocks are their own ancestors")
-    done = walk.join(blocks.select("chain", F.col("parent").alias("block")).where("block is not null").distinct(), ["chain", "block"], "left_anti")
-    ranked = done.withColumn("_r", F.expr("row_number() over (partition by chain order by weight desc, block)"))
-    return ranked.where("_r = 1").select("chain", F.col("block").alias("tip"), "weight", "length")
+    # branches within a row go on above it; a row that nothing hangs at ends at itself
+    above = walk.select("chain", F.col("block").alias("up"), F.col("weight").alias("_weight"), F.col("length").alias("_length"))
+    within = rest.where("best is not null").join(above, ["chain", "up"], "left")
+    within = within.select("chain", _below(F.col("best"), F.coalesce("_weight", F.lit(0.0)), F.coalesce("_length", F.lit(0))).alias("b"))
+    tips = walk.join(rest.select("chain", F.col("up").alias("block")).where("block is not null").distinct(), ["chain", "block"], "left_anti")
+    tips = tips.join(rest.where("best is not null").select("chain", "block"), ["chain", "block"], "left_anti").select("chain", _best(F.col("weight"), F.col("block"), F.col("length")).alias("b"))
+    found = within.unionByName(tips).groupBy("chain").agg(F.min("b").alias("b"))
+    return found.select("chain", "b.tip", (-F.col("b.less")).alias("weight"), F.col("b.n").alias("length"))
 
 
 def within_quota(uses: DataFrame, quotas: DataFrame, cap: int) -> DataFrame:
