@@ -2,10 +2,12 @@ import random
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 from test_near_dedup import components, plain
 
 import corpus_pipeline
 from tidemark.llm import near_dedup, similar
+from tidemark.llm.common import majority
 
 
 def shingles(text):
@@ -72,3 +74,48 @@ def test_edited_copies_leave_the_stage(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [1, 3]
     assert near_dedup.representatives(docs).count() == 3
     assert near_dedup.representatives(docs, similarity=Fraction(99, 100)).count() == 3
+
+
+def edits(texts, words, changed, seed):
+    """Texts of so many words that differ from one text in so many places each."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(5000)}" for _ in range(words)]
+    rows = []
+    for i in range(texts):
+        copy = list(base)
+        for k in rng.sample(range(5, words - 5), changed):
+            copy[k] = f"e{rng.random()}"
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+def joined(spark, rows):
+    return similar._Join(spark.createDataFrame(rows, "id long, t string"), 5, Fraction(4, 5))
+
+
+def test_texts_below_the_similarity_are_told_apart_without_their_sets(spark):
+    rows = edits(30, 400, 8, 3)
+    assert len({g for _, g in brute(rows)}) == 30
+    join = joined(spark, rows)
+    ids = join.texts.select("cls")
+    assert join.close(ids.select(F.col("cls").alias("a")).crossJoin(ids.select(F.col("cls").alias("b")))).count() == 0
+    # what is similar stays
+    rows = edits(12, 400, 3, 4)
+    join = joined(spark, rows)
+    ids = join.texts.select("cls")
+    assert {g for _, g in brute(rows)} == {0}
+    assert join.close(ids.select(F.col("cls").alias("a")).crossJoin(ids.select(F.col("cls").alias("b")))).count() == 66
+
+
+def test_fingerprints_link_before_the_join(spark):
+    rows = edits(8, 1500, 1, 5) + [(100 + i, t) for i, t in edits(8, 60, 2, 6)]
+    fps = {i: majority(similar.shingle_hashes(t.encode().split(), 5)) for i, t in rows}
+    near = [(i, j) for i, a in fps.items() for j, b in fps.items() if j < i and (a ^ b).bit_count() <= 2]
+    assert near
+    join = joined(spark, rows)
+    name = {r.cls: r.first for r in join.texts.collect()}
+    marks = [(name[r[0]], name[r[1]]) for r in join.marks().collect()]
+    assert components(fps, marks) == components(fps, near)
+    join.link(join.marks(), True)
+    found = {(name[r.a], name[r.b]) for r in join.links.collect()}
+    assert found and all(len(shingles(dict(rows)[a]) & shingles(dict(rows)[b])) * 5 >= 4 * len(shingles(dict(rows)[a]) | shingles(dict(rows)[b])) for a, b in found)

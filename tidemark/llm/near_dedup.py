@@ -18,9 +18,9 @@ from fractions import Fraction
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, small, text_bytes
+from . import similar
+from .common import keep, majority, small, text_bytes
 from .components import connected_components
-from .similar import similar_groups
 
 SEGMENT_MASKS = (0x5555555555555555, 0x3333333333333333)
 #: Fingerprints of a cell whose pairs are compared one by one.
@@ -44,10 +44,7 @@ def simhash(words: list[bytes], shingle: int = 3) -> int:
     n = max(1, len(words) - shingle + 1)
     last = ends[shingle - 1 :] if len(words) >= shingle else ends[-1:]
     hashes = np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, last)), np.uint64, n)
-    columns = hashes.view(np.uint8).reshape(n, 8)
-    bits = np.arange(256)[:, None] >> np.arange(8)[None, :] & 1
-    counts = np.concatenate([np.bincount(columns[:, k], minlength=256) @ bits for k in range(8)])
-    return int(sum(1 << k for k in np.flatnonzero(counts * 2 > n).tolist()))
+    return majority(hashes)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -83,11 +80,13 @@ def _cells(fps: DataFrame) -> DataFrame:
     return cells.select("fp", F.explode(F.array(*moves)).alias("cell")).where("cell is not null")
 
 
-def links(fps: DataFrame) -> DataFrame:
-    """(a, b): links that connect exactly the distinct fingerprints of fps (column fp) differing in at most 2 bits."""
+def links(fps: DataFrame, made: list | None = None) -> DataFrame:
+    """(a, b): links that connect exactly the distinct fingerprints of fps (column fp) differing in at most 2 bits. The table they read is appended to `made`."""
     cells = _cells(fps)
     shared = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
     near = keep(cells.join(shared, "cell"), "cells")
+    if made is not None:
+        made.append(near)
     few = near.where(F.col("n") <= FEW).groupBy("cell").agg(F.collect_list("fp").alias("fps"))
     found = few.select(F.explode(F.expr("flatten(transform(fps, a -> transform(filter(fps, b -> b < a and bit_count(a ^ b) <= 2), b -> struct(a, b))))")).alias("l")).select("l.a", "l.b")
 
@@ -126,7 +125,7 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if similarity is None:
         groups = keep(near_duplicates(docs, id_col, text_col, shingle or 3), "groups")
     else:
-        groups = similar_groups(docs, id_col, text_col, shingle or 5, similarity)
+        groups = similar.similar_groups(docs, id_col, text_col, shingle or 5, similarity)
     ids = groups.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n"))
     gone = ids.where(~F.col("stays")).select(F.col("doc_id").alias("_gone"))
     repeats, leave = ids.agg(F.count_if(F.col("n") > 1), F.count_if(~F.col("stays"))).first()

@@ -1,4 +1,7 @@
-"""Groups of texts by the Jaccard similarity of their shingles: an exact join by prefixes, then connected components.
+"""Groups of texts by the Jaccard similarity of their shingles: SimHash links of near_dedup first, each decided exactly, an exact join by prefixes for what they leave apart, connected components.
+
+A text's 64-bit SimHash is that of its shingles. near_dedup.links finds through segment popcounts and grid cells which fingerprints differ in at most 2 bits; texts of equal or
+linked fingerprints are decided on their whole sets and connected. At a similarity of 0.8 fingerprints differ in some 10 bits, where no grid is selective, so the texts that these links leave apart meet by prefixes.
 
 A text is the set of the hashes of its shingles, n of them. At similarity p / q two sets share a shingle among the first
 n - ceil(p n / q) + 1 of each in any order that all sets use, so only those meet in a join on the shingle. The order puts
@@ -7,7 +10,8 @@ sets share, at places i and j of their orders, leaves them at most min(n - i, m
 
 What remains is bounded from below before any set is moved: a text's vector counts its shingles in PARTS parts of the
 hash space, and the Manhattan distance of two vectors is never above the number of shingles that only one of the two
-texts has. Pairs beyond the distance that the similarity allows go; every other pair is decided on the whole sets.
+texts has. Nor is the Hamming distance of their sketches, fingerprints of BITS bits each of which is the parity of the shingles that fall on it. Pairs beyond
+the distance that the similarity allows go; every other pair is decided on the whole sets. Sketches tell short texts apart, vectors long ones.
 
 Each text is decided first against one other, the hub of the early shingle that most texts share with it. Then a shingle of up to FEW texts gives its pairs of texts in different components, one of more, as the
 variants of a widely copied text have it, a star around a text drawn for the shingle, and in the end its pairs of texts that are still in different components.
@@ -22,7 +26,8 @@ from fractions import Fraction
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, keep, keep_told, small, text_bytes
+from . import near_dedup
+from .common import discard, keep, keep_told, majority, small, text_bytes
 from .components import connected_components
 
 #: Texts of a shingle whose pairs are formed at once, and the rounds of stars for the others.
@@ -31,6 +36,8 @@ FEW, ROUNDS = 16, 1
 LEAST_SAMPLE, LEAST, COMMON = 4000, 3, 200_000
 #: Parts of a text's vector, a power of two. A count beyond 255 reads as 255, which makes no distance larger.
 PARTS = 64
+#: Bits of a text's sketch, a multiple of 64 and a power of two.
+BITS = 1024
 #: Texts of a batch whose sets are in memory at once, and their bytes, but for a longer text alone.
 SLICE, SLICE_BYTES = 250, 4 << 20
 _P = 0x9E3779B97F4A7C15
@@ -82,7 +89,7 @@ def _lists(values, sizes):
 
 
 def _marked(rows: DataFrame, shingle: int) -> DataFrame:
-    """(id, cls, n, vec) of rows (id, t): n is the size of the set, vec its counts by part."""
+    """(id, cls, n, vec, fp, bits) of rows (id, t): n is the size of the set, vec its counts by part, fp its SimHash, bits its sketch."""
 
     def run(batches):
         import numpy as np
@@ -91,12 +98,16 @@ def _marked(rows: DataFrame, shingle: int) -> DataFrame:
         for ids, cls, words in _slices(batches):
             sets = [shingle_hashes(w, shingle) for w in words]
             n = np.array([len(s) for s in sets], np.int64)
-            part = np.concatenate([np.zeros(0, np.uint64), *sets]) >> np.uint64(64 - PARTS.bit_length() + 1)
-            counts = np.bincount(np.repeat(np.arange(len(n)), n) * PARTS + part.astype(np.int64), minlength=PARTS * len(n))
+            every, row = np.concatenate([np.zeros(0, np.uint64), *sets]), np.repeat(np.arange(len(n)), n)
+            part = every >> np.uint64(64 - PARTS.bit_length() + 1)
+            counts = np.bincount(row * PARTS + part.astype(np.int64), minlength=PARTS * len(n))
             vec = _lists(np.minimum(counts, 255).astype(np.int16), np.full(len(n), PARTS))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(cls), pa.array(n.astype(np.int32)), vec], names=["id", "cls", "n", "vec"])
+            odd = np.bincount(row * BITS + (every & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS * len(n)).astype(np.uint8) & 1
+            bits = _lists(np.packbits(odd, bitorder="little").view(np.int64), np.full(len(n), BITS // 64))
+            fps = np.array([majority(s) for s in sets], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(cls), pa.array(n.astype(np.int32)), vec, pa.array(fps), bits], names=["id", "cls", "n", "vec", "fp", "bits"])
 
-    return rows.mapInArrow(run, "id long, cls long, n int, vec array<smallint>")
+    return rows.mapInArrow(run, "id long, cls long, n int, vec array<smallint>, fp long, bits array<long>")
 
 
 def _sets(rows: DataFrame, shingle: int, p: int = 0, q: int = 1, common: tuple[int, ...] = ()) -> DataFrame:
@@ -146,7 +157,7 @@ class _Join:
         self.rows, self.shingle, self.p, self.q, self.made = rows, shingle, similarity.numerator, similarity.denominator, []
         marked = self.keep(_marked(rows, shingle), "marked")
         self.marked = marked.select("id", "cls")
-        self.texts = self.keep(marked.groupBy("cls").agg(F.min("id").alias("first"), F.first("n").alias("n"), F.first("vec").alias("vec")), "texts")
+        self.texts = self.keep(marked.groupBy("cls").agg(F.min("id").alias("first"), *[F.first(c).alias(c) for c in ("n", "vec", "fp", "bits")]), "texts")
         self.links = None
         self.roots = self.texts.where("1 = 0").select("cls", F.col("cls").alias("root"))
 
@@ -161,9 +172,11 @@ class _Join:
         return f"least({n}, {m}) * {q} >= greatest({n}, {m}) * {p} and least({n} - {i}, {m} - {j}) * {p + q} >= ({n} + {m}) * {p}"
 
     def near(self, x: str, y: str) -> str:
-        """True unless the Manhattan distance of the vectors is beyond what the similarity allows."""
+        """True unless the Hamming distance of the sketches or the Manhattan distance of the vectors is beyond what the similarity allows."""
+        most = f"(({x}.at >> 32) + ({y}.at >> 32)) * {self.q - self.p}"
+        differ = " + ".join(f"bit_count({x}.bits[{k}] ^ {y}.bits[{k}])" for k in range(BITS // 64))
         far = f"aggregate(zip_with({x}.vec, {y}.vec, (a, b) -> abs(cast(a as int) - b)), 0, (s, v) -> s + v)"
-        return f"{far} * {self.p + self.q} <= (({x}.at >> 32) + ({y}.at >> 32)) * {self.q - self.p}"
+        return f"({differ}) * {self.p + self.q} <= {most} and {far} * {self.p + self.q} <= {most}"
 
     def keys(self) -> DataFrame:
         """(key, cls, at, m): the shingles of prefixes that m > 1 texts have there."""
@@ -176,11 +189,19 @@ class _Join:
         found = found.select("key", "cls", F.expr("shiftleft(cast(n as long), 32) + i").alias("at")).repartition("key").groupBy("key", "cls").agg(F.min("at").alias("at"))
         return self.keep(found.withColumn("m", F.expr("count(*) over (partition by key)")).where("m > 1"), "keys")
 
+    def marks(self) -> DataFrame:
+        """(a, b): texts of equal fingerprints with one of them, and one each of fingerprints that differ in at most 2 bits. Their number grows with that of texts."""
+        named = self.keep(self.texts.groupBy("fp").agg(F.min("cls").alias("hub")), "fingerprints")
+        equal = self.texts.join(named, "fp").where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b"))
+        ends = [named.select(F.col("fp").alias(s), F.col("hub").alias(f"h{s}")) for s in "ab"]
+        linked = near_dedup.links(named.select("fp"), self.made).join(ends[0], "a").join(ends[1], "b")
+        return equal.union(linked.select("ha", "hb"))
+
     def close(self, pairs: DataFrame) -> DataFrame:
-        """The pairs a < b whose vectors are within the distance."""
+        """The pairs a < b whose sketches and vectors are within the distance."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
         for s in "ab":
-            pairs = pairs.join(self.texts.select(F.col("cls").alias(s), F.col("n").alias(f"n{s}"), F.col("vec").alias(f"v{s}")), s)
+            pairs = pairs.join(self.texts.select(F.col("cls").alias(s), *[F.col(c).alias(c[0] + s) for c in ("n", "vec", "bits")]), s)
         p, q = self.p, self.q
 
         def within(batches):
@@ -189,10 +210,12 @@ class _Join:
 
             for batch in batches:
                 va, vb = (batch.column(k).flatten().to_numpy().reshape(-1, PARTS) for k in (4, 5))
+                ba, bb = (batch.column(k).flatten().to_numpy().reshape(-1, BITS // 64) for k in (6, 7))
                 n = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
-                yield batch.select(["a", "b"]).filter(pa.array(np.abs(va - vb).sum(1) * (p + q) <= n * (q - p)))
+                far = np.maximum(np.abs(va - vb).sum(1), np.bitwise_count((ba ^ bb).view(np.uint64)).sum(1, dtype=np.int64))
+                yield batch.select(["a", "b"]).filter(pa.array(far * (p + q) <= n * (q - p)))
 
-        return self.keep(pairs.select("a", "b", "na", "nb", "va", "vb").mapInArrow(within, "a long, b long"), "close")
+        return self.keep(pairs.select("a", "b", "na", "nb", "va", "vb", "ba", "bb").mapInArrow(within, "a long, b long"), "close")
 
     def alike(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose sets have the similarity or more."""
@@ -205,9 +228,9 @@ class _Join:
         shared = F.size(F.array_intersect("ha", "hb"))
         return self.keep(both.where(shared * (self.p + self.q) >= (F.size("ha") + F.size("hb")) * self.p).select("a", "b"), "alike")
 
-    def link(self, pairs: DataFrame, one_each: bool = False) -> None:
-        """Decide the pairs (a, b) and connect what is alike: each text with one other first, then what that left apart. With one_each no text has more than one pair."""
-        close = self.close(pairs)
+    def link(self, pairs: DataFrame, one_each: bool = False, near: bool = False) -> None:
+        """Decide the pairs (a, b) and connect what is alike: each text with one other first, then what that left apart. With one_each all at once, as for few pairs a text. With near() pairs that passed it are a < b, each once."""
+        close = self.keep(pairs, "close") if near else self.close(pairs)
         if close.isEmpty():
             return
         self.add(self.alike(close if one_each else close.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")))
@@ -226,6 +249,7 @@ class _Join:
 
     def run(self) -> DataFrame:
         """(id, component) of every row."""
+        self.link(self.marks(), True)
         keys = self.keys()
         early = f"({{}} & 4294967295) * {self.p + self.q} <= ({{}} >> 32) * {self.q - self.p}"
         # each text with one other, so that the variants of one text meet without their pairs: by the one of its early shingles that most texts have
@@ -244,10 +268,10 @@ class _Join:
             # a text's shingles in order, so that a pair is formed at the first one it shares alone
             ordered = F.transform(F.array_sort(F.collect_list(F.struct((F.col("at").bitwiseAND(F.lit((1 << 32) - 1))).alias("i"), "key"))), lambda k: k["key"])
             if step == ROUNDS:
-                many = many.join(many.groupBy("cls").agg(ordered.alias("keys")), "cls").join(self.texts.select("cls", "vec"), "cls")
+                many = many.join(many.groupBy("cls").agg(ordered.alias("keys")), "cls").join(self.texts.select("cls", "vec", "bits"), "cls")
             else:
-                many = many.withColumns({"keys": F.lit(None).cast("array<long>"), "vec": F.lit(None).cast("array<smallint>")})
-            x, y = (many.select("key", F.struct("cls", "at", "root", "keys", "vec").alias(s)) for s in "xy")
+                many = many.withColumns({"keys": F.lit(None).cast("array<long>"), "vec": F.lit(None).cast("array<smallint>"), "bits": F.lit(None).cast("array<long>")})
+            x, y = (many.select("key", F.struct("cls", "at", "root", "keys", "vec", "bits").alias(s)) for s in "xy")
             y = y.where(early.format("y.at", "y.at"))
             fits = f"x.root <> y.root and {self.may('x', 'y')}"
             if step < ROUNDS:
@@ -255,13 +279,13 @@ class _Join:
             # the last step forms whatever pairs the stars left apart, each once
             # also where both have its first shingle early; and only those within the distance leave the join
             one_way = f"(x.cls < y.cls or not ({early.format('x.at', 'x.at')}))"
-            once = f"{one_way} and key = element_at(array_intersect(x.keys, y.keys), 1) and {self.near('x', 'y')}" if step == ROUNDS else "true"
-            met = x.join(y, "key").where(f"{fits} and {once}").select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
+            once = f"{one_way} and {self.near('x', 'y')} and key = element_at(array_intersect(x.keys, y.keys), 1)" if step == ROUNDS else "true"
+            met = x.join(y, "key").where(f"{fits} and {once}").select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
             if not step:
                 few = here.where(F.col("m") <= FEW).groupBy("key").agg(F.collect_list(F.struct("cls", "at", "root")).alias("l"))
                 pairs = few.select(F.explode(F.expr(f"flatten(transform(l, x -> transform(filter(l, y -> y.cls < x.cls and {fits}), y -> struct(x.cls as a, y.cls as b))))")).alias("e")).select("e.a", "e.b")
                 met = pairs.union(met)
-            self.link(met)
+            self.link(met, near=bool(step) and step == ROUNDS)
         rooted = self.texts.select("cls", "first").join(self.roots, "cls", "left").select("cls", "first", F.coalesce("root", "cls").alias("root"))
         least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
         names = rooted.join(least, "root").select("cls", "component_id")
