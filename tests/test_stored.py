@@ -131,3 +131,14 @@ def test_state_store_stream(spark, tmp_path):
         run_state(stream(), FEED, str(tmp_path / "out"), str(tmp_path / "log"), "2 days", 3 * 86_400_000).awaitTermination()
     got = {(r.id, r.gp, r.v, r.rows_seen, r.change) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {(1, 1, "b", 2, "new"), (2, 5, "x", 1, "new"), (1, 1, "b", 3, "ignored_older"), (2, 5, "x", 2, "unchanged"), (3, 1, "c", 1, "new"), (4, 1, "d", 1, "new"), (1, 1, "b", 3, "expired"), (2, 5, "x", 2, "expired"), (3, 1, "c", 1, "expired"), (1, 1, "again", 1, "new"), (4, 2, "tie", 2, "updated")}
+
+
+def test_state_keeps_numbers_as_they_are(spark, tmp_path):
+    """Longs beyond 2^53 beside nulls, and NaN, which is no null."""
+    from tidemark.streaming.state import run_state
+
+    big, kind = (1 << 53) + 1, "id long, created timestamp, gp long, v double, w long"
+    rows = [(1, dt.datetime(2024, 1, 2), 1, float("nan"), big), (1, dt.datetime(2024, 1, 1), 2, 0.5, None), (2, dt.datetime(2024, 1, 1), big, None, big), (2, dt.datetime(2024, 1, 1), big - 1, 0.0, None)]
+    spark.createDataFrame(rows, kind).coalesce(1).write.parquet(str(tmp_path / "in"))
+    run_state(spark.readStream.schema(kind).parquet(str(tmp_path / "in")), FEED, str(tmp_path / "out"), str(tmp_path / "log")).awaitTermination()
+    assert {(r.id, r.gp, str(r.v), r.w, r.rows_seen) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {(1, 1, "nan", big, 2), (2, big, "None", big, 2)}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
@@ -21,56 +21,52 @@ STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 
 
 class Running(StatefulProcessor):
-    """Keeps an object's best row and how many it has had; tells once a batch what the batch did to it."""
+    """Keeps an object's best row and how many it has had; tells once a batch what the batch did to it. Rows are plain ones: a pandas frame for each object would cost more than its rows."""
 
     def __init__(self, kind: T.StructType, keys: list[str], ttl_ms: int | None):
-        self.kind, self.keys, self.ttl = kind, keys, ttl_ms
+        self.kind, self.ttl = kind, ttl_ms
+        self.keys, self.content = [kind.names.index(k) for k in keys], kind.names.index("tidemark_content")
+        self.told = Row("tidemark_id", *[n for n in kind.names if n != "tidemark_content"], "rows_seen", "change")
+        # nulls lowest, NaN highest
+        self.rank = lambda r: tuple((r[k] is not None, r[k] != r[k], 0 if r[k] != r[k] else r[k]) for k in self.keys)
 
     def init(self, handle):
         self.handle = handle
         self.best = handle.getValueState("best", T.StructType([*self.kind.fields, T.StructField("tidemark_rows", T.LongType())]))
 
     def handleInputRows(self, key, rows, timerValues):
-        import pandas as pd
-
-        parts = list(rows)
-        batch = pd.concat(parts) if len(parts) > 1 else parts[0]
-        names = self.kind.names
-        # the largest key, ties by the hash of the content, as in a batch
-        order = batch.sort_values([*self.keys, "tidemark_content"], ascending=False, kind="stable", na_position="last")
-        row = tuple(None if pd.isna(v) else v for v in (order.iloc[0][n] for n in names))
-        held = self.best.get() if self.best.exists() else None
-        rank = lambda r: tuple((r[names.index(k)] is not None, r[names.index(k)]) for k in (*self.keys, "tidemark_content"))
+        width, n, newest, row, high = len(self.kind), 0, 0, None, None
+        for r in rows:
+            # id, what is kept, milliseconds, time; by place, as a search by name for each value of each row costs more than the rest
+            n, newest, now = n + 1, max(newest, r[width + 1] or 0), r[1 : width + 1]
+            # the largest key, ties by the hash of the content, as in a batch
+            rank = (self.rank(now), now[self.content])
+            if row is None or rank > high:
+                row, high = now, rank
+        held = self.best.get()
         if held is None:
             change, now, seen = NEW, row, 0
         else:
-            seen = held[-1]
-            before = tuple(held[: len(names)])
-            if rank(row)[: len(self.keys)] > rank(before)[: len(self.keys)]:
+            *before, seen = held
+            if high[0] > self.rank(before):
                 change, now = UPDATED, row
             else:
-                change = UNCHANGED if row[names.index("tidemark_content")] == before[names.index("tidemark_content")] else IGNORED
-                now = before
-        now = tuple(v.to_pydatetime() if hasattr(v, "to_pydatetime") else v.item() if hasattr(v, "item") else v for v in now)
-        self.best.update((*now, seen + len(batch)))
+                change, now = (UNCHANGED if row[self.content] == before[self.content] else IGNORED), tuple(before)
+        self.best.update((*now, seen + n))
         if self.ttl is not None:
             for t in list(self.handle.listTimers()):
                 self.handle.deleteTimer(t)
-            newest = int(batch["tidemark_at"].max().timestamp() * 1000)
             self.handle.registerTimer(max(newest, timerValues.getCurrentWatermarkInMs()) + self.ttl)
-        yield self._told(key, now, seen + len(batch), change)
+        yield self._told(key, now, seen + n, change)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.best.exists():
-            held = tuple(self.best.get())
+        held = self.best.get()
+        if held is not None:
             self.best.clear()
             yield self._told(key, held[:-1], held[-1], EXPIRED)
 
     def _told(self, key, row, seen, change):
-        import pandas as pd
-
-        values = {n: [v] for n, v in zip(self.kind.names, row) if n not in ("tidemark_at", "tidemark_content")}
-        return pd.DataFrame({"tidemark_id": [key[0]], **values, "rows_seen": [seen], "change": [change]})
+        return self.told(key[0], *[v for k, v in enumerate(row) if k != self.content], seen, change)
 
     def close(self):
         pass
@@ -88,14 +84,15 @@ def running_state(stream: DataFrame, feed: Feed, delay: str = "0 seconds", ttl_m
     if ttl_ms is not None:
         rows = rows.withWatermark("tidemark_at", delay)
     kinds = {f.name: f for f in rows.schema}
-    # NTZ times are no state type of pandas rows; they go as they are shown
+    # NTZ times are no state type of Python rows; they go as they are shown
     kept = [c for c in stream.columns if c != feed.id]
     ntz = [c for c in kept if isinstance(kinds[c].dataType, T.TimestampNTZType)]
-    rows = rows.select(feed.id, *[F.col(c).cast("string").alias(c) if c in ntz else F.col(c) for c in kept], "tidemark_content", "tidemark_at")
-    kind = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema if f.name != feed.id])
-    out = T.StructType([T.StructField("tidemark_id", rows.schema[feed.id].dataType), *[f for f in kind if f.name not in ("tidemark_at", "tidemark_content")], T.StructField("rows_seen", T.LongType()), T.StructField("change", T.StringType())])
+    at = [F.unix_millis("tidemark_at").alias("tidemark_ms"), "tidemark_at"]
+    rows = rows.select(feed.id, *[F.col(c).cast("string").alias(c) if c in ntz else F.col(c) for c in kept], "tidemark_content", *at)
+    kind = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema if f.name not in (feed.id, "tidemark_ms", "tidemark_at")])
+    out = T.StructType([T.StructField("tidemark_id", rows.schema[feed.id].dataType), *[f for f in kind if f.name != "tidemark_content"], T.StructField("rows_seen", T.LongType()), T.StructField("change", T.StringType())])
     mode = "EventTime" if ttl_ms is not None else "None"
-    found = rows.groupBy(feed.id).transformWithStateInPandas(Running(kind, [feed.created, *feed.ties], ttl_ms), out, "Update", mode)
+    found = rows.groupBy(feed.id).transformWithState(Running(kind, [feed.created, *feed.ties], ttl_ms), out, "Update", mode)
     return found.select(F.col("tidemark_id").alias(feed.id), *[F.col(c).cast("timestamp_ntz").alias(c) if c in ntz else F.col(c) for c in kept], "rows_seen", "change")
 
 
