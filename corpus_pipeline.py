@@ -24,11 +24,14 @@ from tidemark.llm.token_file import token_file
 SIMILARITY = Fraction(4, 5)
 #: Seed of the draw of copies.
 DRAW = 12
+#: Pieces whose ids a task of the last stage remembers at once: fewer than the token file's own, as workers keep the memory of the stages before. Ids are the same.
+KEPT = 100_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go. Null and empty texts are scored like any other; rows with equal texts go or stay together, with or without an id."""
-    return accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    # written here, as keep() gives Python workers small batches and the writer of the stage's result may not
+    return keep(accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), "accepted")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +57,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) as read back from the token files, in order of ids, null ones first; null texts are the end id alone."""
-    return token_file(docs, tokenizer_path(), VOCABULARY)
+    return token_file(docs, tokenizer_path(), VOCABULARY, kept=KEPT)
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontamination", decontamination), ("mixing", mixing), ("token_ids", token_ids)]

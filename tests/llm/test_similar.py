@@ -119,3 +119,61 @@ def test_fingerprints_link_before_the_join(spark):
     join.link(join.marks(), True)
     found = {(name[r.a], name[r.b]) for r in join.links.collect()}
     assert found and all(len(shingles(dict(rows)[a]) & shingles(dict(rows)[b])) * 5 >= 4 * len(shingles(dict(rows)[a]) | shingles(dict(rows)[b])) for a, b in found)
+
+
+def test_words_of_a_text_are_let_go_before_the_next():
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(7)
+    texts = [" ".join(f"w{rng.randrange(10**5)}" for _ in range(2000)) for _ in range(250)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(250), pa.int64()), pa.array(texts)], names=["id", "t"])
+    context = SimpleNamespace(broadcast=lambda v: SimpleNamespace(value=v))
+    rows = SimpleNamespace(mapInArrow=lambda run, schema: run, sparkSession=SimpleNamespace(sparkContext=context))
+    for run in (similar._marked(rows, 5), similar._sets(rows, 5)):
+        list(run(iter([batch.slice(0, 1)])))
+        tracemalloc.start()
+        found = list(run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        # 3.4 MB of texts: their words alone are over 25 MB
+        assert sum(b.num_rows for b in found) == 250 and peak < 16 << 20
+    sets = [shingles(t) for t in texts]
+    assert np.concatenate([b.column(1).to_numpy() for b in found]).tolist() == [len(s) for s in sets]
+
+
+def test_later_links_meet_by_names_of_components_alone(spark, monkeypatch):
+    join, seen, links = joined(spark, edits(3, 60, 2, 8)), [], similar.connected_components
+
+    def counted(edges, made):
+        seen.append(edges.where("u <> v").count())
+        return links(edges, made)
+
+    monkeypatch.setattr(similar, "connected_components", counted)
+    rng = random.Random(9)
+    steps = [[(i, i + 1) for i in range(40) if i % 10], [(rng.randrange(60), rng.randrange(60)) for _ in range(8)], [(3, 4), (7, 5)], [(70, 71), (-5, 70), (71, 12)]]
+    for k, step in enumerate(steps):
+        join.add(spark.createDataFrame(step, "a long, b long"))
+        every = [e for s in steps[: k + 1] for e in s]
+        nodes = {n for e in every for n in e}
+        group = components(nodes, every)
+        least = {}
+        for n, g in group.items():
+            least[g] = min(n, least.get(g, n))
+        assert {n: n for n in nodes} | {r.cls: r.root for r in join.roots.collect()} == {n: least[g] for n, g in group.items()}
+    assert (seen[0], seen[2], seen[3]) == (36, 0, 3)
+
+
+def test_prefixes_are_dealt_by_their_number(spark, monkeypatch):
+    rows = variants()
+    join = joined(spark, rows)
+    sets = {r.cls: r.n for r in join.marked.join(join.texts, "cls").select("cls", "n").collect()}
+    assert join.places >= sum(n - -(-n * 4 // 5) + 1 for n in sets.values())
+    monkeypatch.setattr(similar, "KEYS_A_TASK", 500)
+    parts = []
+    monkeypatch.setattr(join, "keep", lambda df, name: parts.append(df.rdd.getNumPartitions()) or df)
+    assert sorted(map(tuple, join.keys().collect())) == sorted(map(tuple, joined(spark, rows).keys().collect()))
+    assert parts == [-(-join.places // 500)] and parts[0] > 4

@@ -39,7 +39,9 @@ PARTS = 64
 #: Bits of a text's sketch, a multiple of 64 and a power of two.
 BITS = 1024
 #: Texts of a batch whose sets are in memory at once, and their bytes, but for a longer text alone.
-SLICE, SLICE_BYTES = 250, 4 << 20
+SLICE, SLICE_BYTES = 250, 1 << 20
+#: Shingles of prefixes that a task sorts and counts on average.
+KEYS_A_TASK = 150_000
 _P = 0x9E3779B97F4A7C15
 
 
@@ -61,24 +63,26 @@ def shingle_hashes(words: list[bytes], shingle: int):
 
 
 def _slices(batches):
-    """(ids, classes, words) of some rows (id, text) at a time: the class is the hash of the lower-cased words."""
-    import numpy as np
-    from xxhash import xxh64_intdigest
-
-    def told(ids, texts):
-        words = [t.lower().split() for t in texts]
-        return ids, np.array([xxh64_intdigest(b" ".join(w)) for w in words], np.uint64).view(np.int64), words
-
+    """(ids, texts) of some rows (id, text) at a time."""
     for batch in batches:
         for at in range(0, batch.num_rows, SLICE):
             part = batch.slice(at, SLICE)
             texts, start, size = text_bytes(part.column(1)), 0, 0
             for i, t in enumerate(texts):
                 if i > start and size + len(t) > SLICE_BYTES:
-                    yield told(part.column(0).slice(start, i - start), texts[start:i])
+                    yield part.column(0).slice(start, i - start), texts[start:i]
                     start, size = i, 0
                 size += len(t)
-            yield told(part.column(0).slice(start), texts[start:])
+            yield part.column(0).slice(start), texts[start:]
+
+
+def _told(text: bytes) -> tuple[int, list[bytes]]:
+    """A text's class, the hash of its lower-cased words as a signed long, and the words. They take many times the text's memory, so they are let go before the next text."""
+    from xxhash import xxh64_intdigest
+
+    words = text.lower().split()
+    h = xxh64_intdigest(b" ".join(words))
+    return h - (h >> 63 << 64), words
 
 
 def _lists(values, sizes):
@@ -95,8 +99,11 @@ def _marked(rows: DataFrame, shingle: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        for ids, cls, words in _slices(batches):
-            sets = [shingle_hashes(w, shingle) for w in words]
+        for ids, texts in _slices(batches):
+            cls, sets = [], []
+            for c, words in map(_told, texts):
+                cls.append(c)
+                sets.append(shingle_hashes(words, shingle))
             n = np.array([len(s) for s in sets], np.int64)
             every, row = np.concatenate([np.zeros(0, np.uint64), *sets]), np.repeat(np.arange(len(n)), n)
             part = every >> np.uint64(64 - PARTS.bit_length() + 1)
@@ -105,7 +112,7 @@ def _marked(rows: DataFrame, shingle: int) -> DataFrame:
             odd = np.bincount(row * BITS + (every & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS * len(n)).astype(np.uint8) & 1
             bits = _lists(np.packbits(odd, bitorder="little").view(np.int64), np.full(len(n), BITS // 64))
             fps = np.array([majority(s) for s in sets], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(cls), pa.array(n.astype(np.int32)), vec, pa.array(fps), bits], names=["id", "cls", "n", "vec", "fp", "bits"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(cls, pa.int64()), pa.array(n.astype(np.int32)), vec, pa.array(fps), bits], names=["id", "cls", "n", "vec", "fp", "bits"])
 
     return rows.mapInArrow(run, "id long, cls long, n int, vec array<smallint>, fp long, bits array<long>")
 
@@ -127,15 +134,15 @@ def _sets(rows: DataFrame, shingle: int, p: int = 0, q: int = 1, common: tuple[i
 
         known, late = side.value
         seen: set[int] = set()
-        for _, cls, words in _slices(batches):
+        for _, texts in _slices(batches):
             if len(seen) > 1_000_000:
                 seen.clear()
-            new = []
-            for k, c in enumerate(cls.tolist()):
+            new, sets = [], []
+            for c, words in map(_told, texts):
                 if c not in seen:
                     seen.add(c)
-                    new.append(k)
-            sets = [shingle_hashes(words[k], shingle) for k in new]
+                    new.append(c)
+                    sets.append(shingle_hashes(words, shingle))
             n = np.array([len(s) for s in sets], np.int64)
             h, kept = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64), n
             if p:
@@ -145,7 +152,7 @@ def _sets(rows: DataFrame, shingle: int, p: int = 0, q: int = 1, common: tuple[i
                     rank = np.where(known[at] == h, late[at], 0)
                 kept = np.where(n > 0, n - (-(-n * p // q)) + 1, 0)
                 h = h[np.lexsort((h, rank, row))][np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n) < kept[row]]
-            yield pa.RecordBatch.from_arrays([pa.array(cls[new]), pa.array(n.astype(np.int32)), _lists(h, kept)], names=["cls", "n", "h"])
+            yield pa.RecordBatch.from_arrays([pa.array(new, pa.int64()), pa.array(n.astype(np.int32)), _lists(h, kept)], names=["cls", "n", "h"])
 
     return rows.mapInArrow(run, "cls long, n int, h array<long>")
 
@@ -155,7 +162,8 @@ class _Join:
 
     def __init__(self, rows: DataFrame, shingle: int, similarity: Fraction):
         self.rows, self.shingle, self.p, self.q, self.made = rows, shingle, similarity.numerator, similarity.denominator, []
-        marked = self.keep(_marked(rows, shingle), "marked")
+        marked, (self.places,) = keep_told(_marked(rows, shingle), "marked", F.sum(F.expr(f"n - (n * {self.p} + {self.q - 1}) div {self.q} + 1")))
+        self.made.append(marked)
         self.marked = marked.select("id", "cls")
         self.texts = self.keep(marked.groupBy("cls").agg(F.min("id").alias("first"), *[F.first(c).alias(c) for c in ("n", "vec", "fp", "bits")]), "texts")
         self.links = None
@@ -186,7 +194,7 @@ class _Join:
         counts = _sets(drawn, self.shingle).select(F.explode("h").alias("key")).groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") >= LEAST)
         common = tuple(r["key"] for r in counts.orderBy(F.desc("c"), "key").limit(COMMON).collect())
         found = _sets(rows, self.shingle, self.p, self.q, common).select("cls", "n", F.posexplode("h").alias("i", "key"))
-        found = found.select("key", "cls", F.expr("shiftleft(cast(n as long), 32) + i").alias("at")).repartition("key").groupBy("key", "cls").agg(F.min("at").alias("at"))
+        found = found.select("key", "cls", F.expr("shiftleft(cast(n as long), 32) + i").alias("at")).repartition(max(1, -(-(self.places or 0) // KEYS_A_TASK)), "key").groupBy("key", "cls").agg(F.min("at").alias("at"))
         return self.keep(found.withColumn("m", F.expr("count(*) over (partition by key)")).where("m > 1"), "keys")
 
     def marks(self) -> DataFrame:
@@ -243,9 +251,14 @@ class _Join:
             self.add(self.alike(apart))
 
     def add(self, links: DataFrame) -> None:
+        """Connect what the links (a, b) join. Only the names of components so far meet, so later links need few rounds; the smallest class names a component as if all links were connected at once."""
         self.links = links if self.links is None else self.links.union(links)
-        found = connected_components(self.links.select(F.col("a").alias("u"), F.col("b").alias("v")), self.made)
-        self.roots = self.keep(found.select(F.col("node").alias("cls"), F.col("component").alias("root")), "roots")
+        ends = [self.roots.select(F.col("cls").alias(s), F.col("root").alias(f"r{s}")) for s in "ab"]
+        over = links.join(ends[0], "a", "left").join(ends[1], "b", "left").select(F.coalesce("ra", "a").alias("u"), F.coalesce("rb", "b").alias("v"))
+        found = connected_components(over, self.made)
+        moved = self.roots.join(found, F.col("root") == F.col("node"), "left").select("cls", F.coalesce("component", "root").alias("root"))
+        fresh = found.join(self.roots, F.col("node") == F.col("cls"), "left_anti").select(F.col("node").alias("cls"), F.col("component").alias("root"))
+        self.roots = self.keep(moved.union(fresh), "roots")
 
     def run(self) -> DataFrame:
         """(id, component) of every row."""

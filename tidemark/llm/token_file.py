@@ -59,6 +59,10 @@ def unpack(payload: bytes, bits: int, start: int, stop: int):
     return np.packbits(whole, axis=1, bitorder="little").view("<u4").ravel()
 
 
+#: Pieces whose ids a task remembers at once.
+KEPT = 500_000
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, with the ids of a piece kept for its next appearance.
 
@@ -73,7 +77,7 @@ class Encoder:
     SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
     LETTERS, PUNCTUATION = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", r"!-/:-@\[-`{-~"
 
-    def __init__(self, path: str, kept: int = 500_000):
+    def __init__(self, path: str, kept: int = KEPT):
         import re
 
         from tokenizers import Tokenizer
@@ -141,11 +145,11 @@ class Encoder:
         return [np.frombuffer(b"".join(map(get, s)), "<u4") for s in split]
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", kept: int = KEPT) -> None:
     """Encode every whole text, end each document with end_id and write packed blocks in ascending id order.
 
     Null texts are empty (the end id alone). Null ids come first. Rows with the same id follow each other by text. A long text is encoded
-    whole and has a block to itself. Extra columns are ignored, whatever their names; an empty table writes a folder without blocks. tokenizer is a file that every executor can open, vocabulary its number of ids.
+    whole and has a block to itself. Extra columns are ignored, whatever their names; an empty table writes a folder without blocks. tokenizer is a file that every executor can open, vocabulary its number of ids, kept the pieces that a task remembers at once.
     """
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     bits = id_bits(max(vocabulary, end_id + 1))
@@ -155,7 +159,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: i
         import pyarrow as pa
         from pyspark import TaskContext
 
-        shard, encoder = TaskContext.get().partitionId(), Encoder(tokenizer)
+        shard, encoder = TaskContext.get().partitionId(), Encoder(tokenizer, kept)
         end, block, first, held, ids = np.array([end_id], "<u4"), 0, 0, 0, []
         doc_ids, doc_at = [], [0]
 
@@ -210,11 +214,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return found.join(before, found["shard"] == before["s"]).select("doc_id", (F.col("at") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def token_file(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+def token_file(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, kept: int = KEPT) -> DataFrame:
     """Write the packed files (to a new folder in the shared one unless path is given) and read each document back from them.
 
     See write() for nulls, empty and long texts, ties, repeated rows, empty tables and extra columns.
     """
     path = path or f"{shared_dir(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
-    write(docs, path, tokenizer, vocabulary, end_id, id_col, text_col)
+    write(docs, path, tokenizer, vocabulary, end_id, id_col, text_col, kept)
     return read(docs.sparkSession, path)
