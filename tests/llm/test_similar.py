@@ -177,3 +177,29 @@ def test_prefixes_are_dealt_by_their_number(spark, monkeypatch):
     monkeypatch.setattr(join, "keep", lambda df, name: parts.append(df.rdd.getNumPartitions()) or df)
     assert sorted(map(tuple, join.keys().collect())) == sorted(map(tuple, joined(spark, rows).keys().collect()))
     assert parts == [-(-join.places // 500)] and parts[0] > 4
+
+
+def test_links_of_all_kinds_take_few_plans(spark, monkeypatch):
+    rows = edits(8, 1500, 1, 5) + [(100 + i, t) for i, t in variants()]
+    plans, links, write = [], similar.connected_components, near_dedup.keep
+    monkeypatch.setattr(similar, "connected_components", lambda *a: plans.append("components") or links(*a))
+    monkeypatch.setattr("tidemark.llm.common.keep", lambda df, name, *a: plans.append(name) or write(df, name, *a))
+    assert got(similar.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    # links of fingerprints and those with a hub are decided and connected together, then the pairs of shingles in ROUNDS + 1 steps
+    assert plans.count("components") <= 2 + similar.ROUNDS and "wanted" not in plans
+
+
+def test_common_shingles_do_not_come_to_the_driver_as_rows(spark, monkeypatch):
+    rows = variants()
+    monkeypatch.setattr(similar, "COMMON", 40)
+    join, told, sets = joined(spark, rows), [], similar._sets
+    monkeypatch.setattr(similar, "_sets", lambda *a: told.extend(a[4:]) or sets(*a))
+    monkeypatch.setattr(type(spark.range(0)), "collect", lambda self: pytest.fail("rows of every task through the driver"))
+    join.keys()
+    (common,) = told
+    counts = {}
+    for s in {frozenset(map(int, similar.shingle_hashes(t.encode().lower().split(), 5).view("int64"))) for _, t in rows}:
+        for h in s:
+            counts[h] = counts.get(h, 0) + 1
+    # a task counts a text once, so a copied one may count a few times
+    assert len(common) == 40 and min(counts[int(h)] for h in common) >= similar.LEAST

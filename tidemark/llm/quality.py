@@ -139,8 +139,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 
     sample = texts.join(ids, texts["doc_id"] == ids["sample_id"]).select("text", "label").mapInArrow(count, "x array<double>, label int")
     known = sample.toArrow()
-    x = np.array(known.column("x").to_pylist(), float).reshape(-1, len(FEATURES))
-    y = np.array([float(v > 0) for v in known.column("label").to_pylist()])
+    x = known.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES))
+    y = (known.column("label").to_numpy() > 0).astype(float)
     order = np.lexsort((*x.T, y))  # the order in which rows arrive means nothing
     return fit_trees(x[order], y[order])
 

@@ -13,7 +13,7 @@ hash space, and the Manhattan distance of two vectors is never above the number
 texts has. Nor is the Hamming distance of their sketches, fingerprints of BITS bits each of which is the parity of the shingles that fall on it. Pairs beyond
 the distance that the similarity allows go; every other pair is decided on the whole sets. Sketches tell short texts apart, vectors long ones.
 
-Each text is decided first against one other, the hub of the early shingle that most texts share with it. Then a shingle of up to FEW texts gives its pairs of texts in different components, one of more, as the
+Each text is decided first against one other, the hub of the early shingle that most texts share with it, together with the links of fingerprints. Then a shingle of up to FEW texts gives its pairs of texts in different components, one of more, as the
 variants of a widely copied text have it, a star around a text drawn for the shingle, and in the end its pairs of texts that are still in different components.
 A pair within a component can't change a group, so none is lost. Of such a pair the smaller text must have the shingle
 among its first (q - p) / (p + q) n ones (a ninth at 0.8), where a shingle of many texts, which the order puts last, hardly ever stands.
@@ -117,7 +117,7 @@ def _marked(rows: DataFrame, shingle: int) -> DataFrame:
     return rows.mapInArrow(run, "id long, cls long, n int, vec array<smallint>, fp long, bits array<long>")
 
 
-def _sets(rows: DataFrame, shingle: int, p: int = 0, q: int = 1, common: tuple[int, ...] = ()) -> DataFrame:
+def _sets(rows: DataFrame, shingle: int, p: int = 0, q: int = 1, common=()) -> DataFrame:
     """(cls, n, h) of the texts of rows (id, t), a text once for each task: h is the set and n its size.
 
     With p / q, h is only what a set of that similarity or more shares one shingle of, in order; common ones come last, the most common at the end.
@@ -165,7 +165,8 @@ class _Join:
         marked, (self.places,) = keep_told(_marked(rows, shingle), "marked", F.sum(F.expr(f"n - (n * {self.p} + {self.q - 1}) div {self.q} + 1")))
         self.made.append(marked)
         self.marked = marked.select("id", "cls")
-        self.texts = self.keep(marked.groupBy("cls").agg(F.min("id").alias("first"), *[F.first(c).alias(c) for c in ("n", "vec", "fp", "bits")]), "texts")
+        self.texts, (self.count,) = keep_told(marked.groupBy("cls").agg(F.min("id").alias("first"), *[F.first(c).alias(c) for c in ("n", "vec", "fp", "bits")]), "texts", F.count("*"))
+        self.made.append(self.texts)
         self.links = None
         self.roots = self.texts.where("1 = 0").select("cls", F.col("cls").alias("root"))
 
@@ -188,11 +189,16 @@ class _Join:
 
     def keys(self) -> DataFrame:
         """(key, cls, at, m): the shingles of prefixes that m > 1 texts have there."""
+        import numpy as np
+
         rows = self.rows
         share = min(1, max(1 / 8, LEAST_SAMPLE / max(1, rows.count())))
         drawn = rows.where(F.pmod(F.xxhash64("id", "t"), F.lit(1 << 20)) < int((1 << 20) * share))
         counts = _sets(drawn, self.shingle).select(F.explode("h").alias("key")).groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") >= LEAST)
-        common = tuple(r["key"] for r in counts.orderBy(F.desc("c"), "key").limit(COMMON).collect())
+        # written first: a limit that is collected sends so many rows of every task through the driver
+        self.made.append(keep(counts.orderBy(F.desc("c"), "key").limit(COMMON), "common"))
+        known = self.made[-1].toArrow()
+        common = known.column("key").to_numpy()[np.lexsort((known.column("key").to_numpy(), -known.column("c").to_numpy()))]
         found = _sets(rows, self.shingle, self.p, self.q, common).select("cls", "n", F.posexplode("h").alias("i", "key"))
         found = found.select("key", "cls", F.expr("shiftleft(cast(n as long), 32) + i").alias("at")).repartition(max(1, -(-(self.places or 0) // KEYS_A_TASK)), "key").groupBy("key", "cls").agg(F.min("at").alias("at"))
         return self.keep(found.withColumn("m", F.expr("count(*) over (partition by key)")).where("m > 1"), "keys")
@@ -223,12 +229,11 @@ class _Join:
                 far = np.maximum(np.abs(va - vb).sum(1), np.bitwise_count((ba ^ bb).view(np.uint64)).sum(1, dtype=np.int64))
                 yield batch.select(["a", "b"]).filter(pa.array(far * (p + q) <= n * (q - p)))
 
-        return self.keep(pairs.select("a", "b", "na", "nb", "va", "vb", "ba", "bb").mapInArrow(within, "a long, b long"), "close")
+        return pairs.select("a", "b", "na", "nb", "va", "vb", "ba", "bb").mapInArrow(within, "a long, b long")
 
-    def alike(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose sets have the similarity or more."""
-        wanted, (n,) = keep_told(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct(), "wanted", F.count("*"))
-        self.made.append(wanted)
+    def alike(self, pairs: DataFrame, count: int) -> DataFrame:
+        """The pairs (a, b), at most count of them, whose sets have the similarity or more."""
+        wanted, n = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct(), 2 * count
         first = self.texts.join(small(wanted, n), "cls", "left_semi").select("first")
         here = self.rows.join(small(first, n), F.col("id").eqNullSafe(F.col("first")), "left_semi")
         sets = self.keep(_sets(here, self.shingle).join(small(wanted, n), "cls", "left_semi").dropDuplicates(["cls"]), "sets")
@@ -237,18 +242,24 @@ class _Join:
         return self.keep(both.where(shared * (self.p + self.q) >= (F.size("ha") + F.size("hb")) * self.p).select("a", "b"), "alike")
 
     def link(self, pairs: DataFrame, one_each: bool = False, near: bool = False) -> None:
-        """Decide the pairs (a, b) and connect what is alike: each text with one other first, then what that left apart. With one_each all at once, as for few pairs a text. With near() pairs that passed it are a < b, each once."""
-        close = self.keep(pairs, "close") if near else self.close(pairs)
-        if close.isEmpty():
+        """Decide the pairs (a, b) and connect what is alike: each text with one other first, then what that left apart. With one_each, or if no more pairs than texts are close, all at once. With near() pairs that passed it are a < b, each once.
+
+        Every step is a plan of many exchanges, each of which costs the driver threads and memory whatever its rows, so there are no more of them than the pairs need.
+        """
+        close, (n,) = keep_told(pairs if near else self.close(pairs), "close", F.count("*"))
+        self.made.append(close)
+        if not n:
             return
-        self.add(self.alike(close if one_each else close.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")))
+        one_each = one_each or n <= self.count
+        self.add(self.alike(close if one_each else close.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), n))
         if one_each:
             return
         ends = [self.roots.select(F.col("cls").alias(s), F.col("root").alias(f"r{s}")) for s in "ab"]
         apart = close.join(ends[0], "a", "left").join(ends[1], "b", "left").where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
-        apart = self.keep(apart, "apart")
-        if not apart.isEmpty():
-            self.add(self.alike(apart))
+        apart, (n,) = keep_told(apart, "apart", F.count("*"))
+        self.made.append(apart)
+        if n:
+            self.add(self.alike(apart, n))
 
     def add(self, links: DataFrame) -> None:
         """Connect what the links (a, b) join. Only the names of components so far meet, so later links need few rounds; the smallest class names a component as if all links were connected at once."""
@@ -262,13 +273,13 @@ class _Join:
 
     def run(self) -> DataFrame:
         """(id, component) of every row."""
-        self.link(self.marks(), True)
         keys = self.keys()
         early = f"({{}} & 4294967295) * {self.p + self.q} <= ({{}} >> 32) * {self.q - self.p}"
         # each text with one other, so that the variants of one text meet without their pairs: by the one of its early shingles that most texts have
         mine = keys.where(early.format("at", "at")).groupBy("cls").agg(F.max_by(F.struct("key", "at"), F.struct("m", "key")).alias("k")).select("k.key", F.struct("cls", "k.at").alias("x"))
         hubs = mine.groupBy("key").agg(F.min_by("x", F.xxhash64("x.cls")).alias("y"))
-        self.link(mine.join(hubs, "key").where(f"x.cls <> y.cls and {self.may('x', 'y')}").select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")), True)
+        met = mine.join(hubs, "key").where(f"x.cls <> y.cls and {self.may('x', 'y')}").select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
+        self.link(self.marks().union(met), True)
         for step in range(ROUNDS + 1):
             here = keys.join(self.roots, "cls", "left").select("key", "cls", "at", "m", F.coalesce("root", "cls").alias("root"))
             open_ = here.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
