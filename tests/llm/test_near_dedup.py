@@ -1,6 +1,7 @@
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidemark.llm import near_dedup
 from tidemark.llm.components import connected_components
@@ -68,6 +69,22 @@ def test_links_connect_what_is_within_two_bits(spark):
     assert components(fps, edges) == components(fps, want)
 
 
+def test_cells_and_points_are_never_broadcast(spark, monkeypatch):
+    """Spark sizes them by the fingerprints, 33 and 65 times too low."""
+    seen, keep = [], near_dedup.keep
+    monkeypatch.setattr(near_dedup, "keep", lambda df, name: seen.append(df) or keep(df, name))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        seen.append(near_dedup.links(spark.range(100).select(F.col("id").alias("fp"))))
+        for df in seen:
+            df.collect()
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_representatives(odd, none):
     kept = near_dedup.representatives(odd)
     assert kept.columns == odd.columns
