@@ -7,7 +7,7 @@ from test_near_dedup import components, plain
 
 import corpus_pipeline
 from tidemark.llm import near_dedup, similar
-from tidemark.llm.common import majority
+from tidemark.llm.common import BROADCAST_ROWS, majority, small
 
 
 def shingles(text):
@@ -203,3 +203,25 @@ def test_common_shingles_do_not_come_to_the_driver_as_rows(spark, monkeypatch):
             counts[h] = counts.get(h, 0) + 1
     # a task counts a text once, so a copied one may count a few times
     assert len(common) == 40 and min(counts[int(h)] for h in common) >= similar.LEAST
+
+
+def test_shingles_of_many_texts_are_never_broadcast(spark, monkeypatch):
+    """Their texts' vectors, sketches and lists of shingles take many times what Spark makes of the compressed table."""
+    plans, link = [], similar._Join.link
+    monkeypatch.setattr(similar._Join, "link", lambda self, pairs, one_each=False, near=False: plans.append((one_each, pairs._jdf.queryExecution().executedPlan().toString())) or link(self, pairs, one_each, near))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        found = joined(spark, edits(30, 400, 8, 3)).run().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len({r.component_id for r in found}) == 30
+    steps = [plan for one_each, plan in plans if not one_each]
+    assert len(steps) == similar.ROUNDS + 1
+    assert all("SortMergeJoin" in plan and "BroadcastHashJoin" not in plan for plan in steps)
+
+
+def test_a_side_beyond_the_limit_is_not_broadcast_by_its_size(spark):
+    few, rows = spark.range(3), spark.range(5)
+    plan = lambda n: rows.join(small(few, n), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(BROADCAST_ROWS) and "BroadcastHashJoin" not in plan(BROADCAST_ROWS + 1)

@@ -9,7 +9,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, word_count
+from .common import keep, large, word_count
 
 #: Words of a shard of one source, the largest group that one task orders, and of a block.
 SHARD_WORDS, BLOCK_WORDS = 1_000_000, 64
@@ -109,7 +109,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         [(s, n, float(t), q, k, math.isqrt(k - 1) + 1) for (s, n), t, q, k in zip(found, targets, seats, shards)],
         "source string, source_size long, target double, seats long, shards long, sets long",
     )
-    side = F.broadcast(table) if len(found) <= BROADCAST_SOURCES else table
+    side = F.broadcast(table) if len(found) <= BROADCAST_SOURCES else large(table)
     # equal rows as one, then as rows of their own again: they spread over shards, whatever their number
     equal = sized.groupBy("doc_id", "source", "size", "hash").agg(F.count("*").alias("copies"))
     some = equal.withColumn("k", F.explode(F.expr(f"sequence(0, (copies - 1) div {COPIES})")))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import similar
-from .common import keep, majority, many, small, text_bytes
+from .common import keep, large, majority, small, text_bytes
 from .components import connected_components
 
 SEGMENT_MASKS = (0x5555555555555555, 0x3333333333333333)
@@ -82,7 +82,7 @@ def _cells(fps: DataFrame) -> DataFrame:
 
 def links(fps: DataFrame, made: list | None = None) -> DataFrame:
     """(a, b): links that connect exactly the distinct fingerprints of fps (column fp) differing in at most 2 bits. The table they read is appended to `made`."""
-    cells = many(_cells(fps))
+    cells = large(_cells(fps))
     shared = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
     near = keep(cells.join(shared, "cell"), "cells")
     if made is not None:
@@ -91,7 +91,7 @@ def links(fps: DataFrame, made: list | None = None) -> DataFrame:
     found = few.select(F.explode(F.expr("flatten(transform(fps, a -> transform(filter(fps, b -> b < a and bit_count(a ^ b) <= 2), b -> struct(a, b))))")).alias("l")).select("l.a", "l.b")
 
     flips = [F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(b if b < 1 << 63 else b - (1 << 64)).cast("long")) for b in (1 << k for k in range(64))]]
-    points = many(near.where(F.col("n") > FEW).select("fp").distinct().select("fp", F.explode(F.array(*flips)).alias("point")))
+    points = large(near.where(F.col("n") > FEW).select("fp").distinct().select("fp", F.explode(F.array(*flips)).alias("point")))
     hubs = points.groupBy("point").agg(F.min("fp").alias("hub"), F.count("*").alias("n")).where("n > 1").select("point", "hub")
     pairs = points.join(hubs, "point").where("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b"))
     return found.union(pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)).distinct()

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import near_dedup
-from .common import discard, keep, keep_told, majority, small, text_bytes
+from .common import discard, keep, keep_told, large, majority, small, text_bytes
 from .components import connected_components
 
 #: Texts of a shingle whose pairs are formed at once, and the rounds of stars for the others.
@@ -292,7 +292,7 @@ class _Join:
             # a text's shingles in order, so that a pair is formed at the first one it shares alone
             ordered = F.transform(F.array_sort(F.collect_list(F.struct((F.col("at").bitwiseAND(F.lit((1 << 32) - 1))).alias("i"), "key"))), lambda k: k["key"])
             if step == ROUNDS:
-                many = many.join(many.groupBy("cls").agg(ordered.alias("keys")), "cls").join(self.texts.select("cls", "vec", "bits"), "cls")
+                many = large(many).join(many.groupBy("cls").agg(ordered.alias("keys")), "cls").join(large(self.texts.select("cls", "vec", "bits")), "cls")
             else:
                 many = many.withColumns({"keys": F.lit(None).cast("array<long>"), "vec": F.lit(None).cast("array<smallint>"), "bits": F.lit(None).cast("array<long>")})
             x, y = (many.select("key", F.struct("cls", "at", "root", "keys", "vec", "bits").alias(s)) for s in "xy")
@@ -304,7 +304,7 @@ class _Join:
             # also where both have its first shingle early; and only those within the distance leave the join
             one_way = f"(x.cls < y.cls or not ({early.format('x.at', 'x.at')}))"
             once = f"{one_way} and {self.near('x', 'y')} and key = element_at(array_intersect(x.keys, y.keys), 1)" if step == ROUNDS else "true"
-            met = x.join(y, "key").where(f"{fits} and {once}").select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
+            met = large(x).join(y, "key").where(f"{fits} and {once}").select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
             if not step:
                 few = here.where(F.col("m") <= FEW).groupBy("key").agg(F.collect_list(F.struct("cls", "at", "root")).alias("l"))
                 pairs = few.select(F.explode(F.expr(f"flatten(transform(l, x -> transform(filter(l, y -> y.cls < x.cls and {fits}), y -> struct(x.cls as a, y.cls as b))))")).alias("e")).select("e.a", "e.b")
