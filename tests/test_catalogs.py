@@ -8,8 +8,10 @@ import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidemark.functions import canonical
+from tidemark.plans import archives
 from tidemark.sources import catalogs, days
 
 dumps = lambda x: json.dumps(x, sort_keys=True, separators=(",", ":"))
@@ -179,3 +181,39 @@ def test_plain_records_need_no_tokens(rows, odd, at, comma):
         told.append((cutter.facts(), got))
     assert told[0] == told[1]
     assert catalogs.Cutter._is_plain(b',{"a":"b"}') and not catalogs.Cutter._is_plain(b',"x"{"a":"b"}')
+
+
+def test_cuts_are_records_in_order(spark, tmp_path):
+    want, paths = {}, []
+    for k in range(4):
+        paths.append(str(tmp_path / f"{k}.json.gz"))
+        want[k] = dumps([{"id": str(i), "a": "é}"} for i in range(k * 40)])
+        with gzip.open(paths[-1], "wb") as f:
+            f.write(want[k].encode())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = catalogs.cuts(spark, paths).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for k, text in want.items():
+        own = sorted((r.at, r.text) for r in rows if r.path.endswith(f"/{k}.json.gz"))
+        assert [at for at, _ in own] == list(range(len(own))) and "".join(t for _, t in own) == text
+        assert max(len(t) for _, t in own) < 40
+
+
+def test_no_catalog_is_a_value_as_it_is_broken(spark, sf, monkeypatch):
+    seen, write = [], days.write_days
+    monkeypatch.setattr(days, "write_days", lambda texts, *a, **k: seen.append(texts) or write(texts, *a, **k))
+    found = {r.date: r for r in archives._broken_days(spark, sf).collect()}
+    longest = seen[0].where(F.col("name") == archives.CATALOG).groupBy("date").agg(F.max(F.length("text")).alias("one"), F.sum(F.length("text")).alias("all")).collect()
+    assert all(r.one < 600 for r in longest) and max(r["all"] for r in longest) > 3000
+    # lists of ids have their lengths alone
+    assert any(r.delta and r.delta.updated_norad_cat_ids for r in found.values())
+    assert not any(any(r.delta.updated_norad_cat_ids or []) for r in found.values() if r.delta)
+
+
+def test_a_batch_of_pieces_is_small(spark):
+    states = spark.range(3000).select(F.lit(1).alias("d"), "id", F.create_map(F.lit("a"), F.rpad(F.col("id").cast("string"), 200, "x")).alias("rec"))
+    pieces = canonical.text_pieces(states, "id", "rec", ["d"])
+    # Parquet readers take 4,096 rows at a time
+    assert pieces.agg(F.max(F.length("text"))).first()[0] * 4096 <= 64 << 20

@@ -116,8 +116,8 @@ def table_hash(df: DataFrame, id_col: str, record_col: str, by: list[str]) -> Da
     return found.select(*by, F.col("items").alias("objects"), F.col("bytes").alias("raw_bytes"), "sha256")
 
 
-#: Bytes of a piece of a catalog's text, but for a longer record alone.
-PIECE_BYTES = 1 << 20
+#: Bytes of a piece of a catalog's text, but for a longer record alone. Parquet is read in batches of 4,096 rows whatever their length, so one of pieces is 32 MB.
+PIECE_BYTES = 1 << 13
 
 
 def text_pieces(df: DataFrame, id_col: str, record_col: str, by: list[str], size: int = PIECE_BYTES) -> DataFrame:

@@ -26,7 +26,8 @@ def deltas(changes: DataFrame, manifests: DataFrame, id_col: str) -> DataFrame:
     kinds = ((NEW, "new_object_count", "new_norad_cat_ids"), (UPDATED, "updated_object_count", "updated_norad_cat_ids"), (UNCHANGED, "unchanged_update_count", "unchanged_update_norad_cat_ids"), (IGNORED, "ignored_older_update_count", "ignored_older_update_norad_cat_ids"))
     counts = [F.count_if(is_(k)).alias(n) for k, n, _ in kinds]
     lists = [ordered_ids(F.collect_list(F.when(is_(k), F.col(id_col).cast("string")))).alias(i) for k, _, i in kinds]
-    found = changes.withColumn("date", F.date_format(F.date_add("window_date", 1), "yyyy-MM-dd")).groupBy("date").agg(F.sum("raw_rows").alias("raw_row_count"), F.count("change").alias("deduped_update_count"), *counts, *lists)
+    # a day's rows come together before they are listed, else every task would hold its part of all days' lists
+    found = changes.withColumn("date", F.date_format(F.date_add("window_date", 1), "yyyy-MM-dd")).repartition("date").groupBy("date").agg(F.sum("raw_rows").alias("raw_row_count"), F.count("change").alias("deduped_update_count"), *counts, *lists)
     held = F.lag("object_count").over(Window.orderBy("date"))  # one row for each day
     days = manifests.select("date", F.col("delta_window_start_utc").alias("window_start_utc"), F.col("delta_window_end_utc").alias("window_end_utc"), F.coalesce(held, F.lit(0)).alias("_held"))
     both = days.where("window_start_utc is not null").join(found, "date", "left")
@@ -57,12 +58,12 @@ def audits(streaks: DataFrame, names: DataFrame, observed: DataFrame, unknown: D
     missing = F.when(gone, entry(*who, last, *streak))
     back = F.when(F.col("reappeared"), entry(*who, F.col("observed_at").alias("reappeared_at_utc"), F.col("missing_since").alias("previously_missing_since")))
     state = F.when(gone, entry(*who, last, F.lit(None).cast("string").alias("last_seen_in_current_gp_audit"), *streak))
-    days = rows.groupBy("date").agg(
+    days = rows.repartition("date").groupBy("date").agg(
         F.count("*").alias("archive_object_count"), F.count_if(gone).alias("missing_from_current_gp_count"), F.count_if("reappeared").alias("reappeared_in_current_gp_count"),
         _by_id(F.collect_list(missing)).alias("missing_from_current_gp"), _by_id(F.collect_list(back)).alias("reappeared_in_current_gp"), _by_id(F.collect_list(state)).alias("_state"),
     )
     seen = observed.groupBy("date").agg(F.count("*").alias("current_gp_object_count")).join(id_set_hash(observed, id_col, ["date"]).select("date", F.col("sha256").alias("present_ids_sha256")), "date")
-    others = unknown.groupBy("date").agg(F.count("*").alias("_n"), ordered_ids(F.collect_list(text)).alias("_ids"))
+    others = unknown.repartition("date").groupBy("date").agg(F.count("*").alias("_n"), ordered_ids(F.collect_list(text)).alias("_ids"))
     both = times.select("date", F.col("observed_at").alias("observed_at_utc")).join(days, "date", "left").join(seen, "date", "left").join(others, "date", "left")
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     empty = lambda c: F.coalesce(c, F.expr(f"slice({c}, 1, 0)"), F.from_json(F.lit("[]"), days.schema[c].dataType)).alias(c)

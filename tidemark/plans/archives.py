@@ -153,11 +153,14 @@ def _broken_days(spark, sf_dir):
     run, others = _archive(spark, sf_dir, root)
     sound = days.staged(spark, root, run)
     paths = [f"{root}/{r['path']}" for r in sound.select("path").collect()]
-    texts = spark.read.text(paths, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"/([0-9-]{10})/[^/]+$", 1).alias("date"), F.lit(CATALOG).alias("name"), F.col("value").alias("text"))
-    files = texts.unionByName(others)
+    cuts = catalogs.cuts(spark, paths).select(F.regexp_extract("path", r"/([0-9-]{10})/[^/]+$", 1).alias("date"), F.lit(CATALOG).alias("name"), F.col("at").alias("seq"), "text")
     here = lambda rule, name: (F.col("date") == breach_day(rule)) & (F.col("name") == name)
     gone = reduce(lambda a, b: a | b, [here(rule, name) for rule, name, pattern, _ in BREACHES if pattern is None])
     changes = [F.when(here(rule, name), F.regexp_replace("text", pattern, new)) for rule, name, pattern, new in BREACHES if pattern is not None]
+    # catalogs are changed record by record, as each is a cut of its own: two records of R12 change places, all of R04 is one text
+    swapped = here("R12", CATALOG) & (F.col("seq") < 2)
+    cuts = cuts.where(~here("R04", CATALOG) | (F.col("seq") == 0)).select("date", "name", F.when(swapped, 1 - F.col("seq")).otherwise(F.col("seq")).alias("seq"), F.when(swapped, F.concat(F.when(F.col("seq") == 0, ",").otherwise("["), F.expr("substr(text, 2)"))).otherwise(F.col("text")).alias("text"))
+    files = cuts.unionByName(others.withColumn("seq", F.lit(0)))
     days.write_days(files.where(~gone).withColumn("text", F.coalesce(*changes, "text")), root)
     return archive.written_days(spark, root, date_spine(spark, FIRST, LAST).select(day("date")))
 

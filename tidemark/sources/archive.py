@@ -143,7 +143,7 @@ def days_of(files: DataFrame, dates: DataFrame | None = None) -> DataFrame:
 
 
 def written_days(spark: SparkSession, root: str, dates: DataFrame | None = None) -> DataFrame:
-    """days_of() what days.write_days() has written: of each day the latest commit's files. Catalogs of any size are read as streams of records, see catalogs.catalog_facts()."""
+    """days_of() what days.write_days() has written: of each day the latest commit's files. Catalogs of any size are read as streams of records, see catalogs.catalog_facts(); of lists and maps of other artifacts only their lengths are kept, as arrays of nulls."""
     shown = stored(visible(spark, root).where(F.col("name").isin(*ARTIFACTS)), "visible")
     key = lambda c: F.regexp_extract(c, r"/(_files/.+)$", 1).alias("key")
     paths = {name: [r["path"] for r in shown.where(F.col("name") == name).select("path").collect()] for name in ARTIFACTS}  # a path a day
@@ -157,13 +157,21 @@ def written_days(spark: SparkSession, root: str, dates: DataFrame | None = None)
     # an empty file leaves no row to tell of it
     unread = F.struct(*[(F.lit(False) if f.name == "readable" else F.lit(None).cast(f.dataType)).alias(f.name) for f in found.schema["catalog"].dataType])
     cats = there.select("date", F.coalesce("compressed_bytes", F.lit(0)).alias("compressed_bytes"), F.coalesce("catalog", unread).alias("catalog"))
-    return _joined(*[texts.where(F.col("name") == name) for name in ARTIFACTS[1:]], cats, dates=dates)
+    return _joined(*[texts.where(F.col("name") == name) for name in ARTIFACTS[1:]], cats, dates=dates, lengths=True)
 
 
-def _joined(manifests: DataFrame, deltas: DataFrame, audits: DataFrame, states: DataFrame, catalogs: DataFrame, dates: DataFrame | None = None) -> DataFrame:
-    """Catalogs come as texts, or with their facts as (date, compressed_bytes, catalog)."""
+def _joined(manifests: DataFrame, deltas: DataFrame, audits: DataFrame, states: DataFrame, catalogs: DataFrame, dates: DataFrame | None = None, lengths: bool = False) -> DataFrame:
+    """Catalogs come as texts, or with their facts as (date, compressed_bytes, catalog). With lengths, lists and maps are arrays of as many nulls, so that joins don't move a day's ids."""
     kinds = (("manifest", manifests, schema.MANIFEST), ("delta", deltas, schema.DELTA), ("audit", audits, schema.AUDIT), ("visibility", states, schema.VISIBILITY))
-    parts = [parsed_artifact(found, kind).select("date", F.col("parsed").alias(name), F.col("broken").alias(f"{name}_broken")) for name, found, kind in kinds]
+    parts = []
+    for name, found, kind in kinds:
+        part = parsed_artifact(found, kind).select("date", F.col("parsed").alias(name), F.col("broken").alias(f"{name}_broken"))
+        fields = [(f.name, f.dataType) for f in part.schema[name].dataType]
+        if lengths and any(isinstance(t, (T.ArrayType, T.MapType)) for _, t in fields):
+            nulls = lambda c: F.transform(c, lambda x: F.lit(None).cast("boolean"))
+            short = [(nulls(F.col(f"{name}.{f}")) if isinstance(t, T.ArrayType) else nulls(F.map_keys(f"{name}.{f}")) if isinstance(t, T.MapType) else F.col(f"{name}.{f}")).alias(f) for f, t in fields]
+            part = part.withColumn(name, F.when(F.col(name).isNotNull(), F.struct(*short)))
+        parts.append(part)
     cats = catalogs if "catalog" in catalogs.columns else catalogs.select("date", F.col("file_bytes").alias("compressed_bytes"), F.struct(*text_facts("text")).alias("catalog"))
     return reduce(lambda a, b: a.join(b, "date", "left"), [*([] if dates is None else [dates.select("date").distinct()]), *parts, cats]).na.fill(False, [f"{name}_broken" for name, _, _ in kinds])
 

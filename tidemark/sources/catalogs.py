@@ -145,18 +145,49 @@ class Cutter:
         return {"readable": ok, "sha256": self.hasher.hexdigest(), "raw_bytes": self.raw} | {k: v if ok else None for k, v in told.items()}
 
 
+def _cut(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, file_bytes, value): the bytes between closing braces, those of a file in order and in one task."""
+    read = spark.read.option("lineSep", "}").option("ignoreCorruptFiles", True)
+    files = read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("file_bytes"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value"))
+    if all(p.endswith(".gz") for p in paths):
+        return files.drop("block")
+    return files.withColumn("line", F.monotonically_increasing_id()).repartition("path").sortWithinPartitions("path", "block", "line").select("path", "file_bytes", "value")
+
+
+def cuts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, at, text): the text of catalog files in pieces that end behind each closing brace, numbered from 0, as they stream by; the last one is what follows the last brace."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        kinds = (pa.string(), pa.int32(), pa.binary())
+        now, at, before = None, 0, b""
+        for batch in batches:
+            out = []
+            for path, value in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                if path == now:
+                    out.append((now, at, before + b"}"))
+                    at += 1
+                else:
+                    if now is not None:
+                        out.append((now, at, before))
+                    now, at = path, 0
+                before = value or b""
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["path", "at", "text"])
+        if now is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((now, at, before), kinds)], names=["path", "at", "text"])
+
+    return _cut(spark, paths).mapInArrow(run, "path string, at int, text binary").withColumn("text", F.col("text").cast("string"))
+
+
 def scanned(spark: SparkSession, paths: list[str], id_field: str = "NORAD_CAT_ID", required: tuple[str, ...] = REQUIRED_FIELDS, id_alone: bool = False) -> DataFrame:
     """(path, file_bytes, pos, rec, facts) of catalog files: a row for each record, and one with facts, and no rec, at the end of each file. With id_alone a rec has no other field.
 
     A file that is no list of objects, or whose compression breaks off, isn't readable; the records before the break are there all the same. Compressed files
     are read by one task each; others, which Spark may split, are put together by one task.
     """
-    read = spark.read.option("lineSep", "}").option("ignoreCorruptFiles", True)
-    files = read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("file_bytes"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value"))
-    if all(p.endswith(".gz") for p in paths):
-        rows = files.drop("block")
-    else:
-        rows = files.withColumn("line", F.monotonically_increasing_id()).repartition("path").sortWithinPartitions("path", "block", "line").select("path", "file_bytes", "value")
+    rows = _cut(spark, paths)
 
     def run(batches):
         import pyarrow as pa
